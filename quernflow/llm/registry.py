@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from quernflow.llm import simhash
+from quernflow.llm import decontam, mixing, sharding, simhash
 
 
 def queries() -> dict:
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_sharding": sharding.op2_sharding,
+        "op3_mixing": mixing.op3_mixing,
+        "op9_decontamination": decontam.op9_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_sharding": sharding.ORACLE,
+        "op3_mixing": mixing.ORACLE,
+    }
