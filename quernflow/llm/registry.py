@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernflow.llm import decontam, mixing, sharding, simhash
+from quernflow.llm import decontam, html, mixing, quality, sharding, simhash, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,9 @@ def queries() -> dict:
         "op1_simhash": simhash.op1_simhash,
         "op2_sharding": sharding.op2_sharding,
         "op3_mixing": mixing.op3_mixing,
+        "op6_quality": quality.op6_quality,
+        "op7_html": html.op7_html,
+        "op8_warc": warc.op8_warc,
         "op9_decontamination": decontam.op9_decontamination,
     }
 
@@ -18,4 +21,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_sharding": sharding.ORACLE,
         "op3_mixing": mixing.ORACLE,
+        "op8_warc": warc.ORACLE,
     }
