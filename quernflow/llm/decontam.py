@@ -253,6 +253,17 @@ def _search(shared, q: int, max_error: float):
     return run
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, q: int = Q) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item occurs; all columns come back.
+
+    Texts are searched and dropped under the 64-bit hash of the text, so repeated or missing doc_ids do not matter.
+    """
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    leaks = find_leaks(docs.select(key.alias("doc_id"), "text"), benchmark, max_error, q).select(F.col("doc_id").alias("leak")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("leak"))
+    return rows.join(leaks, "leak", "left_anti").select("row.*")
+
+
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

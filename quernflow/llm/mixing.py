@@ -85,6 +85,25 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     return ranked.select("doc_id", "source", "size", "source_size", "target", copies)
 
 
+def emit(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with its columns.
+
+    Rows with one doc_id, source and size share their copies: each comes as often as the average over them, rounded up or
+    down so that the total stays.
+    """
+    taken = mix(docs, weights, share, most, seed).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = taken.where("copies > 0")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), words_in(F.col("text")).alias("own"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (F.col("own") == F.col("size"))
+    rows = rows.join(taken, same)
+    alone = rows.where("rows = 1").withColumn("mine", F.col("copies"))
+    turn = F.row_number().over(W.partitionBy("doc_id", "source", "size").orderBy("row.text"))
+    several = rows.where("rows > 1").withColumn("turn", turn)
+    several = several.withColumn("mine", F.expr("copies div rows + if(turn <= copies % rows, 1, 0)")).drop("turn")
+    out = alone.unionByName(several).where("mine > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("mine").cast("int")))).select("row.*")
+
+
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

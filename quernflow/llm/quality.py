@@ -166,9 +166,35 @@ def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return materialize(fit, "fit")
 
 
+def _described(rows: DataFrame) -> DataFrame:
+    """``rows`` (with lang, source, text) with the statistics, the base rules' verdict and the group's names."""
+    given = [c for c in rows.columns if c not in ("lang", "source", "text")]
+    named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-"))
+    rows = rows.select(*given, named("lang").alias("by_lang"), F.concat(named("lang"), F.lit("\x1f"), named("source")).alias("by_both"), _statistics(F.col("text")).alias("s"))
+    failed = (F.col("s.n_words") < 50) | (100 * F.col("s.n_repeat_words") > 50 * F.col("s.n_words"))
+    return rows.select(*given, "by_lang", "by_both", "s.*", failed.alias("base_failed"))
+
+
+def _judges(rows: DataFrame, least_rows: int) -> DataFrame:
+    """(by_both, centre, inverse) from described rows: the estimate that each group is held against."""
+    good = rows.where("not base_failed")
+    sizes = good.groupBy("by_lang", "by_both").agg(F.count("*").alias("n"))
+    few = F.col("n") < least_rows
+    rest = sizes.where(few).groupBy("by_lang").agg(F.sum("n").alias("m"))
+    name = F.when(~few, F.col("by_both")).when(F.col("m") >= least_rows, F.col("by_lang")).otherwise(F.lit("*"))
+    levels = sizes.join(rest, "by_lang", "left").select("by_both", name.alias("grp"), "n")
+    enough = levels.groupBy("grp").agg(F.sum("n").alias("m")).where(F.col("m") >= least_rows).select("grp")
+    levels = materialize(levels.join(enough, "grp").select("by_both", "grp"), "levels")
+    vectors = materialize(good.join(levels, "by_both").select("grp", *[f"x{i}" for i in range(_D)]), "vectors")
+    return levels.join(fit_groups(vectors), "grp").drop("grp")
+
+
+def _kept(cut: float) -> Column:
+    return ~F.col("base_failed") & F.coalesce(distance() <= cut, F.lit(True))
+
+
 def assess(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` with base statistics, ``base_failed``, ``distance`` and ``kept``; its columns are not returned
-    but for doc_id.
+    """(doc_id, base statistics, base_failed, distance, kept) for every row of ``docs``.
 
     Base rules: under 50 words, or over half of the words in repeated three-word windows. The others are judged within
     their (lang, source), where null is a value; groups with fewer than ``least_rows`` of them are judged together within
@@ -176,24 +202,21 @@ def assess(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> D
     distance is null. A row is rejected when its squared distance is over ``cut`` (a chance of one in a million for normal
     data). Null and empty texts fail the base rules. Repeated rows each come back; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", "lang", "source", _statistics(F.col("text")).alias("s")).select("doc_id", "lang", "source", "s.*")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-"))
-    rows = rows.withColumn("base_failed", failed)
-    rows = rows.withColumn("by_lang", named("lang")).withColumn("by_both", F.concat(named("lang"), F.lit("\x1f"), named("source")))
-    rows = materialize(rows.drop("lang", "source"), "statistics")
-    sizes = rows.where("not base_failed").groupBy("by_lang", "by_both").agg(F.count("*").alias("n"))
-    few = F.col("n") < least_rows
-    rest = sizes.where(few).groupBy("by_lang").agg(F.sum("n").alias("m"))
-    levels = sizes.join(rest, "by_lang", "left").select("by_both", F.when(~few, F.col("by_both")).when(F.col("m") >= least_rows, F.col("by_lang")).otherwise(F.lit("*")).alias("grp"))
-    rows = rows.join(levels, "by_both", "left")
-    good = rows.where("not base_failed").select("grp", *[f"x{i}" for i in range(_D)])
-    good = materialize(good, "vectors")
-    enough = good.groupBy("grp").count().where(F.col("count") >= least_rows).select("grp")
-    fit = fit_groups(good.join(enough, "grp", "left_semi"))
-    judged = rows.join(fit, "grp", "left").withColumn("distance", distance())
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
-    return judged.select("doc_id", *[x.split()[0] for x in BASE.split(", ")], "base_failed", "distance", kept.alias("kept"))
+    rows = materialize(_described(docs.select("doc_id", "lang", "source", "text")), "statistics")
+    judged = rows.join(_judges(rows, least_rows), "by_both", "left")
+    return judged.select("doc_id", *[x.split()[0] for x in BASE.split(", ")], "base_failed", distance().alias("distance"), _kept(cut).alias("kept"))
+
+
+def filter_kept(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that ``assess`` keeps, with all their columns.
+
+    The statistics are taken twice, once for the estimates and once beside the rows, so that no text is shuffled: only the
+    estimates, a row a group, are joined to the rows.
+    """
+    rows = materialize(_described(docs.select("lang", "source", "text")), "statistics")
+    judges = materialize(_judges(rows, least_rows), "judges")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), "lang", "source", "text")
+    return _described(whole).join(judges, "by_both", "left").where(_kept(cut)).select("row.*")
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernflow.llm import decontam, html, mixing, quality, sharding, simhash, warc
+from quernflow.llm import decontam, html, licenses, mixing, quality, sharding, simhash, tokens, warc
 
 
 def queries() -> dict:
@@ -10,10 +10,12 @@ def queries() -> dict:
         "op1_simhash": simhash.op1_simhash,
         "op2_sharding": sharding.op2_sharding,
         "op3_mixing": mixing.op3_mixing,
+        "op5_licenses": licenses.op5_licenses,
         "op6_quality": quality.op6_quality,
         "op7_html": html.op7_html,
         "op8_warc": warc.op8_warc,
         "op9_decontamination": decontam.op9_decontamination,
+        "op10_token_counts": tokens.op10_token_counts,
     }
 
 

@@ -117,8 +117,34 @@ def forest(fps: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def run_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links within runs of equal ``group`` (whole runs only)."""
+def stars(fps: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]], radius: int, hubs: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each component that ``edges`` span, links of its members to the ``hubs`` members nearest to its bitwise majority."""
+    parent = {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    for a, b in edges:
+        top = root(int(a[0]))
+        for y in b.tolist():
+            parent[y] = top
+    of = np.array([root(x) for x in fps.tolist()], dtype=np.uint64)
+    out = []
+    for top in np.unique(of):
+        mine = fps[of == top]
+        if len(mine) > 2:
+            votes = np.unpackbits(mine.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            centre = np.packbits(votes * 2 > len(mine), bitorder="little").view("<u8")[0]
+            for hub in mine[np.argsort(np.bitwise_count(mine ^ centre), kind="stable")[:hubs]]:
+                hit = mine[np.bitwise_count(mine ^ hub) <= radius]
+                out.append((np.full(len(hit), hub), hit))
+    return out
+
+
+def run_edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links within runs of equal ``group`` (whole runs only), with links to ``hubs`` central members."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -131,7 +157,9 @@ def run_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarr
         a.append(fps[i])
         b.append(fps[i + shift])
     for at in np.flatnonzero(sizes > SHIFTED):
-        for x, y in forest(np.unique(fps[starts[at] : starts[at] + sizes[at]]), radius):
+        run = np.unique(fps[starts[at] : starts[at] + sizes[at]])
+        found = forest(run, radius)
+        for x, y in found + (stars(run, found, radius, hubs) if hubs else []):
             a.append(x)
             b.append(y)
     a, b = np.concatenate(a), np.concatenate(b)
@@ -151,7 +179,7 @@ def _keyed(families):
     return run
 
 
-def _linked(radius):
+def _linked(radius, hubs):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # an open run; it has BLOCK rows or two blocks at most
         for batch in batches:
@@ -171,21 +199,21 @@ def _linked(radius):
             whole_f = np.concatenate([*(f for _, f in held), fps[:last]])
             held = [(group[last:], fps[last:])]
             if len(whole_g):
-                yield _edges(whole_g, whole_f, radius)
+                yield _edges(whole_g, whole_f, radius, hubs)
         if held:
-            yield _edges(np.concatenate([g for g, _ in held]), np.concatenate([f for _, f in held]), radius)
+            yield _edges(np.concatenate([g for g, _ in held]), np.concatenate([f for _, f in held]), radius, hubs)
 
     return run
 
 
-def _edges(group: np.ndarray, fps: np.ndarray, radius: int) -> pa.RecordBatch:
+def _edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int) -> pa.RecordBatch:
     ids = np.cumsum(np.r_[0, (group[1:] != group[:-1]).any(axis=1)])
-    a, b = run_edges(ids, fps.view(np.uint64), radius)
+    a, b = run_edges(ids, fps.view(np.uint64), radius, hubs)
     a, b = a.view(np.int64), b.view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["src", "dst"])
 
 
-def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK, hubs: int = 0) -> DataFrame:
     """(src, dst): links that span those within ``radius`` bits among the distinct ``fp`` (long) of ``fps``.
 
     With ``WITHIN_3`` and a radius of 3 or less none is missed; with ``ALL_NEAR`` a wider radius is reached with less than
@@ -204,7 +232,7 @@ def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK
         keyed = keyed.select("key", "fp", "own", F.explode(F.sequence(none, F.col("n") - 1)).alias("other"))
         keyed = keyed.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     dealt = keyed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "fp")
-    return dealt.mapInArrow(_linked(radius), "src long, dst long").distinct()
+    return dealt.mapInArrow(_linked(radius, hubs), "src long, dst long").distinct()
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = SEED, block: int = BLOCK) -> DataFrame:
@@ -226,6 +254,66 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int
     return narrow.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, seeds=(42, 43), hubs: int = 4, block: int = BLOCK) -> DataFrame:
+    """(doc_id, text_key, class_id) for the rows of ``docs`` that have a doc_id: classes of texts whose sets of
+    ``shingle``-word shingles overlap by ``similarity`` or more (Jaccard), and of equal texts.
+
+    A similarity of 0.8 on five-word shingles lies far beyond three bits, so candidates come from fingerprints of the set of
+    words, one for each of ``seeds``, within ``radius`` bits, by the Golay keys of every two segments; then the whole shingle
+    sets are compared. Equal texts are one node (its smallest doc_id), equal fingerprints a star. In a bucket of over
+    ``SHIFTED`` fingerprints each is held against a spanning forest and the ``hubs`` most central ones, not against all.
+    Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id.
+    """
+    key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    prints = [fingerprints(docs, 1, seed, True).alias(f"fp{i}") for i, seed in enumerate(seeds)]
+    narrow = materialize(docs.where("doc_id is not null").select("doc_id", key.alias("text_key"), *prints), "fingerprints")
+    nodes = narrow.groupBy("text_key").agg(F.min("doc_id").alias("node"), *[F.min(f"fp{i}").alias(f"fp{i}") for i in range(len(seeds))])
+    nodes = materialize(nodes, "nodes")
+    pairs = None
+    for i in range(len(seeds)):
+        hub = nodes.groupBy(F.col(f"fp{i}").alias("fp")).agg(F.min("node").alias("hub"))
+        star = nodes.join(hub, F.col(f"fp{i}") == F.col("fp")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
+        found = links(hub, radius, ALL_NEAR, block, hubs)
+        found = found.join(hub.select(F.col("fp").alias("src"), F.col("hub").alias("a")), "src").join(hub.select(F.col("fp").alias("dst"), F.col("hub").alias("b")), "dst")
+        both = star.unionByName(found.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))).where("src <> dst")
+        pairs = both if pairs is None else pairs.unionByName(both)
+    pairs = materialize(pairs.distinct(), "pairs")
+    ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
+    ends = ends.join(nodes.select(F.col("node").alias("doc_id"), "text_key"), "doc_id")
+    texts = docs.select("doc_id", "text", key.alias("text_key")).join(ends, ["doc_id", "text_key"], "left_semi")
+    sets = materialize(texts.select("doc_id", _shingle_set(F.col("text").cast("binary"), shingle).alias("set")).dropDuplicates(["doc_id"]), "sets")
+    held = pairs.join(sets.select(F.col("doc_id").alias("src"), F.col("set").alias("a")), "src").join(sets.select(F.col("doc_id").alias("dst"), F.col("set").alias("b")), "dst")
+    common = F.size(F.array_intersect("a", "b"))
+    whole = F.size("a") + F.size("b") - common
+    same = held.where((common >= F.lit(similarity) * whole)).select("src", "dst")
+    found = components(same)
+    names = found.groupBy("root").agg(F.min("node").alias("class_id"))
+    classes = nodes.select("text_key", "node").join(found, "node", "left").join(names, "root", "left")
+    classes = classes.select("text_key", F.coalesce("class_id", "node").alias("class_id"))
+    return narrow.select("doc_id", "text_key").join(classes, "text_key").select("doc_id", "text_key", "class_id")
+
+
+def _shingle_set(text, n: int):
+    @F.pandas_udf("array<int>")
+    def of(texts: pd.Series) -> pd.Series:
+        hashed = xxhash.xxh32_intdigest
+        return pd.Series([np.unique(np.array([hashed(s) for s in shingles(t, n)], dtype=np.uint32)).view(np.int32) for t in texts])
+
+    return of(text)
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id stays, one of them where
+    rows repeat it. Rows without a doc_id stay. All columns come back.
+    """
+    classes = near_duplicates(docs, similarity, shingle)
+    best = classes.where("doc_id = class_id").select("doc_id", "text_key").distinct()
+    key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), key.alias("text_key"))
+    once = rows.where("doc_id is not null").join(best, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id"])
+    return once.select("row.*").unionByName(docs.where("doc_id is null"))
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = simhash_groups(docs, shingle=3, radius=3)
