@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernflow.llm import decontam, html, licenses, mixing, quality, sharding, simhash, tokens, warc
+from quernflow.llm import decontam, html, licenses, mixing, quality, repeats, sharding, simhash, tokens, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_simhash": simhash.op1_simhash,
         "op2_sharding": sharding.op2_sharding,
         "op3_mixing": mixing.op3_mixing,
+        "op4_repeats": repeats.op4_repeats,
         "op5_licenses": licenses.op5_licenses,
         "op6_quality": quality.op6_quality,
         "op7_html": html.op7_html,
