@@ -105,6 +105,7 @@ class Rollup:
     def apply(self, batch: int, changes: DataFrame, tokenizer: Tokenizer) -> bool:
         """Apply changes (op, doc_id, source, lang, text) under a batch number; False if that batch was committed before.
 
+        Changes may bring ``tokens``, counted before by this tokenizer, in place of ``text``.
         ``op`` is ``delete`` or anything else for insert or revise. Rows without a doc_id are left out: they could not be
         revised or deleted. Where a batch repeats a doc_id, a delete loses against the others and of those the row with the
         greatest (tokens, source, lang) counts. Deleting what is not there changes nothing. Null source or lang is a group.
@@ -112,8 +113,10 @@ class Rollup:
         if batch in self.batches():
             return False
         deleted = F.coalesce(F.col("op") == "delete", F.lit(False))
-        new = changes.where("doc_id is not null").select("doc_id", "source", "lang", (~deleted).alias("live"), F.when(deleted, F.lit(None)).otherwise(F.col("text")).alias("text"))
-        new = new.select("doc_id", "source", "lang", "live", tokenizer.count(F.col("text")).alias("tokens"))
+        new = changes.where("doc_id is not null").withColumn("live", ~deleted)
+        if "tokens" not in changes.columns:
+            new = new.withColumn("tokens", tokenizer.count(F.when(F.col("live"), F.col("text"))))
+        new = new.select("doc_id", "source", "lang", "live", F.when(F.col("live"), F.col("tokens")).otherwise(F.lit(0)).cast("long").alias("tokens"))
         new = new.groupBy("doc_id").agg(F.max(F.struct("live", "tokens", "source", "lang")).alias("n"))
         version = F.lit(tokenizer.version).alias("tokenizer_version")
         new = materialize(new.select("doc_id", "n.source", "n.lang", version, "n.tokens", "n.live"), "counted")
@@ -141,11 +144,12 @@ class Rollup:
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
     """All documents are inserted; those labelled toxic are deleted and inserted again, and a batch is sent twice: the totals
     are those of the whole table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text")
-    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id").distinct()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rollup, tokenizer = Rollup(spark, fresh_path(spark, "rollup")), Tokenizer(spark)
-    again = docs.join(toxic, "doc_id", "left_semi")
-    rollup.apply(1, docs.withColumn("op", F.lit("insert")), tokenizer)
+    counted = materialize(docs.select("doc_id", "source", "lang", tokenizer.count(F.col("text")).alias("tokens")), "counts")
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id").distinct()
+    again = counted.join(toxic, "doc_id", "left_semi")
+    rollup.apply(1, counted.withColumn("op", F.lit("insert")), tokenizer)
     rollup.apply(2, again.withColumn("op", F.lit("delete")), tokenizer)
     rollup.apply(3, again.withColumn("op", F.lit("insert")), tokenizer)
     rollup.apply(2, again.withColumn("op", F.lit("delete")), tokenizer)
