@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CLIP_MARKER = "\n\n[... content truncated by extract-llm to fit the model context ...]\n\n"
+CLIP_MARKER = "\n\n[... content truncated to fit the model context ...]\n\n"
 
 # Languages by file suffix, by MIME type and by hint; suffixes by language; aliases.
 SUFFIX_LANGUAGE = {

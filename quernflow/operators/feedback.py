@@ -97,7 +97,7 @@ def coverage_feedback(evaluations: DataFrame, groups: DataFrame, maps: DataFrame
     rows = known.select(
         F.concat(F.lit("0"), F.lpad(F.col("evaluation_index").cast("string"), 18, "0")).alias("seq"), F.col("evaluation_index").cast("string").alias("evaluation_index"), "map_id", "group",
         F.filter("group.source_feature_uids", lambda x: x != "").alias("source_feature_uids"),
-        F.array(F.coalesce("group.candidate_id", F.lit(""))).alias("candidate_ids"), F.array(F.coalesce("group.group_uid", F.lit(""))).alias("group_uids"), F.lit("instan_showmap").alias("feedback_source"),
+        F.array(F.coalesce("group.candidate_id", F.lit(""))).alias("candidate_ids"), F.array(F.coalesce("group.group_uid", F.lit(""))).alias("group_uids"), F.lit("showmap").alias("feedback_source"),
     )
     if native_runs is not None:
         sources = native_sources(native_runs, groups).select("native_run_id", F.col("source_feature_uids").alias("uids"))
@@ -115,7 +115,7 @@ def coverage_feedback(evaluations: DataFrame, groups: DataFrame, maps: DataFrame
     running = F.max("union_edges_after").over(W.orderBy("seq").rowsBetween(W.unboundedPreceding, 0))
     scored = scored.withColumns({"edge_entries": F.coalesce("edge_entries", zero), "new_edges": F.coalesce("new_edges", zero), "new_edge_ratio": F.coalesce("new_edge_ratio", F.lit(0.0)), "union_edges_after": F.coalesce(running, zero)})
     rewards = feature_rewards(scored)
-    glue = novel_glue(scored.where("feedback_source = 'instan_showmap'"))
+    glue = novel_glue(scored.where("feedback_source = 'showmap'"))
     native = F.col("feedback_source") == "native_afl"
     counts = scored.agg(
         F.count("*").alias("groups_with_feedback"), F.count_if(F.col("new_edges") > 0).alias("novel_groups"), F.count_if(native).alias("native_runs"),

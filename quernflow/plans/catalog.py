@@ -361,12 +361,12 @@ def fix_history(spark, sf):
     return out.withColumn("commit_hashes", F.array_join("commit_hashes", ";"))
 
 
-MARK_SQL = "chr(10) || chr(10) || '[... content truncated by extract-llm to fit the model context ...]' || chr(10) || chr(10)"
+MARK_SQL = "chr(10) || chr(10) || '[... content truncated to fit the model context ...]' || chr(10) || chr(10)"
 NAMES = ["a/b\\c d?.txt", "...", "plain.c", "sk-abcdefgh12345 and sk-short", "ünïcode name"]
 
 
 @query(f"""
-SELECT doc_id, CASE WHEN length(text) <= 500 THEN text ELSE left(text, 214) || {MARK_SQL} || right(text, 215) END AS clipped, length(text) > 500 AS was_clipped,
+SELECT doc_id, CASE WHEN length(text) <= 500 THEN text ELSE left(text, 222) || {MARK_SQL} || right(text, 222) END AS clipped, length(text) > 500 AS was_clipped,
   CASE WHEN length(text) > 40 THEN left(text, 40) || ' ...' ELSE text END AS head,
   coalesce(nullif(left(trim(regexp_replace(translate({pick_sql(NAMES, "doc_id")}, '\\/', '__'), '[^A-Za-z0-9._+-]+', '_', 'g'), '._'), 160), ''), 'artifact') AS safe_name,
   regexp_replace({pick_sql(NAMES, "doc_id")}, '\\bsk-[A-Za-z0-9_-]{{8,}}\\b', '<redacted-api-key>', 'g') AS redacted FROM documents""")

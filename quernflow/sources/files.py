@@ -142,7 +142,7 @@ def linked_tests(files: DataFrame, by_content: bool = False, wanted: DataFrame |
     ids = F.regexp_extract_all(name, F.lit(r"(?i)(?:^|[^a-z0-9])pr-?(\d{4,})"), F.lit(1))
     if by_content:
         ids = F.concat(ids, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?i)\bPR\s+[a-z0-9+-]+/(\d{4,})\b"), F.lit(1)))
-    out = files.select(F.explode(F.array_distinct(ids)).cast("long").alias("bug_id"), "path").distinct()
+    out = files.select(F.explode(F.transform(F.array_distinct(ids), lambda n: n.cast("long"))).alias("bug_id"), "path").distinct()
     return out if wanted is None else out.join(wanted.select("bug_id").distinct(), "bug_id", "left_semi")
 
 
