@@ -144,12 +144,12 @@ def next_fit(bins: pd.DataFrame) -> pd.DataFrame:
 
 
 def distance() -> Column:
-    """Squared Mahalanobis distance of x0.. to ``centre`` under ``inverse``."""
+    """Squared Mahalanobis distance of x0.. to ``centre`` under ``inverse``; null without an estimate."""
     away = [F.col(f"x{i}") / F.lit(float(GRID)) - F.col("centre")[i] for i in range(_D)]
     total = F.lit(0.0)
     for i, j in _PAIRS:
         total = total + away[i] * away[j] * F.col("inverse")[i * _D + j] * F.lit(1.0 if i == j else 2.0)
-    return F.greatest(total, F.lit(0.0))
+    return F.when(total < 0, F.lit(0.0)).otherwise(total)
 
 
 def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
