@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quernflow.session import setting
 
-_OWN = f"file:///tmp/checkpoints/quernflow-{uuid.uuid4().hex[:12]}"
+_RUN = uuid.uuid4().hex[:12]
+_OWN = f"file:///tmp/checkpoints/quernflow-{_RUN}"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
     """A path below the shared folder that nobody else uses."""
-    return f"{shared_dir(spark)}/quernflow/{tag}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/quernflow/{_RUN}/{tag}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -38,3 +39,8 @@ def drop(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove all scratch of this process; call it when no result that builds on it is needed any more."""
+    drop(spark, f"{shared_dir(spark)}/quernflow/{_RUN}")
