@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches
 from quernflow.scratch import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -168,6 +169,7 @@ def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
 
 def _described(rows: DataFrame) -> DataFrame:
     """``rows`` (with lang, source, text) with the statistics, the base rules' verdict and the group's names."""
+    batches.bound(rows.sparkSession)
     given = [c for c in rows.columns if c not in ("lang", "source", "text")]
     named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-"))
     rows = rows.select(*given, named("lang").alias("by_lang"), F.concat(named("lang"), F.lit("\x1f"), named("source")).alias("by_both"), _statistics(F.col("text")).alias("s"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernflow.llm import golay
+from quernflow.llm import batches, golay
 from quernflow.llm.components import components
 from quernflow.scratch import materialize
 
@@ -168,8 +168,8 @@ def run_edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int = 0) ->
 
 
 def _keyed(families):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             for at in range(0, len(fps), 20_000):
                 part = fps[at : at + 20_000]
@@ -180,9 +180,9 @@ def _keyed(families):
 
 
 def _linked(radius, hubs):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # an open run; it has BLOCK rows or two blocks at most
-        for batch in batches:
+        for batch in stream:
             if not batch.num_rows:
                 continue
             key, lo, hi, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -244,6 +244,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int
     """
     if not 0 <= radius <= 3:
         raise ValueError("the key families cover 0 to 3 bits")
+    batches.bound(docs.sparkSession)
     narrow = docs.select("doc_id", fingerprints(docs, shingle, seed).alias("fp"))
     narrow = materialize(narrow, "fingerprints")
     nodes = narrow.groupBy("fp").agg(F.min("doc_id").alias("first"))
@@ -264,6 +265,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     ``SHIFTED`` fingerprints each is held against a spanning forest and the ``hubs`` most central ones, not against all.
     Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id.
     """
+    batches.bound(docs.sparkSession)
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     prints = [fingerprints(docs, 1, seed, True).alias(f"fp{i}") for i, seed in enumerate(seeds)]
     narrow = materialize(docs.where("doc_id is not null").select("doc_id", key.alias("text_key"), *prints), "fingerprints")
