@@ -30,8 +30,8 @@ WITHIN_3 = (("near", 0, 1), ("same", 0, 1), ("same", 0, 2), ("same", 1, 2))
 ALL_NEAR = (("near", 0, 1), ("near", 0, 2), ("near", 1, 2))
 #: Rows of one key compared in one piece; more are dealt into blocks, and each two blocks meet.
 BLOCK = 200_000
-#: Runs up to this size are compared by shifting, larger ones by breadth-first search.
-SHIFTED = 32
+#: Runs up to this size are compared by shifting, larger ones by breadth-first search; the second holds where hubs are asked.
+SHIFTED, SHIFTED_WITH_HUBS = 32, 8
 _SLICE = 1 << 16
 
 
@@ -118,28 +118,30 @@ def forest(fps: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def stars(fps: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]], radius: int, hubs: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each component that ``edges`` span, links of its members to the ``hubs`` members nearest to its bitwise majority."""
-    parent = {}
-
-    def root(x):
-        while (up := parent.get(x, x)) != x:
-            x = up
-        return x
-
+    """For each component that ``edges`` (a forest) span, links of its members to the ``hubs`` members nearest to its bitwise
+    majority; of the forest those links stay whose later member no hub reaches."""
+    parent, came = {}, {}
     for a, b in edges:
-        top = root(int(a[0]))
-        for y in b.tolist():
-            parent[y] = top
-    of = np.array([root(x) for x in fps.tolist()], dtype=np.uint64)
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            parent[y] = parent.get(x, x)
+            came[y] = x
+    of = np.array([parent.get(x, x) for x in fps.tolist()], dtype=np.uint64)
     out = []
     for top in np.unique(of):
         mine = fps[of == top]
-        if len(mine) > 2:
-            votes = np.unpackbits(mine.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            centre = np.packbits(votes * 2 > len(mine), bitorder="little").view("<u8")[0]
-            for hub in mine[np.argsort(np.bitwise_count(mine ^ centre), kind="stable")[:hubs]]:
-                hit = mine[np.bitwise_count(mine ^ hub) <= radius]
-                out.append((np.full(len(hit), hub), hit))
+        votes = np.unpackbits(mine.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        centre = np.packbits(votes * 2 > len(mine), bitorder="little").view("<u8")[0]
+        reached = np.zeros(len(mine), dtype=bool)
+        chosen = mine[np.argsort(np.bitwise_count(mine ^ centre), kind="stable")[:hubs]]
+        for hub in chosen:
+            close = np.bitwise_count(mine ^ hub) <= radius
+            reached |= close
+            out.append((np.full(int(close.sum()), hub), mine[close]))
+        rest = [(came[y], y) for y in mine[~reached].tolist() if y in came]
+        if rest:
+            out.append(tuple(np.array(c, dtype=np.uint64) for c in zip(*rest, strict=True)))
+        if len(chosen) > 1:  # the hubs are of one component
+            out.append((chosen[:-1], chosen[1:]))
     return out
 
 
@@ -148,18 +150,19 @@ def run_edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int = 0) ->
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    small = np.repeat(sizes <= SHIFTED, sizes)
-    for shift in range(1, int(sizes[sizes <= SHIFTED].max(initial=1))):
+    most = SHIFTED_WITH_HUBS if hubs else SHIFTED
+    small = np.repeat(sizes <= most, sizes)
+    for shift in range(1, int(sizes[sizes <= most].max(initial=1))):
         i = np.flatnonzero((group[shift:] == group[:-shift]) & small[shift:])
         if not len(i):
             break
         i = i[np.bitwise_count(fps[i] ^ fps[i + shift]) <= radius]
         a.append(fps[i])
         b.append(fps[i + shift])
-    for at in np.flatnonzero(sizes > SHIFTED):
+    for at in np.flatnonzero(sizes > most):
         run = np.unique(fps[starts[at] : starts[at] + sizes[at]])
         found = forest(run, radius)
-        for x, y in found + (stars(run, found, radius, hubs) if hubs else []):
+        for x, y in stars(run, found, radius, hubs) if hubs else found:
             a.append(x)
             b.append(y)
     a, b = np.concatenate(a), np.concatenate(b)
@@ -255,14 +258,14 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int
     return narrow.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, seeds=(42, 43), hubs: int = 4, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, seeds=(42, 43), hubs: int = 2, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_key, class_id) for the rows of ``docs`` that have a doc_id: classes of texts whose sets of
     ``shingle``-word shingles overlap by ``similarity`` or more (Jaccard), and of equal texts.
 
     A similarity of 0.8 on five-word shingles lies far beyond three bits, so candidates come from fingerprints of the set of
     words, one for each of ``seeds``, within ``radius`` bits, by the Golay keys of every two segments; then the whole shingle
     sets are compared. Equal texts are one node (its smallest doc_id), equal fingerprints a star. In a bucket of over
-    ``SHIFTED`` fingerprints each is held against a spanning forest and the ``hubs`` most central ones, not against all.
+    ``SHIFTED_WITH_HUBS`` fingerprints each is held against the ``hubs`` most central ones of its component, not against all.
     Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id.
     """
     batches.bound(docs.sparkSession)
