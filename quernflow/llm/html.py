@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches as arrow
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|title|textarea|noscript|template|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -225,6 +227,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Whole pages are read and nothing is capped. A null or empty page, or one without article text, gives an empty text.
     Null page_id and url stay null; repeated rows each come back; no rows for an empty table.
     """
+    arrow.bound(pages.sparkSession)
     rows = pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string")
     return rows.withColumn("n_chars", F.length("text").cast("long"))
 

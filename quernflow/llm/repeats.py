@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches as arrow
 from quernflow.llm import rindex
 from quernflow.scratch import materialize
 
@@ -321,6 +322,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     """
     if not anchor < length < anchor + 256:
         raise ValueError("the anchor must be shorter than the string, by less than 256")
+    arrow.bound(docs.sparkSession)
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     data = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), key.alias("key"), data.alias("text"))

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches
 from quernflow.scratch import fresh_path, materialize
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -40,6 +41,7 @@ class Tokenizer:
     """A rank file read through Spark, so that it can lie in any store; its version is its name and checksum."""
 
     def __init__(self, spark: SparkSession, path: str = VOCABULARY, pattern: str = PATTERN):
+        batches.bound(spark)
         found = spark.read.format("binaryFile").load(path if "://" in path else f"file://{path}").where(F.col("length") <= MOST_BYTES)
         row = found.select("content").first()
         if row is None:

@@ -24,6 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches as arrow
 from quernflow.scratch import fresh_path, materialize
 
 LEAST_REVISIT = 1000
@@ -262,6 +263,7 @@ def write_archives(pages: DataFrame, least: int = LEAST_REVISIT, package: int =
     is an empty payload, a null url or page_id is left out of its record. Packages have names of their own, so a task that
     runs again leaves an unlisted file and nothing twice; the list is a table in the shared folder. No rows: no package.
     """
+    arrow.bound(pages.sparkSession)
     folder = fresh_path(pages.sparkSession, "archives")
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("payload_digest"))
