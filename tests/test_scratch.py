@@ -3,7 +3,7 @@ import os
 from quernflow import scratch
 
 
-def test_tables_survive_and_are_swept(spark):
+def test_tables_are_written_and_paths_are_fresh(spark):
     df = scratch.materialize(spark.range(5), "five")
     assert df.count() == 5 and scratch.materialize(spark.range(0), "none").count() == 0
     folder = scratch.shared_dir(spark).removeprefix("file://")
