@@ -2,8 +2,9 @@
 
 A text is looked at in units: its lines, its sentences and its paragraphs. A unit and a template are sparse vectors of term
 counts times inverse document frequency over the templates; a unit carries the licence of the template with the largest
-cosine of ``LEAST`` or more. Units are filtered first by anchor terms: for each template the heaviest terms, common words last, are taken until
-the others alone could not reach ``LEAST``, so a unit without any anchor is below it and nothing is missed.
+cosine of ``LEAST`` or more, if it has one of the template's anchors. Anchors are the template's heaviest terms but common
+words, numbers last, as many as it takes until the others alone could not reach ``LEAST``: only a unit made of common words
+of the template could be near it without one. So texts and units without any anchor are put aside first.
 Files without a licence of their own take that of the licence file in the nearest directory above them.
 """
 
@@ -17,12 +18,14 @@ from math import log, sqrt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEAST = 0.75
-TERM = "[a-z0-9]+(?:[.][0-9]+)*"
+from quernflow.scratch import materialize
+
+LEAST = 0.8
+TERM = "[a-z0-9]+(?:-[a-z0-9]+|[.][0-9]+)*"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-_.][^/]*)?$"
 
 # Words too common to be worth looking for.
-COMMON = frozenset("a an and are as at be by code for form free from in into is it later of on only or source subject terms that the this to under v was with work".split())
+COMMON = frozenset("a an and are as at be by code for form free from in into is it later mit of on only or source subject terms that the this to under v was with work".split())
 
 # Statements by which texts say their licence.
 TEMPLATES = (
@@ -32,7 +35,6 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MIT", "The MIT License (MIT)"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
@@ -43,7 +45,7 @@ TEMPLATES = (
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
     ("ISC", "Released under the ISC License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -52,47 +54,55 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Unencumbered software released into the public domain under the Unlicense."),
 )
 
 
 @lru_cache(8)
-def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float]], float, list[str]]:
-    """Rows (template, licence, term, unit weight), the weight of an unknown term, and the anchor terms."""
+def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float, bool]], float, list[str]]:
+    """Rows (template, licence, term, unit weight, anchor or not), the weight of an unknown term, and all anchors."""
     counts = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
     spread = Counter(term for c in counts for term in c)
     idf = {term: log((1 + len(templates)) / (1 + n)) + 1 for term, n in spread.items()}
-    rows, anchors = [], set()
+    rows = []
     for i, ((name, _), c) in enumerate(zip(templates, counts, strict=True)):
         norm = sqrt(sum((n * idf[t]) ** 2 for t, n in c.items()))
-        weights = sorted(((n * idf[t] / norm, t) for t, n in c.items()), reverse=True)
-        rows += [(i, name, t, w) for w, t in weights]
-        left = 1.0
-        for w, t in sorted(weights, key=lambda x: (x[1] in COMMON, -x[0], x[1])):
+        weight = {t: n * idf[t] / norm for t, n in c.items()}
+        anchors, left = set(), 1.0
+        for t in sorted(set(c) - COMMON, key=lambda t: (t[0].isdigit(), -weight[t], t)):
             if left < (least - 1e-9) ** 2:
                 break
             anchors.add(t)
-            left -= w * w
-    return rows, log(1 + len(templates)) + 1, sorted(anchors)
+            left -= weight[t] ** 2
+        rows += [(i, name, t, w, t in anchors) for t, w in sorted(weight.items())]
+    return rows, log(1 + len(templates)) + 1, sorted({t for _, _, t, _, anchor in rows if anchor})
 
 
 def license_of_units(spark: SparkSession, units: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """(unit, license, similarity) for each distinct string ``unit`` that reaches ``least``; ties go to the first template."""
+    named = units.select("unit").distinct().withColumn("uid", F.md5(F.col("unit").cast("binary")))
+    return named.join(_score(spark, named, templates, least), "uid").select("unit", "license", "similarity")
+
+
+def _score(spark: SparkSession, units: DataFrame, templates, least: float) -> DataFrame:
+    """(uid, license, similarity) of units (uid, unit). A unit may be a whole text, so only its ``uid`` goes with its terms."""
     rows, unknown, _ = _model(tuple(templates), least)
-    weight_of = {term: 0.0 for _, _, term, _ in rows}
+    weight_of = {term: 0.0 for _, _, term, _, _ in rows}
     n = len(templates)
     spread = Counter(t for _, text in templates for t in set(re.findall(TERM, text.lower())))
     weight_of = {t: log((1 + n) / (1 + spread[t])) + 1 for t in weight_of}
     known = spark.createDataFrame([(t, w) for t, w in sorted(weight_of.items())], "term string, idf double")
-    vectors = spark.createDataFrame(rows, "template int, license string, term string, weight double")
-    terms = units.select("unit").distinct().select("unit", F.explode(F.regexp_extract_all(F.lower("unit"), F.lit(TERM), F.lit(0))).alias("term"))
-    terms = terms.groupBy("unit", "term").agg(F.count("*").alias("tf")).join(F.broadcast(known), "term", "left")
+    vectors = spark.createDataFrame(rows, "template int, license string, term string, weight double, anchor boolean")
+    found = F.regexp_extract_all(F.lower("unit"), F.lit(TERM), F.lit(0)).alias("terms")
+    terms = units.select("uid", found).dropDuplicates(["uid"]).select("uid", F.explode("terms").alias("term"))
+    terms = terms.groupBy("uid", "term").agg(F.count("*").alias("tf")).join(F.broadcast(known), "term", "left")
     terms = terms.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = terms.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = terms.where("idf is not null").join(F.broadcast(vectors), "term").groupBy("unit", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = dots.join(norms, "unit").withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= least)
-    best = scored.groupBy("unit").agg(F.max_by(F.struct("license", "similarity"), F.struct("similarity", -F.col("template"))).alias("b"))
-    return best.select("unit", "b.license", "b.similarity")
+    norms = terms.groupBy("uid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = terms.where("idf is not null").join(F.broadcast(vectors), "term").groupBy("uid", "template", "license")
+    dots = dots.agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.max("anchor").alias("told")).where("told")
+    scored = dots.join(norms, "uid").withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= least)
+    best = scored.groupBy("uid").agg(F.max_by(F.struct("license", "similarity"), F.struct("similarity", -F.col("template"))).alias("b"))
+    return best.select("uid", "b.license", "b.similarity")
 
 
 def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
@@ -113,12 +123,13 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))), F.split("t", "\\n[ \\t]*\\n"))
     words = F.regexp_count(F.col("t"), F.lit("[^\\x20\\x09-\\x0D]+")).alias("n_words")
     units = rows.select("k", "p", words, F.explode(F.array_distinct(F.transform(cut, lambda x: F.btrim(x, F.lit(" \t\r\n"))))).alias("unit"))
-    units = units.where(F.col("unit").rlike(anchored))
-    named = license_of_units(spark, units, templates, least)
     share = F.regexp_count(F.col("unit"), F.lit("[^\\x20\\x09-\\x0D]+")) * 2 >= F.col("n_words")
-    own = units.join(named, "unit").groupBy("k", "p").agg(
-        F.max_by(F.struct("license", "similarity"), F.struct("similarity", F.transform(F.split("license", ""), lambda c: -F.ascii(c)))).alias("b"),
-        F.max(share).alias("mostly"),
+    units = units.where(F.col("unit").rlike(anchored)).select("k", "p", share.alias("share"), F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
+    units = materialize(units, "units")
+    named = _score(spark, units.select("uid", "unit"), templates, least)
+    own = units.select("k", "p", "share", "uid").join(named, "uid").groupBy("k", "p").agg(
+        F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), F.col("license"))).alias("b"),
+        F.max("share").alias("mostly"),
     )
     is_file = F.col("p").isNotNull() & (F.coalesce(F.col("p").rlike(LICENSE_FILE), F.lit(False)) | F.col("mostly"))
     own = own.select(F.col("k").alias("k2"), F.col("p").alias("p2"), "b.license", "b.similarity", is_file.alias("is_file"))
@@ -141,3 +152,33 @@ def op5_licenses(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = F.concat_ws("/", F.col("source"), F.col("lang"), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt")))
     return scan(docs.select("doc_id", place.alias("path"), "text"), "doc_id", "path")
+
+
+def oracle(templates=TEMPLATES, least: float = LEAST) -> str:
+    """DuckDB SQL for op5_licenses: all units are scored, without the search for anchors ahead."""
+    rows, unknown, _ = _model(tuple(templates), least)
+    n = len(templates)
+    spread = Counter(t for _, text in templates for t in set(re.findall(TERM, text.lower())))
+    vectors = ", ".join(f"({i}, '{name}', '{t}', {w!r}::DOUBLE, {anchor})" for i, name, t, w, anchor in rows)
+    known = ", ".join(f"('{t}', {log((1 + n) / (1 + d)) + 1!r}::DOUBLE)" for t, d in sorted(spread.items()))
+    white = "' ' || chr(9) || chr(13) || chr(10)"
+    word = "'[^\\x20\\x09-\\x0D]+'"
+    return f"""
+WITH v(i, name, t, weight, anchor) AS (VALUES {vectors}), known(t, idf) AS (VALUES {known}),
+d AS (SELECT doc_id, concat_ws('/', source, lang, coalesce(doc_id::VARCHAR, 'none') || '.txt') AS path, text FROM documents),
+c AS (SELECT doc_id, path, len(regexp_extract_all(text, {word})) AS n_words, string_split(text, chr(10)) AS l, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS p FROM d),
+u AS (SELECT DISTINCT doc_id, path, n_words, trim(unnest(list_concat(l, flatten(list_transform(l, lambda x: string_split(regexp_replace(x, '([.!?])[ \\t]+', '\\1' || chr(1), 'g'), chr(1)))), p)), {white}) AS unit FROM c),
+k AS (SELECT unit, unnest(regexp_extract_all(lower(unit), '{TERM}')) AS t FROM (SELECT DISTINCT unit FROM u)),
+w AS (SELECT unit, k.t, count(*) * coalesce(any_value(idf), {unknown!r}::DOUBLE) AS w FROM k LEFT JOIN known ON known.t = k.t GROUP BY 1, 2),
+n AS (SELECT unit, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1),
+s AS (SELECT unit, i, name, sum(w * weight) AS dot, bool_or(anchor) AS told FROM w JOIN v ON v.t = w.t GROUP BY 1, 2, 3),
+r AS (SELECT s.unit, i, name, round(dot / norm, 6) AS similarity FROM s JOIN n ON n.unit = s.unit WHERE told),
+b AS (SELECT unit, arg_max(name, (similarity, -i)) AS license, max(similarity) AS similarity FROM r WHERE similarity >= {least} GROUP BY 1),
+own AS (SELECT doc_id, path, arg_min(license, (-similarity, license)) AS license, max(similarity) AS similarity,
+  path IS NOT NULL AND (regexp_matches(path, '{LICENSE_FILE}') OR bool_or(len(regexp_extract_all(b.unit, {word})) * 2 >= n_words)) AS is_file FROM u JOIN b ON b.unit = u.unit GROUP BY 1, 2),
+places AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, min(path) AS path, arg_min(license, path) AS license FROM own WHERE is_file GROUP BY 1),
+o AS (SELECT d.doc_id, d.path, license, similarity, is_file, regexp_replace(d.path, '/?[^/]*$', '') AS own_dir FROM d LEFT JOIN own ON own.doc_id = d.doc_id AND own.path = d.path),
+up AS (SELECT own_dir, arg_max((p.path, p.license), length(p.dir)) AS up FROM (SELECT DISTINCT own_dir FROM o WHERE license IS NULL) q JOIN places p ON q.own_dir = p.dir OR starts_with(q.own_dir, p.dir || '/') OR p.dir = '' GROUP BY 1)
+SELECT doc_id, path, coalesce(license, up[2]) AS license, CASE WHEN license IS NOT NULL THEN CASE WHEN is_file THEN 'file' ELSE 'header' END WHEN up IS NOT NULL THEN 'inherited' END AS basis, similarity,
+  CASE WHEN license IS NULL THEN up[1] END AS found_in FROM o LEFT JOIN up ON up.own_dir = o.own_dir AND license IS NULL
+"""

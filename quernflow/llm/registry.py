@@ -24,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_sharding": sharding.ORACLE,
         "op3_mixing": mixing.ORACLE,
+        "op5_licenses": licenses.oracle(),
         "op8_warc": warc.ORACLE,
     }

@@ -203,25 +203,39 @@ def test_license_scan_and_inheritance(spark):
     assert licenses.scan(spark.createDataFrame([], "id int, path string, text string"), "id", "path").count() == 0
 
 
-def test_anchors_miss_nothing(spark):
+def test_anchors_leave_out_only_common_words():
+    rows, _, anchors = licenses._model(licenses.TEMPLATES, licenses.LEAST)
+    vectors = {}
+    for i, _, t, w, anchor in rows:
+        vectors.setdefault(i, []).append((t, w, anchor))
+    for terms in vectors.values():
+        without = sum(w * w for t, w, anchor in terms if not anchor)
+        assert without < licenses.LEAST**2 or all(anchor or t in licenses.COMMON for t, _, anchor in terms)
+        assert any(anchor for _, _, anchor in terms)
+    assert not set(anchors) & licenses.COMMON
+
+
+def test_cosines_against_brute_force(spark):
     import re
     from collections import Counter
 
-    rows, unknown, anchors = licenses._model(licenses.TEMPLATES, licenses.LEAST)
-    vectors = {}
-    for i, _, t, w in rows:
-        vectors.setdefault(i, {})[t] = w
     rng = random.Random(8)
-    pool = [t for v in vectors.values() for t in v] + ["the", "word", "other"]
+    rows, unknown, _ = licenses._model(licenses.TEMPLATES, licenses.LEAST)
+    vectors = {}
+    for i, name, t, w, anchor in rows:
+        vectors.setdefault((i, name), {})[t] = (w, anchor)
     n = len(licenses.TEMPLATES)
     spread = Counter(t for _, text in licenses.TEMPLATES for t in set(re.findall(licenses.TERM, text.lower())))
-    for _ in range(3000):
-        base = list(vectors[rng.randrange(n)])
-        words = Counter([t for t in base if rng.random() < 0.7] + [rng.choice(pool) for _ in range(rng.randint(0, 3))])
-        weight = {t: c * (math.log((1 + n) / (1 + spread[t])) + 1 if t in spread else unknown) for t, c in words.items()}
+    units = {" ".join(w for w in rng.choice(licenses.TEMPLATES)[1].split() + ["other"] * rng.randint(0, 2) if rng.random() < 0.85) for _ in range(150)}
+    want = {}
+    for unit in units:
+        weight = {t: c * (math.log((1 + n) / (1 + spread[t])) + 1 if t in spread else unknown) for t, c in Counter(re.findall(licenses.TERM, unit.lower())).items()}
         norm = math.sqrt(sum(w * w for w in weight.values())) or 1
-        best = max(sum(w * v.get(t, 0) for t, w in weight.items()) / norm for v in vectors.values())
-        assert best < licenses.LEAST or set(words) & set(anchors)
+        scores = [(round(sum(w * v[t][0] for t, w in weight.items() if t in v) / norm, 6), -i, name) for (i, name), v in vectors.items() if any(t in v and v[t][1] for t in weight)]
+        if scores and max(scores)[0] >= licenses.LEAST:
+            want[unit] = (max(scores)[2], max(scores)[0])
+    got = {r["unit"]: (r["license"], r["similarity"]) for r in licenses.license_of_units(spark, spark.createDataFrame([(u,) for u in units], "unit string")).collect()}
+    assert got.keys() == want.keys() and all(got[u][0] == want[u][0] and abs(got[u][1] - want[u][1]) < 2e-6 for u in want)
 
 
 # ---------------------------------------------------------------- token counts
