@@ -32,6 +32,8 @@ ALL_NEAR = (("near", 0, 1), ("near", 0, 2), ("near", 1, 2))
 BLOCK = 200_000
 #: Runs up to this size are compared by shifting, larger ones by breadth-first search; the second holds where hubs are asked.
 SHIFTED, SHIFTED_WITH_HUBS = 32, 8
+#: Texts in the sample for frequent shingles and hot keys, about; shingles that are ordered by their frequency in it.
+SAMPLE, MOST_FREQUENT = 20_000, 200_000
 _SLICE = 1 << 16
 
 
@@ -262,14 +264,16 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     """(doc_id, text_key, class_id) for the rows of ``docs`` that have a doc_id: classes of texts whose sets of
     ``shingle``-word shingles overlap by ``similarity`` or more (Jaccard), and of equal texts.
 
-    A similarity of 0.8 on five-word shingles lies far beyond three bits, so candidates come from fingerprints of the set of
-    words, one for each of ``seeds``, within ``radius`` bits, by the Golay keys of every two segments; then the whole shingle
-    sets are compared. Equal texts are one node (its smallest doc_id), equal fingerprints a star. In a bucket of over
+    A similarity of 0.8 on five-word shingles lies far beyond three bits, so first candidates come from fingerprints of the
+    set of words, one for each of ``seeds``, within ``radius`` bits, by the Golay keys of every two segments; then the whole
+    shingle sets are compared. Equal texts are one node (its smallest doc_id), equal fingerprints a star. In a bucket of over
     ``SHIFTED_WITH_HUBS`` fingerprints each is held against the ``hubs`` most central ones of its component, not against all.
+    That links most of a large class at little cost and misses pairs; all pairs of texts that are not linked by then are
+    found exactly, by prefixes of their shingle sets (see ``_prefix_pairs``), and compared as well.
     Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id.
     """
     batches.bound(docs.sparkSession)
-    key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    key = _text_key()
     prints = [fingerprints(docs, 1, seed, True).alias(f"fp{i}") for i, seed in enumerate(seeds)]
     narrow = materialize(docs.where("doc_id is not null").select("doc_id", key.alias("text_key"), *prints), "fingerprints")
     nodes = narrow.groupBy("text_key").agg(F.min("doc_id").alias("node"), *[F.min(f"fp{i}").alias(f"fp{i}") for i in range(len(seeds))])
@@ -282,20 +286,166 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
         found = found.join(hub.select(F.col("fp").alias("src"), F.col("hub").alias("a")), "src").join(hub.select(F.col("fp").alias("dst"), F.col("hub").alias("b")), "dst")
         both = star.unionByName(found.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))).where("src <> dst")
         pairs = both if pairs is None else pairs.unionByName(both)
-    pairs = materialize(pairs.distinct(), "pairs")
+    same = _verified(docs, nodes, materialize(pairs.distinct(), "pairs"), similarity, shingle)
+    labels = materialize(_labelled(nodes, components(same)), "labels")
+    pairs = materialize(_prefix_pairs(docs, labels, similarity, shingle, block), "pairs")
+    if not pairs.isEmpty():
+        same = same.unionByName(_verified(docs, nodes, pairs, similarity, shingle))
+        labels = _labelled(nodes, components(same))
+    names = labels.groupBy("root").agg(F.min("node").alias("class_id"))
+    classes = labels.join(names, "root").select("text_key", "class_id")
+    return narrow.select("doc_id", "text_key").join(classes, "text_key").select("doc_id", "text_key", "class_id")
+
+
+def _text_key():
+    return F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+
+
+def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, text_key, root) of all nodes; a node without links is its own root."""
+    return nodes.select("node", "text_key").join(found, "node", "left").select("node", "text_key", F.coalesce("root", "node").alias("root"))
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Those of ``pairs`` (src, dst) whose whole shingle sets overlap by ``similarity`` or more."""
     ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
     ends = ends.join(nodes.select(F.col("node").alias("doc_id"), "text_key"), "doc_id")
-    texts = docs.select("doc_id", "text", key.alias("text_key")).join(ends, ["doc_id", "text_key"], "left_semi")
+    texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(ends, ["doc_id", "text_key"], "left_semi")
     sets = materialize(texts.select("doc_id", _shingle_set(F.col("text").cast("binary"), shingle).alias("set")).dropDuplicates(["doc_id"]), "sets")
     held = pairs.join(sets.select(F.col("doc_id").alias("src"), F.col("set").alias("a")), "src").join(sets.select(F.col("doc_id").alias("dst"), F.col("set").alias("b")), "dst")
     common = F.size(F.array_intersect("a", "b"))
     whole = F.size("a") + F.size("b") - common
-    same = held.where((common >= F.lit(similarity) * whole)).select("src", "dst")
-    found = components(same)
-    names = found.groupBy("root").agg(F.min("node").alias("class_id"))
-    classes = nodes.select("text_key", "node").join(found, "node", "left").join(names, "root", "left")
-    classes = classes.select("text_key", F.coalesce("class_id", "node").alias("class_id"))
-    return narrow.select("doc_id", "text_key").join(classes, "text_key").select("doc_id", "text_key", "class_id")
+    return materialize(held.where((common >= F.lit(similarity) * whole)).select("src", "dst"), "same")
+
+
+def _hashed(text: bytes | None, n: int) -> np.ndarray:
+    """The distinct XXH64 of the n-word shingles, in order; a single 0 without words."""
+    parts = shingles(text, n)
+    return np.unique(np.array([xxhash.xxh64_intdigest(s) for s in parts], dtype=np.uint64)).view(np.int64) if parts else np.zeros(1, np.int64)
+
+
+def _prefix_pairs(docs: DataFrame, labels: DataFrame, similarity: float, shingle: int, block: int) -> DataFrame:
+    """(src, dst): pairs of nodes of different roots, among them every one whose shingle sets overlap by ``similarity``.
+
+    In any one order of all shingles, of two such sets of sizes a and b the first a - ceil(similarity a) + 1 and the first
+    b - ceil(similarity b) + 1 have a shingle in common. The order puts shingles last that are frequent in a sample, so that
+    boilerplate is no key; it bears on the time alone, not on what is found. Pairs of one root need no comparison, so a
+    large family costs nothing once it is linked. A key with more than ``block`` rows, as the sample has it, is dealt into
+    blocks as in ``links``.
+    """
+    every = labels.count() // SAMPLE + 1
+    drawn = lambda c: F.pmod(F.xxhash64(c), F.lit(every)) == 0
+    sample = docs.where("doc_id is not null").where(drawn(_text_key()))
+    seen = sample.select(F.explode(_hashes(F.col("text").cast("binary"), shingle)).alias("key")).groupBy("key").count().where(F.col("count") >= 4)
+    top = seen.orderBy(F.desc("count"), "key").limit(MOST_FREQUENT).collect()
+    frequent = np.array(sorted(r["key"] for r in top), dtype=np.int64)
+    rank = np.array([n for _, n in sorted((r["key"], r["count"]) for r in top)], dtype=np.int64)
+
+    @F.pandas_udf("array<long>")
+    def prefix(texts: pd.Series) -> pd.Series:
+        """The size of the set, then its prefix."""
+        out = []
+        for t in texts:
+            h = _hashed(t, shingle)
+            n = len(h)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+                h = h[np.argsort(np.where(frequent[at] == h, rank[at], 0), kind="stable")]
+            out.append(np.r_[n, h[: n - int(np.ceil(similarity * n - 1e-6)) + 1]])
+        return pd.Series(out)
+
+    named = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), _text_key().alias("text_key"), prefix(F.col("text").cast("binary")).alias("prefix"))
+    named = named.join(labels, ["node", "text_key"]).select("node", "root", "prefix")
+    keys = named.select("node", "root", F.element_at("prefix", 1).alias("n"), F.posexplode(F.slice("prefix", 2, F.size("prefix"))).alias("at", "key"))
+    keyed = keys.select("key", "node", "root", (F.shiftleft("n", 32) + F.col("at")).alias("place"))
+    hot = keyed.where(drawn("node")).groupBy("key").count().where(F.col("count") * every > block)
+    hot = materialize(hot.select("key", F.ceil(F.col("count") * every / block).cast("int").alias("n")), "hot")
+    none = F.lit(0)
+    if hot.isEmpty():
+        keyed = keyed.withColumns({"lo": none, "hi": none})
+    else:
+        keyed = keyed.join(hot, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+        keyed = keyed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(none, F.col("n") - 1)))
+        keyed = keyed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    dealt = keyed.select("key", "lo", "hi", "node", "root", "place").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return dealt.mapInArrow(_paired(similarity), "src long, dst long").distinct()
+
+
+def _hashes(text, n: int):
+    @F.pandas_udf("array<long>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([_hashed(t, n) for t in texts])
+
+    return of(text)
+
+
+def _paired(similarity: float):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # an open run; it has about one block's rows or two blocks' at most
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
+            new = np.r_[not held or (held[-1][-1, :3] != rows[0, :3]).any(), (rows[1:, :3] != rows[:-1, :3]).any(axis=1)]
+            cuts = np.flatnonzero(new)
+            if len(cuts):
+                whole = np.concatenate([*held, rows[: cuts[-1]]])
+                held = []
+                if len(whole):
+                    yield from run_pairs(whole, similarity)
+                rows = rows[cuts[-1] :]
+            held.append(rows)
+        if held:
+            yield from run_pairs(np.concatenate(held), similarity)
+
+    return run
+
+
+def run_pairs(rows: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes within runs of equal key (key, lo, hi, node, root, place; whole runs only) that differ in root and
+    that neither their sizes nor the places of the key in both sets keep below ``similarity``."""
+    starts = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+    mixed = np.maximum.reduceat(rows[:, 4], starts) != np.minimum.reduceat(rows[:, 4], starts)
+    rows = rows[np.repeat(mixed, np.diff(np.r_[starts, len(rows)]))]
+    if not len(rows):
+        return
+    group = np.cumsum(np.r_[0, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+    node, root, size, at = rows[:, 3], rows[:, 4], rows[:, 5] >> 32, rows[:, 5] & 0xFFFFFFFF
+    sizes = np.bincount(group)
+    held, waiting = [], 0
+
+    def close(i, j):
+        left = np.minimum(size[i] - at[i], size[j] - at[j])
+        least = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
+        ok = (root[i] != root[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= least)
+        a, b = np.broadcast_arrays(node[i], node[j])
+        return np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]], axis=1)
+
+    def all_pairs():
+        small = np.repeat(sizes <= SHIFTED, sizes)
+        for shift in range(1, int(sizes[sizes <= SHIFTED].max(initial=1))):
+            i = np.flatnonzero((group[shift:] == group[:-shift]) & small[shift:])
+            if not len(i):
+                break
+            yield close(i, i + shift)
+        ends = np.cumsum(sizes)
+        for g in np.flatnonzero(sizes > SHIFTED):
+            for i in range(ends[g] - sizes[g], ends[g] - 1):
+                yield close(np.array([i]), np.arange(i + 1, ends[g]))
+
+    def packed():
+        found = np.unique(np.concatenate(held), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["src", "dst"])
+
+    for found in all_pairs():
+        if len(found):
+            held.append(found)
+            waiting += len(found)
+        if waiting > 1 << 20:
+            yield packed()
+            held, waiting = [], 0
+    if held:
+        yield packed()
 
 
 def _shingle_set(text, n: int):

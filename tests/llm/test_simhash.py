@@ -90,3 +90,45 @@ def test_near_duplicates_by_words(make_docs):
     kept = simhash.drop_near_duplicates(make_docs(rows))
     assert kept.columns == make_docs(rows).columns
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 10, 90, 91]
+
+
+def jaccard(a, b, n=5):
+    a, b = (set(simhash.shingles(t.encode(), n)) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def classes_of(docs, **more):
+    found = {}
+    for r in simhash.near_duplicates(docs, **more).select("doc_id", "class_id").distinct().collect():
+        found.setdefault(r["class_id"], set()).add(r["doc_id"])
+    return {frozenset(v) for v in found.values()}
+
+
+def brute_classes(texts, least=0.8):
+    label = {i: i for i in texts}
+    sets = {i: set(simhash.shingles(t.encode(), 5)) for i, t in texts.items()}
+    for i in texts:
+        for j in texts:
+            if i < j and label[i] != label[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                old, new = label[j], label[i]
+                label = {k: new if v == old else v for k, v in label.items()}
+    return {frozenset(k for k in label if label[k] == v) for v in label.values()}
+
+
+def test_pairs_of_a_template_need_no_hub(make_docs):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(words) for _ in range(200)]
+    texts = {}
+    for k in range(400):  # each changes the template in places of its own, its partner one word more
+        own = list(base)
+        for at in rng.sample(range(200), 8):
+            own[at] = rng.choice(words)
+        texts[2 * k] = " ".join(own)
+        own[rng.randrange(5, 195)] = "partner"
+        texts[2 * k + 1] = " ".join(own)
+    assert all(jaccard(texts[2 * k], texts[2 * k + 1]) > 0.8 > jaccard(texts[2 * k], texts[2 * k - 2]) for k in range(1, 400))
+    want = {frozenset((2 * k, 2 * k + 1)) for k in range(400)}
+    docs = make_docs([(i, t, "en", "s") for i, t in texts.items()])
+    assert classes_of(docs) == want
+    assert classes_of(docs, block=50) == want
