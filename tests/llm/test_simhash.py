@@ -132,3 +132,16 @@ def test_pairs_of_a_template_need_no_hub(make_docs):
     docs = make_docs([(i, t, "en", "s") for i, t in texts.items()])
     assert classes_of(docs) == want
     assert classes_of(docs, block=50) == want
+
+
+def test_texts_of_the_same_words_in_another_order(make_docs):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(words)}
+    for k in range(1, 30, 2):  # one set of words and so one fingerprint
+        own = rng.sample(words, len(words))
+        texts[k] = " ".join(own)
+        own[70], own[71] = own[71], own[70]
+        texts[k + 1] = " ".join(own)
+    assert jaccard(texts[1], texts[2]) > 0.8 > jaccard(texts[0], texts[1])
+    assert classes_of(make_docs([(i, t, "en", "s") for i, t in texts.items()])) == brute_classes(texts)
