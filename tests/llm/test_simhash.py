@@ -145,3 +145,19 @@ def test_texts_of_the_same_words_in_another_order(make_docs):
         texts[k + 1] = " ".join(own)
     assert jaccard(texts[1], texts[2]) > 0.8 > jaccard(texts[0], texts[1])
     assert classes_of(make_docs([(i, t, "en", "s") for i, t in texts.items()])) == brute_classes(texts)
+
+
+def test_pairs_at_the_least_similarity_are_all_found(make_docs):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(5000)]
+    texts = {}
+    for k in range(400):
+        base = [rng.choice(words) for _ in range(rng.choice([60, 200]))]
+        more = len(base) // 5 + 1
+        while len(set(simhash.shingles(" ".join(base).encode(), 5))) < 0.8 * (len(base) + more - 4):
+            more -= 1
+        texts[2 * k] = " ".join(base)
+        texts[2 * k + 1] = " ".join(base + [rng.choice(words) for _ in range(more)])
+    assert all(0.8 <= jaccard(texts[2 * k], texts[2 * k + 1]) < 0.83 for k in range(400))
+    want = {frozenset((2 * k, 2 * k + 1)) for k in range(400)}
+    assert classes_of(make_docs([(i, t, "en", "s") for i, t in texts.items()])) == want
