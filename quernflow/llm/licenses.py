@@ -57,6 +57,30 @@ TEMPLATES = (
     ("Unlicense", "Unencumbered software released into the public domain under the Unlicense."),
 )
 
+# Licence texts' operative parts and standard headers, each taken from its first words on.
+TEXTS = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+)
+# What opens a line inside a comment, and what ends one.
+MARKS = r"(?m)^[ \t]*(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--)[ \t]*|[ \t]*(?:\*+/|-->)[ \t\r]*$"
+
 
 @lru_cache(8)
 def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float, bool]], float, list[str]]:
@@ -105,7 +129,15 @@ def _score(spark: SparkSession, units: DataFrame, templates, least: float) -> Da
     return best.select("uid", "b.license", "b.similarity")
 
 
-def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
+def _stretches(text, texts):
+    """For each of ``texts`` the stretches of its length from its first three words on, in a text without line breaks."""
+    found = []
+    for first, n in sorted({(" ".join(t.split()[:3]), len(t.split())) for _, t in texts}):
+        found.append(F.regexp_extract_all(text, F.lit(rf"(?i)(?<![a-z0-9]){re.escape(first)}\S*(?: \S+){{0,{n - 3}}}"), F.lit(0)))
+    return F.flatten(F.array(*found))
+
+
+def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TEMPLATES, least: float = LEAST, texts=TEXTS) -> DataFrame:
     """(key, path, license, basis, similarity, found_in) for every row of ``files``.
 
     ``basis`` is ``file`` for a licence file's own statement (its name says so, or half of its words are the statement),
@@ -113,7 +145,8 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     below a directory with a licence file, and null for neither. A text with several takes the one with the largest cosine,
     then the first by name. Several licence files in a directory: the first path counts. Rows with one key and path share
     their result; null and empty texts have none of their own; a null path inherits nothing and is no licence file; an empty
-    table gives no rows. Whole texts are scanned; the templates are broadcast, being a fixed list.
+    table gives no rows. Whole texts are scanned; the templates are broadcast, being a fixed list. Of licence bodies and
+    standard headers (``texts``) the stretch from their first words on is compared, line breaks and comment marks folded.
     """
     spark = files.sparkSession
     _, _, anchors = _model(tuple(templates), least)
@@ -121,13 +154,24 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     rows = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t")).where(F.col("t").rlike(anchored))
     lines = F.split("t", "\\n")
     cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))), F.split("t", "\\n[ \\t]*\\n"))
-    words = F.regexp_count(F.col("t"), F.lit("[^\\x20\\x09-\\x0D]+")).alias("n_words")
+    words_of = lambda c: F.regexp_count(c, F.lit("[^\\x20\\x09-\\x0D]+"))
+    words = words_of(F.col("t")).alias("n_words")
     units = rows.select("k", "p", words, F.explode(F.array_distinct(F.transform(cut, lambda x: F.btrim(x, F.lit(" \t\r\n"))))).alias("unit"))
     share = F.regexp_count(F.col("unit"), F.lit("[^\\x20\\x09-\\x0D]+")) * 2 >= F.col("n_words")
     units = units.where(F.col("unit").rlike(anchored)).select("k", "p", share.alias("share"), F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
     units = materialize(units, "units")
     named = _score(spark, units.select("uid", "unit"), templates, least)
-    own = units.select("k", "p", "share", "uid").join(named, "uid").groupBy("k", "p").agg(
+    said = units.select("k", "p", "share", "uid").join(named, "uid").select("k", "p", "share", "license", "similarity")
+    if texts:
+        flat = F.regexp_replace(F.regexp_replace(F.col(text), MARKS, " "), "\\s+", " ")
+        firsts = "(?i)" + "|".join(sorted({re.escape(" ".join(t.split()[:3])) for _, t in texts}))
+        bodies = files.select(F.col(key).alias("k"), F.col(path).alias("p"), words_of(F.col(text)).alias("n_words"), flat.alias("t")).where(F.col("t").rlike(firsts))
+        bodies = bodies.select("k", "p", "n_words", F.explode(F.array_distinct(_stretches(F.col("t"), texts))).alias("unit"))
+        bodies = bodies.select("k", "p", (words_of(F.col("unit")) * 2 >= F.col("n_words")).alias("share"), F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
+        bodies = materialize(bodies, "bodies")
+        named = _score(spark, bodies.select("uid", "unit"), texts, least)
+        said = said.unionByName(bodies.join(named, "uid").select("k", "p", "share", "license", "similarity"))
+    own = said.groupBy("k", "p").agg(
         F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), F.col("license"))).alias("b"),
         F.max("share").alias("mostly"),
     )

@@ -203,6 +203,21 @@ def test_license_scan_and_inheritance(spark):
     assert licenses.scan(spark.createDataFrame([], "id int, path string, text string"), "id", "path").count() == 0
 
 
+def test_licence_bodies_and_standard_headers(spark):
+    texts = dict((n, [t for m, t in licenses.TEXTS if m == n]) for n, _ in licenses.TEXTS)
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + texts["MIT"][0].replace("software and", "software\nand") + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."
+    bsd = "Copyright 2020\n\n" + texts["BSD-3-Clause"][0].replace(" 2. ", "\n\n2. ").replace(" 3. ", "\n\n3. ") + "\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989 Free Software Foundation\n"
+    apache = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n"
+    head = "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */\nint main() { return 0; }\n" + "x = 1;\n" * 80
+    rows = [(1, "m/LICENSE", mit), (2, "m/a/x.c", "int x;"), (3, "b/COPYING", bsd), (4, "b/y.c", "int y;"), (5, "g/COPYING", gpl), (6, "g/z.c", "int z;"), (7, "a/LICENSE", apache), (8, "a/w.c", "int w;"), (9, "h/v.c", head), (10, "h/u.c", "int u;")]
+    got = {r["id"]: (r["license"], r["basis"]) for r in licenses.scan(spark.createDataFrame(rows, "id int, path string, text string"), "id", "path").collect()}
+    want = {}
+    for at, name in ((1, "MIT"), (3, "BSD-3-Clause"), (5, "GPL-2.0"), (7, "Apache-2.0")):
+        want |= {at: (name, "file"), at + 1: (name, "inherited")}
+    assert got == want | {9: ("GPL-3.0", "header"), 10: (None, None)}
+
+
 def test_anchors_leave_out_only_common_words():
     rows, _, anchors = licenses._model(licenses.TEMPLATES, licenses.LEAST)
     vectors = {}
