@@ -1,6 +1,6 @@
 """Licence scans with DataFrame operations alone: TF-IDF cosine of statements to templates, then inheritance by path.
 
-A text is looked at in units: its lines, its sentences and its paragraphs. A unit and a template are sparse vectors of term
+A text is looked at in units: its lines, its sentences, its paragraphs and the sentences of two or three lines on end. A unit and a template are sparse vectors of term
 counts times inverse document frequency over the templates; a unit carries the licence of the template with the largest
 cosine of ``LEAST`` or more, if it has one of the template's anchors. Anchors are the template's heaviest terms but common
 words, numbers last, as many as it takes until the others alone could not reach ``LEAST``: only a unit made of common words
@@ -154,6 +154,11 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     rows = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t")).where(F.col("t").rlike(anchored))
     lines = F.split("t", "\\n")
     cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))), F.split("t", "\\n[ \\t]*\\n"))
+    bare = F.split(F.regexp_replace("t", MARKS, ""), "\\n")
+    for n in (2, 3):  # notices wrapped over neighbouring lines
+        spans = F.transform(F.sequence(F.lit(1), F.size(bare)), lambda i: F.array_join(F.slice(bare, i, n), " "))  # noqa: B023
+        spans = F.filter(spans, lambda x: x.rlike(anchored))
+        cut = F.concat(cut, spans, F.flatten(F.transform(spans, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))))
     words_of = lambda c: F.regexp_count(c, F.lit("[^\\x20\\x09-\\x0D]+"))
     words = words_of(F.col("t")).alias("n_words")
     units = rows.select("k", "p", words, F.explode(F.array_distinct(F.transform(cut, lambda x: F.btrim(x, F.lit(" \t\r\n"))))).alias("unit"))

@@ -218,6 +218,13 @@ def test_licence_bodies_and_standard_headers(spark):
     assert got == want | {9: ("GPL-3.0", "header"), 10: (None, None)}
 
 
+def test_notices_wrapped_over_lines(spark):
+    notices = [("Apache-2.0", "Licensed under the Apache", "License, Version 2.0."), ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0", "International License."), ("GPL-2.0", "This work is licensed under the GNU General Public", "License, version 2.")]
+    rows = [(i, f"d{i}/x.c", f"Some words ahead of it.\n{mark}{a}\n{mark}{b}\nint x = 1;\n" + "y = x + 1;\n" * 40) for i, (mark, (_, a, b)) in enumerate((m, n) for m in ("", "// ", " * ") for n in notices)]
+    got = {r["id"]: r["license"] for r in licenses.scan(spark.createDataFrame(rows, "id int, path string, text string"), "id", "path").collect()}
+    assert got == {i: notices[i % 3][0] for i in range(9)}
+
+
 def test_anchors_leave_out_only_common_words():
     rows, _, anchors = licenses._model(licenses.TEMPLATES, licenses.LEAST)
     vectors = {}
