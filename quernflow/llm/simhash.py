@@ -26,15 +26,17 @@ WIDTHS = (22, 21, 21)
 SEED = 42
 #: Links within three bits: one family of Golay keys, three of equal segments.
 WITHIN_3 = (("near", 0, 1), ("same", 0, 1), ("same", 0, 2), ("same", 1, 2))
-#: For wider radii: each pair of segments by its Golay keys.
-ALL_NEAR = (("near", 0, 1), ("near", 0, 2), ("near", 1, 2))
 #: Rows of one key compared in one piece; more are dealt into blocks, and each two blocks meet.
 BLOCK = 200_000
-#: Runs up to this size are compared by shifting, larger ones by breadth-first search; the second holds where hubs are asked.
-SHIFTED, SHIFTED_WITH_HUBS = 32, 8
+#: Texts of one codeword, or of one shingle, that a task of the near-duplicate search has at a time.
+GROUP = 20_000
+#: Runs up to this size are compared by shifting, larger ones by a search.
+SHIFTED = 32
 #: Texts in the sample for frequent shingles and hot keys, about; shingles that are ordered by their frequency in it.
 SAMPLE, MOST_FREQUENT = 20_000, 200_000
 _SLICE = 1 << 16
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingles(text: bytes | None, n: int) -> list[bytes]:
@@ -119,52 +121,22 @@ def forest(fps: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def stars(fps: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]], radius: int, hubs: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each component that ``edges`` (a forest) span, links of its members to the ``hubs`` members nearest to its bitwise
-    majority; of the forest those links stay whose later member no hub reaches."""
-    parent, came = {}, {}
-    for a, b in edges:
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            parent[y] = parent.get(x, x)
-            came[y] = x
-    of = np.array([parent.get(x, x) for x in fps.tolist()], dtype=np.uint64)
-    out = []
-    for top in np.unique(of):
-        mine = fps[of == top]
-        votes = np.unpackbits(mine.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        centre = np.packbits(votes * 2 > len(mine), bitorder="little").view("<u8")[0]
-        reached = np.zeros(len(mine), dtype=bool)
-        chosen = mine[np.argsort(np.bitwise_count(mine ^ centre), kind="stable")[:hubs]]
-        for hub in chosen:
-            close = np.bitwise_count(mine ^ hub) <= radius
-            reached |= close
-            out.append((np.full(int(close.sum()), hub), mine[close]))
-        rest = [(came[y], y) for y in mine[~reached].tolist() if y in came]
-        if rest:
-            out.append(tuple(np.array(c, dtype=np.uint64) for c in zip(*rest, strict=True)))
-        if len(chosen) > 1:  # the hubs are of one component
-            out.append((chosen[:-1], chosen[1:]))
-    return out
-
-
-def run_edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links within runs of equal ``group`` (whole runs only), with links to ``hubs`` central members."""
+def run_edges(group: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links within runs of equal ``group`` (whole runs only)."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    most = SHIFTED_WITH_HUBS if hubs else SHIFTED
-    small = np.repeat(sizes <= most, sizes)
-    for shift in range(1, int(sizes[sizes <= most].max(initial=1))):
+    small = np.repeat(sizes <= SHIFTED, sizes)
+    for shift in range(1, int(sizes[sizes <= SHIFTED].max(initial=1))):
         i = np.flatnonzero((group[shift:] == group[:-shift]) & small[shift:])
         if not len(i):
             break
         i = i[np.bitwise_count(fps[i] ^ fps[i + shift]) <= radius]
         a.append(fps[i])
         b.append(fps[i + shift])
-    for at in np.flatnonzero(sizes > most):
+    for at in np.flatnonzero(sizes > SHIFTED):
         run = np.unique(fps[starts[at] : starts[at] + sizes[at]])
-        found = forest(run, radius)
-        for x, y in stars(run, found, radius, hubs) if hubs else found:
+        for x, y in forest(run, radius):
             a.append(x)
             b.append(y)
     a, b = np.concatenate(a), np.concatenate(b)
@@ -184,7 +156,7 @@ def _keyed(families):
     return run
 
 
-def _linked(radius, hubs):
+def _linked(radius):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # an open run; it has BLOCK rows or two blocks at most
         for batch in stream:
@@ -204,25 +176,24 @@ def _linked(radius, hubs):
             whole_f = np.concatenate([*(f for _, f in held), fps[:last]])
             held = [(group[last:], fps[last:])]
             if len(whole_g):
-                yield _edges(whole_g, whole_f, radius, hubs)
+                yield _edges(whole_g, whole_f, radius)
         if held:
-            yield _edges(np.concatenate([g for g, _ in held]), np.concatenate([f for _, f in held]), radius, hubs)
+            yield _edges(np.concatenate([g for g, _ in held]), np.concatenate([f for _, f in held]), radius)
 
     return run
 
 
-def _edges(group: np.ndarray, fps: np.ndarray, radius: int, hubs: int) -> pa.RecordBatch:
+def _edges(group: np.ndarray, fps: np.ndarray, radius: int) -> pa.RecordBatch:
     ids = np.cumsum(np.r_[0, (group[1:] != group[:-1]).any(axis=1)])
-    a, b = run_edges(ids, fps.view(np.uint64), radius, hubs)
+    a, b = run_edges(ids, fps.view(np.uint64), radius)
     a, b = a.view(np.int64), b.view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["src", "dst"])
 
 
-def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK, hubs: int = 0) -> DataFrame:
+def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK) -> DataFrame:
     """(src, dst): links that span those within ``radius`` bits among the distinct ``fp`` (long) of ``fps``.
 
-    With ``WITHIN_3`` and a radius of 3 or less none is missed; with ``ALL_NEAR`` a wider radius is reached with less than
-    full recall. A key with more than ``block`` rows is dealt into blocks of about that size and every two of them are
+    With ``WITHIN_3`` and a radius of 3 or less none is missed. A key with more than ``block`` rows is dealt into blocks of about that size and every two of them are
     compared in a task of their own.
     """
     keyed = fps.select("fp").mapInArrow(_keyed(families), "key long, fp long")
@@ -237,7 +208,7 @@ def links(fps: DataFrame, radius: int = 3, families=WITHIN_3, block: int = BLOCK
         keyed = keyed.select("key", "fp", "own", F.explode(F.sequence(none, F.col("n") - 1)).alias("other"))
         keyed = keyed.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     dealt = keyed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "fp")
-    return dealt.mapInArrow(_linked(radius, hubs), "src long, dst long").distinct()
+    return dealt.mapInArrow(_linked(radius), "src long, dst long").distinct()
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = SEED, block: int = BLOCK) -> DataFrame:
@@ -260,182 +231,343 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int
     return narrow.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, seeds=(42, 43), hubs: int = 2, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text_key, class_id) for the rows of ``docs`` that have a doc_id: classes of texts whose sets of
-    ``shingle``-word shingles overlap by ``similarity`` or more (Jaccard), and of equal texts.
+class _Words(dict):
+    """XXH64 of words, taken once each."""
 
-    A similarity of 0.8 on five-word shingles lies far beyond three bits, so first candidates come from fingerprints of the
-    set of words, one for each of ``seeds``, within ``radius`` bits, by the Golay keys of every two segments; then the whole
-    shingle sets are compared. Equal texts are one node (its smallest doc_id), equal fingerprints a star. In a bucket of over
-    ``SHIFTED_WITH_HUBS`` fingerprints each is held against the ``hubs`` most central ones of its component, not against all.
-    That links most of a large class at little cost and misses pairs; all pairs of texts that are not linked by then are
-    found exactly, by prefixes of their shingle sets (see ``_prefix_pairs``), and compared as well.
-    Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id.
-    """
-    batches.bound(docs.sparkSession)
-    key = _text_key()
-    prints = [fingerprints(docs, 1, seed, True).alias(f"fp{i}") for i, seed in enumerate(seeds)]
-    narrow = materialize(docs.where("doc_id is not null").select("doc_id", key.alias("text_key"), *prints), "fingerprints")
-    nodes = narrow.groupBy("text_key").agg(F.min("doc_id").alias("node"), *[F.min(f"fp{i}").alias(f"fp{i}") for i in range(len(seeds))])
-    nodes = materialize(nodes, "nodes")
-    pairs = None
-    for i in range(len(seeds)):
-        hub = nodes.groupBy(F.col(f"fp{i}").alias("fp")).agg(F.min("node").alias("hub"))
-        star = nodes.join(hub, F.col(f"fp{i}") == F.col("fp")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
-        found = links(hub, radius, ALL_NEAR, block, hubs)
-        found = found.join(hub.select(F.col("fp").alias("src"), F.col("hub").alias("a")), "src").join(hub.select(F.col("fp").alias("dst"), F.col("hub").alias("b")), "dst")
-        both = star.unionByName(found.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))).where("src <> dst")
-        pairs = both if pairs is None else pairs.unionByName(both)
-    same = _verified(docs, nodes, materialize(pairs.distinct(), "pairs"), similarity, shingle)
-    labels = materialize(_labelled(nodes, components(same)), "labels")
-    pairs = materialize(_prefix_pairs(docs, labels, similarity, shingle, block), "pairs")
-    if not pairs.isEmpty():
-        same = same.unionByName(_verified(docs, nodes, pairs, similarity, shingle))
-        labels = _labelled(nodes, components(same))
-    names = labels.groupBy("root").agg(F.min("node").alias("class_id"))
-    classes = labels.join(names, "root").select("text_key", "class_id")
-    return narrow.select("doc_id", "text_key").join(classes, "text_key").select("doc_id", "text_key", "class_id")
-
-
-def _text_key():
-    return F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-
-
-def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """(node, text_key, root) of all nodes; a node without links is its own root."""
-    return nodes.select("node", "text_key").join(found, "node", "left").select("node", "text_key", F.coalesce("root", "node").alias("root"))
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """Those of ``pairs`` (src, dst) whose whole shingle sets overlap by ``similarity`` or more."""
-    ends = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
-    ends = ends.join(nodes.select(F.col("node").alias("doc_id"), "text_key"), "doc_id")
-    texts = docs.select("doc_id", "text", _text_key().alias("text_key")).join(ends, ["doc_id", "text_key"], "left_semi")
-    sets = materialize(texts.select("doc_id", _shingle_set(F.col("text").cast("binary"), shingle).alias("set")).dropDuplicates(["doc_id"]), "sets")
-    held = pairs.join(sets.select(F.col("doc_id").alias("src"), F.col("set").alias("a")), "src").join(sets.select(F.col("doc_id").alias("dst"), F.col("set").alias("b")), "dst")
-    common = F.size(F.array_intersect("a", "b"))
-    whole = F.size("a") + F.size("b") - common
-    return materialize(held.where((common >= F.lit(similarity) * whole)).select("src", "dst"), "same")
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return found
 
 
-def _hashed(text: bytes | None, n: int) -> np.ndarray:
-    """The distinct XXH64 of the n-word shingles, in order; a single 0 without words."""
-    parts = shingles(text, n)
-    return np.unique(np.array([xxhash.xxh64_intdigest(s) for s in parts], dtype=np.uint64)).view(np.int64) if parts else np.zeros(1, np.int64)
+def _hashed(text: bytes | None, n: int, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a text, A-Z lower-cased, and the distinct hashes of its n-word shingles in order (of the whole
+    when it has fewer words; a single 0 without words)."""
+    parts = (text or b"").lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
+    single = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
+    with np.errstate(over="ignore"):
+        span = min(n, len(parts))
+        out = np.zeros(len(parts) - span + 1, np.uint64)
+        for k in range(span):
+            out = out * _STEP + single[k : k + len(out)]
+        out ^= out >> np.uint64(32)
+        out *= _MIX
+        out ^= out >> np.uint64(29)
+    return single, np.unique(out)
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed number; 0 without hashes."""
+    if not len(hashes):
+        return 0
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _SLICE):
+        part = hashes[at : at + _SLICE]
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+
+
+def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, parts[0].dtype if parts else np.int64), *parts]), kind))
+
+
+#: ``words``: fingerprint of the set of words; ``shingles``: 32 bits of each hash; ``prefix``: hashes that stand first in the
+#: common order; ``bits``: for each of ``_PLACES`` the parity of the hashes that fall on it.
+DESCRIBED = "doc_id long, node long, words long, shingles array<int>, prefix array<long>, bits binary"
+_PLACES = 512
 
 
-def _prefix_pairs(docs: DataFrame, labels: DataFrame, similarity: float, shingle: int, block: int) -> DataFrame:
+def _describe(similarity: float, n: int, order):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, rank = order.value
+        words = _Words()
+        for batch in stream:
+            if len(words) > 1 << 20:
+                words.clear()
+            prints, sets, prefixes, bits = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                single, h = _hashed(text, n, words)
+                prints.append(_majority(np.unique(single)))
+                sets.append(np.unique(h.astype(np.uint32)).view(np.int32))
+                places = np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=_PLACES) & 1
+                bits.append(np.packbits(places.astype(bool)).tobytes())
+                first = len(h) - int(np.ceil(similarity * len(h) - 1e-6)) + 1
+                signed = h.view(np.int64)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, signed), len(frequent) - 1)
+                    signed = signed[np.argsort(np.where(frequent[at] == signed, rank[at], 0), kind="stable")]
+                prefixes.append(signed[:first])
+            columns = [batch.column(0), batch.column(1), pa.array(prints, pa.int64()), _lists(sets, pa.int32()), _lists(prefixes, pa.int64()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in DESCRIBED.split(", ")])
+
+    return run
+
+
+def _counted(n: int):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for batch in stream:
+            found = [_hashed(t, n, words)[1] for t in batch.column(0).to_pylist()]
+            key, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], names=["key", "n"])
+
+    return run
+
+
+def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of about ``SAMPLE`` texts have, ``MOST_FREQUENT`` at most, in order, and how many have them."""
+    every = docs.count() // SAMPLE + 1
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    sample = docs.where(F.pmod(key, F.lit(every)) == 0).select(F.col("text").cast("binary").alias("text"))
+    seen = sample.mapInArrow(_counted(n), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n >= 4")
+    top = sorted((r["key"], r["n"]) for r in seen.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).collect())
+    return np.array([k for k, _ in top], dtype=np.int64), np.array([c for _, c in top], dtype=np.int64)
+
+
+# ---------------------------------------------------------------- candidates by fingerprints of the set of words
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many parity bits rows of x and y differ; their sets differ in as many shingles at least."""
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
+def spanning(fps: np.ndarray, sizes: np.ndarray, bits: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A minimum spanning forest (a, b, weight by index) of rows within ``radius`` bits of each other's fingerprints; the
+    weight is the share of their shingles in which two rows differ, going by the parity bits."""
+    n = len(fps)
+    at, near, best = np.arange(n), np.zeros(n, np.int64), np.full(n, np.inf)
+    rest = [fps.copy(), sizes.copy(), bits.copy(), at, near, best]
+    a, b, weight = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, np.inf)
+    i = 0
+    for k in range(n):
+        a[k], b[k], weight[k] = near[i], at[i], best[i]
+        row, f, s, p = at[i], rest[0][i], rest[1][i], rest[2][i].copy()
+        left = n - 1 - k
+        for column in rest:
+            column[i] = column[left]
+        if left:
+            share = _apart(rest[2][:left], p) / (rest[1][:left] + s)
+            share[np.bitwise_count(rest[0][:left] ^ f) > radius] = np.inf
+            closer = share < best[:left]
+            near[:left][closer] = row
+            np.minimum(best[:left], share, out=best[:left])
+            i = int(best[:left].argmin())
+    found = np.isfinite(weight)
+    return a[found], b[found], weight[found]
+
+
+def joining(group: np.ndarray, fps: np.ndarray, roots: np.ndarray, sizes: np.ndarray, bits: np.ndarray, family: int, radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (by index) between rows of one group that share a Golay key of a further segment, are within ``radius`` bits
+    and differ in root: a minimum spanning forest of each group's roots. Pairs whose parity bits rule ``similarity`` out are
+    no links."""
+    held = []
+    for j in range(family + 1, len(WIDTHS)):
+        keys = golay.nearby(segments(fps)[j], WIDTHS[j])
+        row, k = np.nonzero(keys >= 0)
+        key = group[row] << 12 | keys[row, k]
+        order = np.lexsort((fps[row], key))
+        key, row = key[order], row[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        runs = np.diff(np.r_[starts, len(key)])
+        small = np.repeat(runs <= SHIFTED, runs)
+        for shift in range(1, int(runs[runs <= SHIFTED].max(initial=1))):
+            i = np.flatnonzero((key[shift:] == key[:-shift]) & small[shift:])
+            x, y = row[i], row[i + shift]
+            ok = (np.bitwise_count(fps[x] ^ fps[y]) <= radius) & (roots[x] != roots[y])
+            x, y = x[ok], y[ok]
+            held.append((x, y, _apart(bits[x], bits[y]) / (sizes[x] + sizes[y])))
+        for at in np.flatnonzero(runs > SHIFTED):
+            run = row[starts[at] : starts[at] + runs[at]]
+            if (roots[run] != roots[run[0]]).any():
+                x, y, share = spanning(fps[run], sizes[run], bits[run], radius)
+                held.append((run[x], run[y], share))
+    if not held:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x, y, share = (np.concatenate(c) for c in zip(*held, strict=True))
+    ok = share <= (1 - similarity) / (1 + similarity) + 1e-9
+    x, y, share = x[ok], y[ok], share[ok]
+    order = np.lexsort((y, x, share))
+    x, y = x[order], y[order]
+    _, mark = np.unique(np.stack([group, roots], axis=1), axis=0, return_inverse=True)
+    up = list(range(int(mark.max(initial=-1)) + 1))
+    keep = []
+    for i, (p, q) in enumerate(zip(mark[x].tolist(), mark[y].tolist(), strict=True)):
+        while up[p] != p:
+            up[p] = p = up[up[p]]
+        while up[q] != q:
+            up[q] = q = up[up[q]]
+        if p != q:
+            up[p] = q
+            keep.append(i)
+    return x[keep], y[keep]
+
+
+def _codes(family: int):
+    """How many rows of a batch decode to each codeword of a segment."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 12, np.int64)
+        for batch in stream:
+            fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = golay.nearby(segments(fps)[family], WIDTHS[family])
+            counts += np.bincount(keys[keys >= 0], minlength=len(counts))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["code", "n"])
+
+    return run
+
+
+GROUPED = "grp long, fp long, node long, root long, size int, bits binary"
+
+
+def _dealt(family: int, hot: np.ndarray):
+    """Rows (fp, node, root, size, bits) to the groups of their codewords; those of ``hot`` codewords to a group for each
+    further key."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            parts = segments(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            keys = golay.nearby(parts[family], WIDTHS[family])
+            row, k = np.nonzero(keys >= 0)
+            code = keys[row, k]
+            many = np.isin(code, hot)
+            groups, rows = [code[~many] << 16], [row[~many]]
+            for j in range(family + 1, len(WIDTHS)):
+                more = golay.nearby(parts[j], WIDTHS[j])[row[many]]
+                i, k = np.nonzero(more >= 0)
+                groups.append(code[many][i] << 16 | j << 12 | more[i, k])
+                rows.append(row[many][i])
+            group, row = np.concatenate(groups), np.concatenate(rows)
+            for at in range(0, len(row), _SLICE):
+                part = pa.array(row[at : at + _SLICE])
+                yield pa.RecordBatch.from_arrays([pa.array(group[at : at + _SLICE]), *(c.take(part) for c in batch.columns)], names=[x.split()[0] for x in GROUPED.split(", ")])
+
+    return run
+
+
+def _whole_groups(stream: Iterator[pa.RecordBatch], width: int, most: int) -> Iterator[list[np.ndarray]]:
+    """Columns of whole groups (rows equal in the first ``width`` columns), some groups at a time; a group of over ``most``
+    rows comes in pieces of that size."""
+    held, rows = [], 0
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held.append(columns)
+        rows += batch.num_rows
+        if rows < 1 << 14:
+            continue
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        new = np.zeros(rows - 1, dtype=bool)
+        for c in columns[:width]:
+            new |= c[1:] != c[:-1]
+        cuts = np.flatnonzero(new)
+        cut = int(cuts[-1]) + 1 if len(cuts) else rows if rows >= most else 0
+        if cut:
+            yield [c[:cut] for c in columns]
+        held, rows = [[c[cut:] for c in columns]], rows - cut
+    if rows:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _unpacked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column, the parity bits, is replaced by columns of numbers."""
+    for batch in stream:
+        bits = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.uint64).reshape(-1, _PLACES // 64)
+        columns = [*batch.columns[:-1], *(pa.array(np.ascontiguousarray(c)) for c in bits.T)]
+        yield pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(len(columns))])
+
+
+def _joined(family: int, radius: int, similarity: float, block: int):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, fps, nodes, roots, sizes, *bits in _whole_groups(_unpacked(stream), 1, block):
+            a, b = joining(group, fps.view(np.uint64), roots, sizes, np.stack(bits, axis=1), family, radius, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(nodes[a], nodes[b])), pa.array(np.maximum(nodes[a], nodes[b]))], names=["src", "dst"])
+
+    return run
+
+
+def _by_fingerprint(table: DataFrame, labels: DataFrame, family: int, radius: int, similarity: float, block: int) -> DataFrame:
+    """(src, dst): pairs of nodes that join roots, candidates by one segment's Golay codewords and a further segment's."""
+    rows = table.join(labels.select("row", "root"), "row").select(F.col("words").alias("fp"), "node", "root", F.size("shingles").alias("size"), "bits")
+    counts = labels.select("words").mapInArrow(_codes(family), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    hot = np.array([r["code"] for r in counts.where(F.col("n") > block).collect()], dtype=np.int64)  # of 4096 codewords
+    groups = rows.mapInArrow(_dealt(family, hot), GROUPED).repartition("grp").sortWithinPartitions("grp", "fp", "node")
+    return groups.mapInArrow(_joined(family, radius, similarity, block), "src long, dst long").distinct()
+
+
+# ---------------------------------------------------------------- the rest, exactly
+
+
+def _by_prefix(table: DataFrame, labels: DataFrame, similarity: float, block: int) -> DataFrame:
     """(src, dst): pairs of nodes of different roots, among them every one whose shingle sets overlap by ``similarity``.
 
     In any one order of all shingles, of two such sets of sizes a and b the first a - ceil(similarity a) + 1 and the first
-    b - ceil(similarity b) + 1 have a shingle in common. The order puts shingles last that are frequent in a sample, so that
-    boilerplate is no key; it bears on the time alone, not on what is found. Pairs of one root need no comparison, so a
-    large family costs nothing once it is linked. A key with more than ``block`` rows, as the sample has it, is dealt into
-    blocks as in ``links``.
+    b - ceil(similarity b) + 1 have a shingle in common; frequent ones stand last. Keys within one root are put aside by
+    their least and greatest root, so a large family costs nothing once it is linked. Of the rest a pair must agree in
+    size, in the places of the key in both, and in parity bits that bound from below in how many shingles the sets differ.
+    A key of over ``block`` rows is dealt into blocks, and every two of them meet in a task of their own.
     """
-    every = labels.count() // SAMPLE + 1
-    drawn = lambda c: F.pmod(F.xxhash64(c), F.lit(every)) == 0
-    sample = docs.where("doc_id is not null").where(drawn(_text_key()))
-    seen = sample.select(F.explode(_hashes(F.col("text").cast("binary"), shingle)).alias("key")).groupBy("key").count().where(F.col("count") >= 4)
-    top = seen.orderBy(F.desc("count"), "key").limit(MOST_FREQUENT).collect()
-    frequent = np.array(sorted(r["key"] for r in top), dtype=np.int64)
-    rank = np.array([n for _, n in sorted((r["key"], r["count"]) for r in top)], dtype=np.int64)
-
-    @F.pandas_udf("array<long>")
-    def prefix(texts: pd.Series) -> pd.Series:
-        """The size of the set, then its prefix."""
-        out = []
-        for t in texts:
-            h = _hashed(t, shingle)
-            n = len(h)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-                h = h[np.argsort(np.where(frequent[at] == h, rank[at], 0), kind="stable")]
-            out.append(np.r_[n, h[: n - int(np.ceil(similarity * n - 1e-6)) + 1]])
-        return pd.Series(out)
-
-    named = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), _text_key().alias("text_key"), prefix(F.col("text").cast("binary")).alias("prefix"))
-    named = named.join(labels, ["node", "text_key"]).select("node", "root", "prefix")
-    keys = named.select("node", "root", F.element_at("prefix", 1).alias("n"), F.posexplode(F.slice("prefix", 2, F.size("prefix"))).alias("at", "key"))
-    keyed = keys.select("key", "node", "root", (F.shiftleft("n", 32) + F.col("at")).alias("place"))
-    hot = keyed.where(drawn("node")).groupBy("key").count().where(F.col("count") * every > block)
-    hot = materialize(hot.select("key", F.ceil(F.col("count") * every / block).cast("int").alias("n")), "hot")
-    none = F.lit(0)
-    if hot.isEmpty():
-        keyed = keyed.withColumns({"lo": none, "hi": none})
-    else:
-        keyed = keyed.join(hot, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-        keyed = keyed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(none, F.col("n") - 1)))
-        keyed = keyed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    dealt = keyed.select("key", "lo", "hi", "node", "root", "place").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    rows = table.join(labels.select("row", "root"), "row")
+    keys = rows.select("root", F.explode("prefix").alias("key"))
+    mixed = keys.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low < high")
+    mixed = materialize(mixed.select("key", F.ceil(F.col("rows") / F.lit(block)).cast("int").alias("blocks")), "mixed")
+    place = (F.shiftleft(F.size("shingles").cast("long"), 32) + F.col("at")).alias("place")
+    rows = rows.select("node", "root", "shingles", "bits", F.posexplode("prefix").alias("at", "key")).select("key", "node", "root", place, "bits")
+    rows = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root", "place", "bits")
+    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return dealt.mapInArrow(_paired(similarity), "src long, dst long").distinct()
 
 
-def _hashes(text, n: int):
-    @F.pandas_udf("array<long>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([_hashed(t, n) for t in texts])
-
-    return of(text)
-
-
 def _paired(similarity: float):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # an open run; it has about one block's rows or two blocks' at most
-        for batch in stream:
-            if not batch.num_rows:
-                continue
-            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
-            new = np.r_[not held or (held[-1][-1, :3] != rows[0, :3]).any(), (rows[1:, :3] != rows[:-1, :3]).any(axis=1)]
-            cuts = np.flatnonzero(new)
-            if len(cuts):
-                whole = np.concatenate([*held, rows[: cuts[-1]]])
-                held = []
-                if len(whole):
-                    yield from run_pairs(whole, similarity)
-                rows = rows[cuts[-1] :]
-            held.append(rows)
-        if held:
-            yield from run_pairs(np.concatenate(held), similarity)
+        for key, lo, hi, node, root, place, *bits in _whole_groups(_unpacked(stream), 3, 1 << 62):
+            group = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+            for a, b in run_pairs(group, node, root, place, np.stack(bits, axis=1), similarity):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["src", "dst"])
 
     return run
 
 
-def run_pairs(rows: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes within runs of equal key (key, lo, hi, node, root, place; whole runs only) that differ in root and
-    that neither their sizes nor the places of the key in both sets keep below ``similarity``."""
-    starts = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
-    mixed = np.maximum.reduceat(rows[:, 4], starts) != np.minimum.reduceat(rows[:, 4], starts)
-    rows = rows[np.repeat(mixed, np.diff(np.r_[starts, len(rows)]))]
-    if not len(rows):
-        return
-    group = np.cumsum(np.r_[0, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
-    node, root, size, at = rows[:, 3], rows[:, 4], rows[:, 5] >> 32, rows[:, 5] & 0xFFFFFFFF
-    sizes = np.bincount(group)
+def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.ndarray, bits: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of equal ``group`` that differ in root and that neither sizes nor places nor parity bits keep below
+    ``similarity``; ``place`` is a set's size above 32 bits with the key's place in it."""
+    size, at = place >> 32, place & 0xFFFFFFFF
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[starts, len(group)])
     held, waiting = [], 0
 
     def close(i, j):
+        ok = root[i] != root[j]
+        i, j = i[ok], j[ok]
+        both = size[i] + size[j]
         left = np.minimum(size[i] - at[i], size[j] - at[j])
-        least = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
-        ok = (root[i] != root[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= least)
-        a, b = np.broadcast_arrays(node[i], node[j])
-        return np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]], axis=1)
+        ok = (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= similarity / (1 + similarity) * both - 1e-6)
+        i, j, both = i[ok], j[ok], both[ok]
+        ok = _apart(bits[i], bits[j]) <= (1 - similarity) / (1 + similarity) * both + 1e-6
+        a, b = node[i[ok]], node[j[ok]]
+        return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
     def all_pairs():
         small = np.repeat(sizes <= SHIFTED, sizes)
         for shift in range(1, int(sizes[sizes <= SHIFTED].max(initial=1))):
             i = np.flatnonzero((group[shift:] == group[:-shift]) & small[shift:])
-            if not len(i):
-                break
             yield close(i, i + shift)
-        ends = np.cumsum(sizes)
         for g in np.flatnonzero(sizes > SHIFTED):
-            for i in range(ends[g] - sizes[g], ends[g] - 1):
-                yield close(np.array([i]), np.arange(i + 1, ends[g]))
+            mine = np.arange(starts[g], starts[g] + sizes[g])
+            mine = mine[np.argsort(size[mine], kind="stable")]
+            upto = np.searchsorted(size[mine], size[mine] / similarity + 1e-6, "right")  # larger sets cannot be near
+            for k in range(len(mine) - 1):
+                yield close(np.full(upto[k] - k - 1, mine[k]), mine[k + 1 : upto[k]])
 
     def packed():
         found = np.unique(np.concatenate(held), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["src", "dst"])
+        return found[:, 0], found[:, 1]
 
     for found in all_pairs():
         if len(found):
@@ -448,25 +580,76 @@ def run_pairs(rows: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def _shingle_set(text, n: int):
-    @F.pandas_udf("array<int>")
-    def of(texts: pd.Series) -> pd.Series:
-        hashed = xxhash.xxh32_intdigest
-        return pd.Series([np.unique(np.array([hashed(s) for s in shingles(t, n)], dtype=np.uint32)).view(np.int32) for t in texts])
+# ---------------------------------------------------------------- classes
+
 
-    return of(text)
+def _verified(table: DataFrame, labels: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (src, dst) whose whole shingle sets overlap by ``similarity`` or more."""
+    pairs = materialize(pairs, "pairs")
+    ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
+    wanted = labels.join(ends, "node", "left_semi").select("row")
+    sets = materialize(table.join(wanted, "row", "left_semi").select("node", "shingles"), "sets")
+    held = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src")
+    held = held.join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
+    common = F.size(F.array_intersect("a", "b"))
+    whole = F.size("a") + F.size("b") - common
+    return materialize(held.where(common >= F.lit(similarity) * whole).select("src", "dst"), "same")
+
+
+def _merged(labels: DataFrame, same: DataFrame) -> DataFrame:
+    """``labels`` with roots that the links ``same`` join made one."""
+    root = labels.select("node", "root")
+    ends = same.join(root.select(F.col("node").alias("src"), F.col("root").alias("a")), "src").join(root.select(F.col("node").alias("dst"), F.col("root").alias("b")), "dst")
+    found = components(ends.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    named = labels.join(found.select(F.col("node").alias("root"), F.col("root").alias("joined")), "root", "left")
+    return materialize(named.withColumn("root", F.coalesce("joined", "root")).drop("joined"), "labels")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, block: int = GROUP) -> DataFrame:
+    """(doc_id, text_key, class_key, class_id) for the rows of ``docs``: classes of texts whose sets of ``shingle``-word
+    shingles overlap by ``similarity`` or more (Jaccard), and of equal texts.
+
+    Texts are the nodes, under the 64-bit hash of the text (``text_key``); equal texts are one. A similarity of 0.8 on
+    five-word shingles lies far beyond three bits, so candidates come from fingerprints of the set of words within
+    ``radius`` bits, by the Golay codewords of every two segments: a task has all texts of one segment's codeword and gives
+    a minimum spanning forest of what the further segments' codewords bring together (nearest by parity bits of the shingle
+    sets, 64 bytes a text), so candidates grow with the texts and not with the pairs. Whole shingle sets decide. The second segment's turn only joins classes that the first one left
+    apart, and last all pairs across the classes found by then are looked for exactly (``_by_prefix``), so no link is lost.
+    A codeword of over ``block`` texts is dealt out by the further codewords.
+
+    Null and wordless texts are one class. ``class_id`` is the class's smallest doc_id, null where no row has one; a doc_id
+    that stands on several texts counts for each of them. Repeated rows each come back; an empty table gives no rows; only
+    ``doc_id`` and ``text`` are read, whole.
+    """
+    spark = docs.sparkSession
+    batches.bound(spark)
+    order = spark.sparkContext.broadcast(_frequent(docs, shingle))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("node"), F.col("text").cast("binary").alias("text"))
+    table = given.mapInArrow(_describe(similarity, shingle, order), DESCRIBED)
+    table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "described")
+    labels = table.groupBy("node").agg(F.min("row").alias("row"), F.min("words").alias("words"))
+    labels = materialize(labels.withColumn("root", F.col("node")), "labels")
+    for family in range(len(WIDTHS) - 1):
+        labels = _merged(labels, _verified(table, labels, _by_fingerprint(table, labels, family, radius, similarity, block), similarity))
+    labels = _merged(labels, _verified(table, labels, _by_prefix(table, labels, similarity, block), similarity))
+    rows = table.select("doc_id", "node").join(labels.select("node", "root"), "node")
+    names = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return rows.join(names, "root").select("doc_id", F.col("node").alias("text_key"), F.col("root").alias("class_key"), "class_id")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id stays, one of them where
-    rows repeat it. Rows without a doc_id stay. All columns come back.
+    """The rows of ``docs`` without near-duplicates: of each class one row of its smallest doc_id stays (of several texts
+    under that doc_id, the one with the smallest key; a row without a doc_id only where the class has no other). All columns
+    come back.
     """
     classes = near_duplicates(docs, similarity, shingle)
-    best = classes.where("doc_id = class_id").select("doc_id", "text_key").distinct()
-    key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), key.alias("text_key"))
-    once = rows.where("doc_id is not null").join(best, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id"])
-    return once.select("row.*").unionByName(docs.where("doc_id is null"))
+    missing, number = F.col("doc_id").isNull().alias("missing"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("number")
+    best = classes.groupBy("class_key").agg(F.min(F.struct(missing, number, "text_key")).alias("b")).select("b.*")
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), missing, number, key)
+    place = ["missing", "number", "text_key"]
+    return rows.join(best, place, "left_semi").dropDuplicates(place).select("row.*")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

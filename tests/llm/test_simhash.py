@@ -89,7 +89,7 @@ def test_near_duplicates_by_words(make_docs):
     rows = [(10, " ".join(base), "en", "s"), *((11 + i, c, "en", "s") for i, c in enumerate(copies)), (90, " ".join(base[:150] + [rng.choice(words) for _ in range(150)]), "en", "s"), (91, None, None, None), (92, "", None, None), (None, "left alone", None, None), (10, "another text under a known id", "en", "s")]
     kept = simhash.drop_near_duplicates(make_docs(rows))
     assert kept.columns == make_docs(rows).columns
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 10, 90, 91]
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 10, 10, 90, 91]  # two texts under one doc_id are two
 
 
 def jaccard(a, b, n=5):
@@ -161,3 +161,56 @@ def test_pairs_at_the_least_similarity_are_all_found(make_docs):
     assert all(0.8 <= jaccard(texts[2 * k], texts[2 * k + 1]) < 0.83 for k in range(400))
     want = {frozenset((2 * k, 2 * k + 1)) for k in range(400)}
     assert classes_of(make_docs([(i, t, "en", "s") for i, t in texts.items()])) == want
+
+
+def test_large_families_of_many_kinds_equal_all_pairs(make_docs):
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(4000)]
+    edited = lambda base, n: [rng.choice(words) if i in at else w for at in [set(rng.sample(range(len(base)), n))] for i, w in enumerate(base)]
+    texts = []
+    for size in (60, 120, 250):
+        base = [rng.choice(words) for _ in range(size)]
+        texts += [edited(base, rng.randint(1, max(2, size // 40))) for _ in range(80)]  # a star
+        last = base
+        for _ in range(60):  # a chain that drifts away
+            last = edited(last, max(1, size // 60))
+            texts.append(last)
+    left, right = ([rng.choice(words) for _ in range(150)] for _ in range(2))
+    texts += [edited(left, 2) for _ in range(40)] + [edited(right, 2) for _ in range(40)]
+    for k in range(0, 151, 4):  # a bridge between two families
+        texts.append(right[:k] + left[k:])
+    texts += [[rng.choice(words) for _ in range(rng.randint(1, 200))] for _ in range(60)]
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    docs = make_docs([(i, t, "en", "s") for i, t in texts.items()])
+    want = brute_classes(texts)
+    assert max(map(len, want)) > 80
+    assert classes_of(docs) == want
+    assert classes_of(docs, block=40) == want
+    kept = [r["doc_id"] for r in simhash.drop_near_duplicates(docs).select("doc_id").collect()]
+    assert sorted(kept) == sorted(map(min, want))
+
+
+def test_minimum_spanning_tree():
+    rng = np.random.default_rng(3)
+    fps, bits = np.sort(rng.integers(0, 1 << 20, 60, dtype=np.uint64)), rng.integers(0, 1 << 62, (60, 8), dtype=np.uint64)
+    sizes = rng.integers(50, 99, 60)
+    a, b, share = simhash.spanning(fps, sizes, bits, 64)
+    whole = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) / (sizes[:, None] + sizes[None])
+    assert np.allclose(share, whole[a, b])
+    reached, total = {0}, 0.0
+    while len(reached) < len(fps):
+        d, j = min((whole[i, j], j) for i in reached for j in range(len(fps)) if j not in reached)
+        total += d
+        reached.add(j)
+    assert np.isclose(total, share.sum()) and len(a) == len(fps) - 1
+    assert len(simhash.spanning(fps, sizes, bits, -1)[0]) == 0
+
+
+def test_two_texts_of_one_doc_id_are_two_nodes(make_docs):
+    rng = random.Random(19)
+    one, two = (" ".join(f"w{rng.randrange(3000)}" for _ in range(100)) for _ in range(2))
+    rows = [(3, one, "en", "s"), (3, two, "en", "s"), (3, one, "en", "s"), (4, one + " x", "en", "s"), (5, two + " y", "en", "s"), (None, two, "en", "s"), (None, "alone here", "en", "s"), (None, "alone here", "en", "s")]
+    kept = simhash.drop_near_duplicates(make_docs(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(3, one), (3, two), (0, "alone here")])
+    assert simhash.near_duplicates(make_docs(rows)).count() == len(rows)
+    assert simhash.near_duplicates(make_docs([])).count() == 0
