@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ GROUP = 20_000
 #: Runs up to this size are compared by shifting, larger ones by a search.
 SHIFTED = 32
 #: Texts in the sample for frequent shingles and hot keys, about; shingles that are ordered by their frequency in it.
-SAMPLE, MOST_FREQUENT = 20_000, 200_000
+SAMPLE, MOST_FREQUENT = 8_000, 100_000
+#: Prefix entries (key, node) that a task holds at a time, about.
+ENTRIES = 1 << 20
 _SLICE = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -284,7 +287,7 @@ def _describe(similarity: float, n: int, order):
         frequent, rank = order.value
         words = _Words()
         for batch in stream:
-            if len(words) > 1 << 20:
+            if len(words) > 1 << 17:
                 words.clear()
             prints, sets, prefixes, bits = [], [], [], []
             for text in batch.column(2).to_pylist():
@@ -309,6 +312,8 @@ def _counted(n: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in stream:
+            if len(words) > 1 << 17:
+                words.clear()
             found = [_hashed(t, n, words)[1] for t in batch.column(0).to_pylist()]
             key, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], names=["key", "n"])
@@ -490,11 +495,11 @@ def _joined(family: int, radius: int, similarity: float, block: int):
     return run
 
 
-def _by_fingerprint(table: DataFrame, labels: DataFrame, family: int, radius: int, similarity: float, block: int) -> DataFrame:
+def _by_fingerprint(labels: DataFrame, family: int, radius: int, similarity: float, block: int) -> DataFrame:
     """(src, dst): pairs of nodes that join roots, candidates by one segment's Golay codewords and a further segment's."""
-    rows = table.join(labels.select("row", "root"), "row").select(F.col("words").alias("fp"), "node", "root", F.size("shingles").alias("size"), "bits")
     counts = labels.select("words").mapInArrow(_codes(family), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     hot = np.array([r["code"] for r in counts.where(F.col("n") > block).collect()], dtype=np.int64)  # of 4096 codewords
+    rows = labels.select(F.col("words").alias("fp"), "node", "root", "size", "bits")
     groups = rows.mapInArrow(_dealt(family, hot), GROUPED).repartition("grp").sortWithinPartitions("grp", "fp", "node")
     return groups.mapInArrow(_joined(family, radius, similarity, block), "src long, dst long").distinct()
 
@@ -502,42 +507,109 @@ def _by_fingerprint(table: DataFrame, labels: DataFrame, family: int, radius: in
 # ---------------------------------------------------------------- the rest, exactly
 
 
-def _by_prefix(table: DataFrame, labels: DataFrame, similarity: float, block: int) -> DataFrame:
+def _packed(order, parts: int):
+    """Prefixes to rows (part, keys, nodes) of packed entries, without the frequent keys."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _ = order.value
+        for batch in stream:
+            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
+            rare = ~np.isin(keys, frequent)
+            keys, nodes = keys[rare], nodes[rare]
+            part = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            turn = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.r_[True, np.diff(part[turn]) > 0]) if len(turn) else np.zeros(0, np.int64)
+            bounds = [turn[a:b] for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(turn)], strict=False)]
+            columns = [pa.array([int(part[at[0]]) for at in bounds], pa.int32()), pa.array([keys[at].tobytes() for at in bounds], pa.binary()), pa.array([nodes[at].tobytes() for at in bounds], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "keys", "nodes"])
+
+    return run
+
+
+def _shared(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed entries, sorted by part, to those whose key several nodes have."""
+
+    def entries(held):
+        pairs = np.stack([np.frombuffer(b"".join(c), np.int64) for c in zip(*held, strict=True)], axis=1)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
+        again = np.r_[False, pairs[1:, 0] == pairs[:-1, 0]]
+        pairs = pairs[again | np.r_[again[1:], False]]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["key", "node"])
+
+    last, held = None, []
+    for batch in stream:
+        for part, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if part != last and held:
+                yield entries(held)
+                held = []
+            last = part
+            held.append(packed)
+    if held:
+        yield entries(held)
+
+
+def _known(order):
+    """Entries (key, node) of the frequent keys."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _ = order.value
+        for batch in stream:
+            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
+            many = np.isin(keys, frequent)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[many]), pa.array(nodes[many])], names=["key", "node"])
+
+    return run
+
+
+def _shared_keys(table: DataFrame, order) -> DataFrame:
+    """(key, node): prefix entries whose key several nodes have, and those of the frequent keys.
+
+    Most shingles stand in one text, so entries travel packed, 16 bytes each, and few come back. Keys of a part are held by
+    one task; those that the sample shows to be frequent are not among them, as they need no such search.
+    """
+    rows = table.select("node", "prefix")
+    total = rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    parts = total // ENTRIES + 1
+    dealt = rows.mapInArrow(_packed(order, parts), "part int, keys binary, nodes binary").repartition(parts, "part").sortWithinPartitions("part")
+    rare = dealt.mapInArrow(_shared, "key long, node long")
+    return materialize(rare.unionByName(rows.mapInArrow(_known(order), "key long, node long").distinct()), "shared")
+
+
+def _by_prefix(shared: DataFrame, labels: DataFrame, similarity: float, block: int) -> DataFrame:
     """(src, dst): pairs of nodes of different roots, among them every one whose shingle sets overlap by ``similarity``.
 
     In any one order of all shingles, of two such sets of sizes a and b the first a - ceil(similarity a) + 1 and the first
     b - ceil(similarity b) + 1 have a shingle in common; frequent ones stand last. Keys within one root are put aside by
-    their least and greatest root, so a large family costs nothing once it is linked. Of the rest a pair must agree in
-    size, in the places of the key in both, and in parity bits that bound from below in how many shingles the sets differ.
-    A key of over ``block`` rows is dealt into blocks, and every two of them meet in a task of their own.
+    their least and greatest root, so a large family costs nothing once it is linked. Of the rest a pair must agree in size
+    and in parity bits that bound from below in how many shingles the sets differ. A key of over ``block`` rows is dealt into
+    blocks, and every two of them meet in a task of their own.
     """
-    rows = table.join(labels.select("row", "root"), "row")
-    keys = rows.select("root", F.explode("prefix").alias("key"))
-    mixed = keys.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low < high")
+    rows = shared.join(labels.select("node", "root"), "node")
+    mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low < high")
     mixed = materialize(mixed.select("key", F.ceil(F.col("rows") / F.lit(block)).cast("int").alias("blocks")), "mixed")
-    place = (F.shiftleft(F.size("shingles").cast("long"), 32) + F.col("at")).alias("place")
-    rows = rows.select("node", "root", "shingles", "bits", F.posexplode("prefix").alias("at", "key")).select("key", "node", "root", place, "bits")
-    rows = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = shared.join(mixed, "key").join(labels.select("node", "root", "size", "bits"), "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root", "place", "bits")
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root", "size", "bits")
     dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return dealt.mapInArrow(_paired(similarity), "src long, dst long").distinct()
 
 
 def _paired(similarity: float):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, lo, hi, node, root, place, *bits in _whole_groups(_unpacked(stream), 3, 1 << 62):
+        for key, lo, hi, node, root, size, *bits in _whole_groups(_unpacked(stream), 3, 1 << 62):
             group = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
-            for a, b in run_pairs(group, node, root, place, np.stack(bits, axis=1), similarity):
+            for a, b in run_pairs(group, node, root, size.astype(np.int64), np.stack(bits, axis=1), similarity):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["src", "dst"])
 
     return run
 
 
-def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.ndarray, bits: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes of equal ``group`` that differ in root and that neither sizes nor places nor parity bits keep below
-    ``similarity``; ``place`` is a set's size above 32 bits with the key's place in it."""
-    size, at = place >> 32, place & 0xFFFFFFFF
+def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, bits: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of equal ``group`` that differ in root and that neither sizes nor parity bits keep below ``similarity``."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     held, waiting = [], 0
@@ -546,8 +618,7 @@ def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, place: np.n
         ok = root[i] != root[j]
         i, j = i[ok], j[ok]
         both = size[i] + size[j]
-        left = np.minimum(size[i] - at[i], size[j] - at[j])
-        ok = (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= similarity / (1 + similarity) * both - 1e-6)
+        ok = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6
         i, j, both = i[ok], j[ok], both[ok]
         ok = _apart(bits[i], bits[j]) <= (1 - similarity) / (1 + similarity) * both + 1e-6
         a, b = node[i[ok]], node[j[ok]]
@@ -587,7 +658,7 @@ def _verified(table: DataFrame, labels: DataFrame, pairs: DataFrame, similarity:
     """Those of ``pairs`` (src, dst) whose whole shingle sets overlap by ``similarity`` or more."""
     pairs = materialize(pairs, "pairs")
     ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
-    wanted = labels.join(ends, "node", "left_semi").select("row")
+    wanted = materialize(labels.select("node", "row").join(ends, "node", "left_semi").select("row"), "ends")
     sets = materialize(table.join(wanted, "row", "left_semi").select("node", "shingles"), "sets")
     held = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")), "src")
     held = held.join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")), "dst")
@@ -628,11 +699,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("node"), F.col("text").cast("binary").alias("text"))
     table = given.mapInArrow(_describe(similarity, shingle, order), DESCRIBED)
     table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "described")
-    labels = table.groupBy("node").agg(F.min("row").alias("row"), F.min("words").alias("words"))
-    labels = materialize(labels.withColumn("root", F.col("node")), "labels")
+    first = F.min(F.struct("row", "words", F.size("shingles").alias("size"), "bits")).alias("t")
+    labels = materialize(table.groupBy("node").agg(first).select("node", "t.*", F.col("node").alias("root")), "labels")
     for family in range(len(WIDTHS) - 1):
-        labels = _merged(labels, _verified(table, labels, _by_fingerprint(table, labels, family, radius, similarity, block), similarity))
-    labels = _merged(labels, _verified(table, labels, _by_prefix(table, labels, similarity, block), similarity))
+        labels = _merged(labels, _verified(table, labels, _by_fingerprint(labels, family, radius, similarity, block), similarity))
+    labels = _merged(labels, _verified(table, labels, _by_prefix(_shared_keys(table, order), labels, similarity, block), similarity))
     rows = table.select("doc_id", "node").join(labels.select("node", "root"), "node")
     names = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return rows.join(names, "root").select("doc_id", F.col("node").alias("text_key"), F.col("root").alias("class_key"), "class_id")
