@@ -35,8 +35,8 @@ GROUP = 20_000
 SHIFTED = 32
 #: Texts in the sample for frequent shingles and hot keys, about; shingles that are ordered by their frequency in it.
 SAMPLE, MOST_FREQUENT = 8_000, 100_000
-#: Prefix entries (key, node) that a task holds at a time, about.
-ENTRIES = 1 << 20
+#: Prefix entries that a task holds at a time, about.
+ENTRIES = 1 << 18
 _SLICE = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -507,22 +507,36 @@ def _by_fingerprint(labels: DataFrame, family: int, radius: int, similarity: flo
 # ---------------------------------------------------------------- the rest, exactly
 
 
+def _entries(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Prefixes (node, prefix) as (key, node, place): the place in the prefix in 255ths of its length, rounded down."""
+    for batch in stream:
+        node, sizes = batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(node):
+            start = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, start + ENTRIES // 2, "right")))
+            count = sizes[first:last]
+            keys = batch.column(1).slice(first, last - first).flatten().to_numpy(zero_copy_only=False)
+            at = np.arange(len(keys)) - np.repeat(ends[first:last] - count - start, count)
+            yield keys, np.repeat(node[first:last], count), (at * 255 // np.repeat(count, count)).astype(np.uint8)
+            first = last
+
+
 def _packed(order, parts: int):
-    """Prefixes to rows (part, keys, nodes) of packed entries, without the frequent keys."""
+    """Prefixes to rows (part, keys, nodes, places) of packed entries, without the frequent keys."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, _ = order.value
-        for batch in stream:
-            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
-            rare = ~np.isin(keys, frequent)
-            keys, nodes = keys[rare], nodes[rare]
-            part = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        for entries in _entries(stream):
+            rare = ~np.isin(entries[0], frequent)
+            entries = [c[rare] for c in entries]
+            part = ((entries[0].view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
             turn = np.argsort(part, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(part[turn]) > 0]) if len(turn) else np.zeros(0, np.int64)
-            bounds = [turn[a:b] for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(turn)], strict=False)]
-            columns = [pa.array([int(part[at[0]]) for at in bounds], pa.int32()), pa.array([keys[at].tobytes() for at in bounds], pa.binary()), pa.array([nodes[at].tobytes() for at in bounds], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "keys", "nodes"])
+            cuts = np.flatnonzero(np.r_[True, np.diff(part[turn]) > 0]) if len(turn) else np.zeros(0, np.int64)
+            some = [turn[a:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(turn)], strict=False)]
+            columns = [pa.array([c[at].tobytes() for at in some], pa.binary()) for c in entries]
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[at[0]]) for at in some], pa.int32()), *columns], names=["part", "keys", "nodes", "places"])
 
     return run
 
@@ -531,12 +545,15 @@ def _shared(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed entries, sorted by part, to those whose key several nodes have."""
 
     def entries(held):
-        pairs = np.stack([np.frombuffer(b"".join(c), np.int64) for c in zip(*held, strict=True)], axis=1)
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
-        again = np.r_[False, pairs[1:, 0] == pairs[:-1, 0]]
-        pairs = pairs[again | np.r_[again[1:], False]]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["key", "node"])
+        keys, nodes, places = (np.frombuffer(b"".join(c), kind) for c, kind in zip(zip(*held, strict=True), (np.int64, np.int64, np.uint8), strict=True))
+        turn = np.lexsort((nodes, keys))
+        keys, nodes, places = keys[turn], nodes[turn], places[turn]
+        again = np.r_[False, keys[1:] == keys[:-1]]
+        new = np.r_[True, ~(again[1:] & (nodes[1:] == nodes[:-1]))]
+        keys, nodes, places = keys[new], nodes[new], places[new]
+        again = np.r_[False, keys[1:] == keys[:-1]]
+        some = again | np.r_[again[1:], False]
+        return _entry_batch(keys[some], nodes[some], places[some])
 
     last, held = None, []
     for batch in stream:
@@ -550,32 +567,37 @@ def _shared(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield entries(held)
 
 
+ENTRY = "key long, node long, place short"
+
+
+def _entry_batch(keys: np.ndarray, nodes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(places.astype(np.int16))], names=["key", "node", "place"])
+
+
 def _known(order):
-    """Entries (key, node) of the frequent keys."""
+    """Entries of the frequent keys."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, _ = order.value
-        for batch in stream:
-            keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
-            many = np.isin(keys, frequent)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[many]), pa.array(nodes[many])], names=["key", "node"])
+        for entries in _entries(stream):
+            many = np.isin(entries[0], frequent)
+            yield _entry_batch(*(c[many] for c in entries))
 
     return run
 
 
 def _shared_keys(table: DataFrame, order) -> DataFrame:
-    """(key, node): prefix entries whose key several nodes have, and those of the frequent keys.
+    """(key, node, place): prefix entries whose key several nodes have, and those of the frequent keys.
 
-    Most shingles stand in one text, so entries travel packed, 16 bytes each, and few come back. Keys of a part are held by
+    Most shingles stand in one text, so entries travel packed, 17 bytes each, and few come back. Keys of a part are held by
     one task; those that the sample shows to be frequent are not among them, as they need no such search.
     """
     rows = table.select("node", "prefix")
     total = rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = total // ENTRIES + 1
-    dealt = rows.mapInArrow(_packed(order, parts), "part int, keys binary, nodes binary").repartition(parts, "part").sortWithinPartitions("part")
-    rare = dealt.mapInArrow(_shared, "key long, node long")
-    return materialize(rare.unionByName(rows.mapInArrow(_known(order), "key long, node long").distinct()), "shared")
+    dealt = rows.mapInArrow(_packed(order, parts), "part int, keys binary, nodes binary, places binary").repartition(parts, "part").sortWithinPartitions("part")
+    rare = dealt.mapInArrow(_shared, ENTRY)
+    return materialize(rare.unionByName(rows.mapInArrow(_known(order), ENTRY).distinct()), "shared")
 
 
 def _by_prefix(shared: DataFrame, labels: DataFrame, similarity: float, block: int) -> DataFrame:
@@ -583,9 +605,9 @@ def _by_prefix(shared: DataFrame, labels: DataFrame, similarity: float, block: i
 
     In any one order of all shingles, of two such sets of sizes a and b the first a - ceil(similarity a) + 1 and the first
     b - ceil(similarity b) + 1 have a shingle in common; frequent ones stand last. Keys within one root are put aside by
-    their least and greatest root, so a large family costs nothing once it is linked. Of the rest a pair must agree in size
-    and in parity bits that bound from below in how many shingles the sets differ. A key of over ``block`` rows is dealt into
-    blocks, and every two of them meet in a task of their own.
+    their least and greatest root, so a large family costs nothing once it is linked. Of the rest a pair must agree in size,
+    in what the key's places leave of both sets, and in parity bits that bound from below in how many shingles the sets
+    differ. A key of over ``block`` rows is dealt into blocks, and every two of them meet in a task of their own.
     """
     rows = shared.join(labels.select("node", "root"), "node")
     mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")).where("low < high")
@@ -593,23 +615,25 @@ def _by_prefix(shared: DataFrame, labels: DataFrame, similarity: float, block: i
     rows = shared.join(mixed, "key").join(labels.select("node", "root", "size", "bits"), "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root", "size", "bits")
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "root", "size", "place", "bits")
     dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return dealt.mapInArrow(_paired(similarity), "src long, dst long").distinct()
 
 
 def _paired(similarity: float):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, lo, hi, node, root, size, *bits in _whole_groups(_unpacked(stream), 3, 1 << 62):
+        for key, lo, hi, node, root, size, place, *bits in _whole_groups(_unpacked(stream), 3, 1 << 62):
             group = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
-            for a, b in run_pairs(group, node, root, size.astype(np.int64), np.stack(bits, axis=1), similarity):
+            for a, b in run_pairs(group, node, root, size.astype(np.int64), place, np.stack(bits, axis=1), similarity):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["src", "dst"])
 
     return run
 
 
-def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, bits: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes of equal ``group`` that differ in root and that neither sizes nor parity bits keep below ``similarity``."""
+def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, place: np.ndarray, bits: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of equal ``group`` that differ in root and that neither sizes nor parity bits nor, were the
+    key the first that they share, its ``place`` in either prefix keep below ``similarity``."""
+    left = size - np.floor(place * (size - np.ceil(similarity * size - 1e-6)) / 255) + 1  # a collision of short hashes aside
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     held, waiting = [], 0
@@ -618,7 +642,7 @@ def run_pairs(group: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.nd
         ok = root[i] != root[j]
         i, j = i[ok], j[ok]
         both = size[i] + size[j]
-        ok = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6
+        ok = (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (np.minimum(left[i], left[j]) >= similarity / (1 + similarity) * both - 1e-6)
         i, j, both = i[ok], j[ok], both[ok]
         ok = _apart(bits[i], bits[j]) <= (1 - similarity) / (1 + similarity) * both + 1e-6
         a, b = node[i[ok]], node[j[ok]]
