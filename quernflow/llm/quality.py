@@ -1,14 +1,20 @@
 """Quality rules: robust multivariate outliers among documents of one language and source.
 
 Each document has a vector of transformed statistics. For every (language, source) the minimum-covariance-determinant
-estimate of their centre and scatter is found by concentration steps over all of its rows: distances to the estimate so far,
-then the moments of the nearest three quarters. Rows are counted and summed by bins of their distance, so a step is one
-aggregation with partial sums, exact in integers, and what reaches a task is the bins of a group, never its rows.
+estimate of their centre and scatter is found as FAST-MCD does: many random starts of few rows on a bounded sample of the
+group's distinct vectors, concentration steps there, then further steps over all of the group's rows for the best starts;
+the lowest determinant wins, and a last step weighs out the rows that it finds far away. Over all rows a step is one
+aggregation of counts and moments by bins of distance; the bin that the share ends in counts in part, so the share is exact.
+
+A document is held against the group's scatter plus its own sampling error: the transforms make that known (a square root's
+arcsine of k out of n has the variance 1 / 4n), so a short text is not an outlier for what a few words can do, and a group
+without any symbol does not make one symbol an outlier.
 """
 
 from __future__ import annotations
 
-from math import asin, exp, lgamma, log, log2, sqrt
+from math import exp, lgamma, log
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -19,36 +25,50 @@ from quernflow.llm import batches
 from quernflow.scratch import materialize
 
 SYMBOLS = "#*$%&|<>"
-SPACE = " \t\n\x0b\x0c\r"
-DIMS = ("word_length", "symbols", "repeated_lines", "repeated_words", "sentence_ends")
-#: Standard deviations that no estimate goes below: a group without any symbol must not make one symbol an outlier.
-FLOORS = (0.15, 0.05, 0.15, 0.15, 0.08)
+DIMS = ("word_length", "symbols", "repeated_lines", "repeated_words", "sentence_ends", "capitals", "short_words")
 #: Statistics are kept as whole numbers of 1/GRID, distances in bins of 1/BINS of a power of two.
 GRID, BINS = 1024, 16
-SHARE, STEPS, LEAST_ROWS = 0.75, 6, 50
+SHARE, STEPS, LEAST_ROWS = 0.75, 2, 50
+#: Distinct vectors of a group in the sample for starts, about; random starts; those that go on to all rows.
+SAMPLE, STARTS, BEST = 1500, 200, 2
 TAIL = 1e-6
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-STATS = BASE + ", " + ", ".join(f"x{i} long" for i in range(len(DIMS)))
+STATS = BASE + ", " + ", ".join(f"x{i} long" for i in range(len(DIMS))) + ", noise array<double>"
 
+_IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_IS_END = np.isin(np.arange(256), list(b".!?"))
 
-def statistics(text: str | None) -> tuple[int, ...]:
-    """The base statistics of a text and its vector on the grid; zeros without words."""
-    text = text or ""
-    raw = text.encode("utf-8", "surrogatepass")
+
+def statistics(raw: bytes | None) -> tuple:
+    """The base statistics of a text in UTF-8, its vector on the grid and the vector's sampling variances; zeros without
+    words. Capitals are words that begin with A-Z or a capital of Latin-1."""
+    raw = raw or b""
+    data = np.frombuffer(raw, np.uint8)
+    symbols = int(_IS_SYMBOL[data].sum())
     words = raw.split()
     n = len(words)
-    symbols = sum(map(text.count, SYMBOLS))
     if not n:
-        return (0, 0, symbols, 0, 0, *(0 for _ in DIMS))
-    chars = len(text) - sum(map(text.count, SPACE))
+        return (0, 0, symbols, 0, 0, *(0 for _ in DIMS), [0.0] * len(DIMS))
+    inside = np.r_[False, ~_IS_SPACE[data], False]
+    change = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = change[::2], change[1::2]
+    upto = np.r_[np.int32(0), np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)]
+    lengths = upto[end] - upto[start]
+    chars = int(lengths.sum())
+    first, second = data[start], data[np.minimum(start + 1, len(data) - 1)]
+    capitals = int((((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97))).sum())
     lines = [line for line in raw.split(b"\n") if line.strip()]
     again = len(lines) - len(set(lines))
     repeated = repeat_words(words)
-    ends = sum(w.endswith((b".", b"!", b"?")) for w in words)
-    angle = lambda part, whole: asin(sqrt(min(1.0, part / whole)))
-    vector = (log2(chars / n), angle(symbols, chars), angle(again, len(lines)), angle(repeated, n), angle(ends, n))
-    return (n, chars, symbols, again, repeated, *(round(GRID * x) for x in vector))
+    ends = int(_IS_END[data[end - 1]].sum())
+    counts = ((symbols, chars), (again, len(lines)), (repeated, n), (ends, n), (capitals, n), (int((lengths <= 3).sum()), n))
+    vector = [log(chars / n), *(float(np.arcsin(np.sqrt(min(1.0, k / m)))) for k, m in counts)]
+    spread = float(lengths.var()) / (chars / n) ** 2
+    # repeated words come by the line
+    noise = [max(spread, 1 / n) / n, *(1 / (4 * m) for m in (chars, len(lines), len(lines), n, n, n))]
+    return (n, chars, symbols, again, repeated, *(round(GRID * x) for x in vector), noise)
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -70,9 +90,9 @@ def _statistics(text: Column) -> Column:
     @F.pandas_udf(STATS)
     def of(texts: pd.Series) -> pd.DataFrame:
         names = [x.split()[0] for x in STATS.split(", ")]
-        return pd.DataFrame([statistics(t) for t in texts], columns=names, dtype="int64")
+        return pd.DataFrame([statistics(t) for t in texts], columns=names)
 
-    return of(text)
+    return of(text.cast("binary"))
 
 
 # ---------------------------------------------------------------- chi-squared, without a statistics library
@@ -99,53 +119,95 @@ def chi2_quantile(p: float, k: int) -> float:
     return (low + high) / 2
 
 
-CUT = chi2_quantile(1 - TAIL, len(DIMS))
-#: The nearest share of a normal sample has less scatter than the whole; this makes up for it.
-CONSISTENT = SHARE / chi2_cdf(chi2_quantile(SHARE, len(DIMS)), len(DIMS) + 2)
-
-# ---------------------------------------------------------------- estimates: one row a group
-
-_FIT = "grp string, centre array<double>, inverse array<double>"
 _D = len(DIMS)
 _PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
+CUT = chi2_quantile(1 - TAIL, _D)
+#: Rows beyond this quantile do not weigh in the last step.
+NEAR = 0.975
+#: The statistics' resolution: what keeps a scatter from being singular where most rows agree in a statistic.
+GUARD = np.eye(_D) / GRID**2
+
+
+def consistent(share: float) -> float:
+    """The nearest ``share`` of a normal sample has less scatter than the whole; this makes up for it."""
+    return share / chi2_cdf(chi2_quantile(share, _D), _D + 2)
+
+
+# ---------------------------------------------------------------- estimates: rows of a group
+
+_FIT = "grp string, start int, centre array<double>, scatter array<double>, inverse array<double>, logdet double"
 
 
-def first_fit(hist: pd.DataFrame) -> pd.DataFrame:
-    """Medians and median absolute deviations from a group's counts by dimension and value."""
-    centre, spread = [], []
-    for d in range(_D):
-        part = hist[hist["dim"] == d].sort_values("value")
-        values, counts = part["value"].to_numpy(), part["n"].to_numpy()
-        middle = _median(values, counts)
-        away = np.abs(values - middle)
-        order = np.argsort(away, kind="stable")
-        centre.append(middle / GRID)
-        spread.append(max(1.4826 * _median(away[order], counts[order]) / GRID, FLOORS[d]))
-    inverse = np.diag(1 / np.square(spread))
-    return pd.DataFrame({"grp": [hist["grp"].iloc[0]], "centre": [centre], "inverse": [inverse.ravel().tolist()]})
+def _fit_row(grp: str, start: int, centre: np.ndarray, scatter: np.ndarray) -> tuple:
+    """A fit; ``scatter`` is that of the nearest share, without the guard."""
+    whole = consistent(SHARE) * scatter + GUARD
+    return grp, start, centre.tolist(), whole.ravel().tolist(), np.linalg.inv(whole).ravel().tolist(), float(np.linalg.slogdet(whole)[1])
 
 
-def _median(values: np.ndarray, counts: np.ndarray) -> float:
-    return float(values[np.searchsorted(np.cumsum(counts), (counts.sum() + 1) // 2)])
+def _moments(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    centre = w @ x / w.sum()
+    away = x - centre
+    return centre, (away * w[:, None]).T @ away / w.sum()
+
+
+def _nearest(x: np.ndarray, n: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> np.ndarray:
+    """Weights of the nearest share of rows (x with counts n), the last of them in part."""
+    away = x - centre
+    order = np.argsort(np.einsum("ij,jk,ik->i", away, np.linalg.inv(scatter + GUARD), away), kind="stable")
+    before = np.cumsum(n[order]) - n[order]
+    w = np.zeros(len(n))
+    w[order] = np.clip(SHARE * n.sum() - before, 0, n[order])
+    return w
+
+
+def start_fits(sample: pd.DataFrame) -> pd.DataFrame:
+    """The best fits from random starts on a group's sampled vectors (with their counts), after concentration there."""
+    grp = sample["grp"].iloc[0]
+    sample = sample.sort_values([f"x{i}" for i in range(_D)])
+    x, n = sample[[f"x{i}" for i in range(_D)]].to_numpy() / GRID, sample["n"].to_numpy(dtype=float)
+    rng = np.random.default_rng(crc32(grp.encode()))
+
+    def onward(centre, scatter, steps):
+        for _ in range(steps):
+            centre, scatter = _moments(x, _nearest(x, n, centre, scatter))
+        return float(np.linalg.slogdet(scatter + GUARD)[1]), centre, scatter
+
+    found = []
+    for _ in range(STARTS):
+        some = rng.choice(len(x), min(_D + 1, len(x)), replace=False)
+        found.append(onward(*_moments(x[some], n[some]), 2))
+    found = sorted((onward(*f[1:], 10) for f in sorted(found, key=lambda f: f[0])[:10]), key=lambda f: f[0])
+    distinct = [f for i, f in enumerate(found) if not i or f[0] > found[i - 1][0] + 1e-9][:BEST]
+    return pd.DataFrame([_fit_row(grp, i, centre, scatter) for i, (_, centre, scatter) in enumerate(distinct)], columns=[c.split()[0] for c in _FIT.split(", ")])
 
 
 def next_fit(bins: pd.DataFrame) -> pd.DataFrame:
-    """Centre and inverse scatter of the nearest share of a group, from its sums by bin of distance."""
+    """The fit to the nearest share of a group, from its sums by bin of distance; the last bin counts in part."""
     bins = bins.sort_values("bin")
-    counts = bins["n"].to_numpy()
-    upto = int(np.searchsorted(np.cumsum(counts), int(np.ceil(SHARE * counts.sum())))) + 1
-    n = int(counts[:upto].sum())
-    total = lambda name: int(sum(int(v) for v in bins[name].to_numpy()[:upto]))
-    mean = np.array([total(f"s{i}") / n for i in range(_D)]) / GRID
+    counts = bins["n"].to_numpy(dtype=float)
+    want = SHARE * counts.sum()
+    part = np.clip(want - (np.cumsum(counts) - counts), 0, counts) / counts
+    centre, scatter = _from_sums(bins, part, want)
+    return pd.DataFrame([_fit_row(bins["grp"].iloc[0], int(bins["start"].iloc[0]), centre, scatter)], columns=[c.split()[0] for c in _FIT.split(", ")])
+
+
+def _from_sums(bins: pd.DataFrame, part: np.ndarray, total: float) -> tuple[np.ndarray, np.ndarray]:
+    mean = np.array([part @ bins[f"s{i}"].to_numpy(dtype=float) for i in range(_D)]) / total / GRID
     scatter = np.zeros((_D, _D))
     for i, j in _PAIRS:
-        scatter[i, j] = scatter[j, i] = total(f"s{i}{j}") / n / GRID**2 - mean[i] * mean[j]
-    scatter = CONSISTENT * scatter + np.diag(np.square(FLOORS))
-    return pd.DataFrame({"grp": [bins["grp"].iloc[0]], "centre": [mean.tolist()], "inverse": [np.linalg.inv(scatter).ravel().tolist()]})
+        scatter[i, j] = scatter[j, i] = part @ bins[f"s{i}_{j}"].to_numpy(dtype=float) / total / GRID**2 - mean[i] * mean[j]
+    return mean, scatter
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance of x0.. to ``centre`` under ``inverse``; null without an estimate."""
+def last_fit(sums: pd.DataFrame) -> pd.DataFrame:
+    """Centre and scatter of the rows that the lowest determinant's fit finds near."""
+    total = float(sums["n"].iloc[0])
+    centre, scatter = _from_sums(sums, np.ones(1), total)
+    return pd.DataFrame({"grp": [sums["grp"].iloc[0]], "centre": [centre.tolist()], "scatter": [(consistent(NEAR) * scatter + GUARD).ravel().tolist()]})
+
+
+def _raw_distance() -> Column:
+    """Squared Mahalanobis distance of x0.. to ``centre`` under ``inverse``."""
     away = [F.col(f"x{i}") / F.lit(float(GRID)) - F.col("centre")[i] for i in range(_D)]
     total = F.lit(0.0)
     for i, j in _PAIRS:
@@ -153,18 +215,49 @@ def distance() -> Column:
     return F.when(total < 0, F.lit(0.0)).otherwise(total)
 
 
+def distances(x: np.ndarray, noise: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> np.ndarray:
+    """Squared Mahalanobis distances of rows x under ``scatter`` plus each row's sampling variances."""
+    away = x - centre
+    whole = scatter + noise[:, :, None] * np.eye(_D)
+    return np.einsum("ij,ij->i", away, np.linalg.solve(whole, away[:, :, None])[:, :, 0])
+
+
+def distance() -> Column:
+    """``distances`` of x0.. with ``noise`` to ``centre`` under ``scatter``; null without an estimate."""
+
+    @F.pandas_udf("double")
+    def of(x: pd.Series, noise: pd.Series, centre: pd.Series, scatter: pd.Series) -> pd.Series:
+        out = np.full(len(x), np.nan)
+        known = np.flatnonzero(centre.notna().to_numpy())
+        if len(known):
+            stack = lambda c: np.stack(c.iloc[known].to_numpy()).astype(float)
+            out[known] = distances(stack(x) / GRID, stack(noise), stack(centre), stack(scatter).reshape(-1, _D, _D))
+        return pd.Series(out).where(~np.isnan(out), None)
+
+    return of(F.array(*[F.col(f"x{i}") for i in range(_D)]), F.col("noise"), F.col("centre"), F.col("scatter"))
+
+
+def _sums(weight: Column) -> list[Column]:
+    sums = [F.sum(weight).alias("n"), *[F.sum(F.col(f"x{i}") * weight).alias(f"s{i}") for i in range(_D)]]
+    return sums + [F.sum(F.col(f"x{i}") * F.col(f"x{j}") * weight).alias(f"s{i}_{j}") for i, j in _PAIRS]
+
+
 def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(grp, centre, inverse) for each ``grp`` of rows (grp, x0, x1, ..)."""
-    long = rows.select("grp", F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.col(f"x{i}").alias("value")) for i in range(_D)])).alias("v"))
-    hist = long.groupBy("grp", "v.dim", "v.value").agg(F.count("*").alias("n"))
-    fit = hist.groupBy("grp").applyInPandas(first_fit, _FIT)
-    sums = [F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(_D)]]
-    sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in _PAIRS]
+    """(grp, centre, scatter) for each ``grp`` of rows (grp, x0.., noise): the reweighted minimum-covariance-determinant
+    estimate. Only the starts are taken on a sample, of about ``SAMPLE`` distinct vectors a group, chosen by their hash."""
+    names = [f"x{i}" for i in range(_D)]
+    vectors = materialize(rows.groupBy("grp", *names).agg(F.count("*").alias("n")), "distinct")
+    drawn = F.pmod(F.xxhash64(*names), F.lit(1 << 20)) < F.ceil(F.lit(float(SAMPLE << 20)) / F.col("m"))
+    sample = vectors.join(vectors.groupBy("grp").agg(F.count("*").alias("m")), "grp").where(drawn | (F.col("m") <= SAMPLE))
+    fit = materialize(sample.select("grp", *names, "n").groupBy("grp").applyInPandas(start_fits, _FIT), "fit")
     for _ in range(steps):
-        near = rows.join(materialize(fit, "fit"), "grp")
-        near = near.withColumn("bin", F.floor(F.log2(distance() + F.lit(2.0**-20)) * BINS).cast("int"))
-        fit = near.groupBy("grp", "bin").agg(*sums).groupBy("grp").applyInPandas(next_fit, _FIT)
-    return materialize(fit, "fit")
+        near = vectors.join(fit.select("grp", "start", "centre", "inverse"), "grp")
+        near = near.withColumn("bin", F.floor(F.log2(_raw_distance() + F.lit(2.0**-20)) * BINS).cast("int"))
+        fit = materialize(near.groupBy("grp", "start", "bin").agg(*_sums(F.col("n"))).groupBy("grp", "start").applyInPandas(next_fit, _FIT), "fit")
+    best = fit.groupBy("grp").agg(F.min(F.struct("logdet", "start", "centre", "scatter")).alias("b")).select("grp", "b.centre", "b.scatter")
+    near = rows.join(best, "grp").where(distance() <= chi2_quantile(NEAR, _D))
+    last = near.groupBy("grp").agg(*_sums(F.lit(1))).groupBy("grp").applyInPandas(last_fit, "grp string, centre array<double>, scatter array<double>")
+    return materialize(last, "fit")
 
 
 def _described(rows: DataFrame) -> DataFrame:
@@ -178,7 +271,7 @@ def _described(rows: DataFrame) -> DataFrame:
 
 
 def _judges(rows: DataFrame, least_rows: int) -> DataFrame:
-    """(by_both, centre, inverse) from described rows: the estimate that each group is held against."""
+    """(by_both, centre, scatter) from described rows: the estimate that each group is held against."""
     good = rows.where("not base_failed")
     sizes = good.groupBy("by_lang", "by_both").agg(F.count("*").alias("n"))
     few = F.col("n") < least_rows
@@ -187,12 +280,12 @@ def _judges(rows: DataFrame, least_rows: int) -> DataFrame:
     levels = sizes.join(rest, "by_lang", "left").select("by_both", name.alias("grp"), "n")
     enough = levels.groupBy("grp").agg(F.sum("n").alias("m")).where(F.col("m") >= least_rows).select("grp")
     levels = materialize(levels.join(enough, "grp").select("by_both", "grp"), "levels")
-    vectors = materialize(good.join(levels, "by_both").select("grp", *[f"x{i}" for i in range(_D)]), "vectors")
+    vectors = materialize(good.join(levels, "by_both").select("grp", *[f"x{i}" for i in range(_D)], "noise"), "vectors")
     return levels.join(fit_groups(vectors), "grp").drop("grp")
 
 
 def _kept(cut: float) -> Column:
-    return ~F.col("base_failed") & F.coalesce(distance() <= cut, F.lit(True))
+    return ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
 
 
 def assess(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
@@ -202,11 +295,11 @@ def assess(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> D
     their (lang, source), where null is a value; groups with fewer than ``least_rows`` of them are judged together within
     their language, and where that is still too few, all such rows together; if those are too few, they are kept and their
     distance is null. A row is rejected when its squared distance is over ``cut`` (a chance of one in a million for normal
-    data). Null and empty texts fail the base rules. Repeated rows each come back; an empty table gives no rows.
+    data); see ``distances``. Null and empty texts fail the base rules. Repeated rows each come back; an empty table gives no rows.
     """
     rows = materialize(_described(docs.select("doc_id", "lang", "source", "text")), "statistics")
-    judged = rows.join(_judges(rows, least_rows), "by_both", "left")
-    return judged.select("doc_id", *[x.split()[0] for x in BASE.split(", ")], "base_failed", distance().alias("distance"), _kept(cut).alias("kept"))
+    judged = rows.join(_judges(rows, least_rows), "by_both", "left").withColumn("distance", distance())
+    return judged.select("doc_id", *[x.split()[0] for x in BASE.split(", ")], "base_failed", "distance", _kept(cut).alias("kept"))
 
 
 def filter_kept(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
@@ -218,9 +311,31 @@ def filter_kept(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT)
     rows = materialize(_described(docs.select("lang", "source", "text")), "statistics")
     judges = materialize(_judges(rows, least_rows), "judges")
     whole = docs.select(F.struct(*docs.columns).alias("row"), "lang", "source", "text")
-    return _described(whole).join(judges, "by_both", "left").where(_kept(cut)).select("row.*")
+    return _described(whole).join(judges, "by_both", "left").withColumn("distance", distance()).where(_kept(cut)).select("row.*")
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return assess(docs).drop("distance")
+
+
+def quality_base(spark, sf_dir: str) -> DataFrame:
+    """The base columns alone, as op6_quality has them."""
+    return op6_quality(spark, sf_dir).drop("kept")
+
+
+#: The base columns; the estimates have no SQL.
+BASE_ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d)),
+t AS (SELECT r, i, word, lead(word) OVER s AS b, lead(word, 2) OVER s AS c FROM w WINDOW s AS (PARTITION BY r ORDER BY i)),
+n AS (SELECT r, i, count(*) OVER (PARTITION BY r, word, b, c) AS n FROM t WHERE c IS NOT NULL),
+p AS (SELECT DISTINCT r, i + k.k AS i FROM n, (VALUES (0), (1), (2)) k(k) WHERE n >= 2),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+c AS (SELECT r, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars FROM w GROUP BY r),
+q AS (SELECT r, count(*) AS n_repeat_words FROM p GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  coalesce(n_words, 0) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+FROM d LEFT JOIN c USING (r) LEFT JOIN l USING (r) LEFT JOIN q USING (r)
+"""

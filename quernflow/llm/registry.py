@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_repeats": repeats.op4_repeats,
         "op5_licenses": licenses.op5_licenses,
         "op6_quality": quality.op6_quality,
+        "quality_base": quality.quality_base,
         "op7_html": html.op7_html,
         "op8_warc": warc.op8_warc,
         "op9_decontamination": decontam.op9_decontamination,
@@ -25,5 +26,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_sharding": sharding.ORACLE,
         "op3_mixing": mixing.ORACLE,
         "op5_licenses": licenses.oracle(),
+        "quality_base": quality.BASE_ORACLE,
         "op8_warc": warc.ORACLE,
     }
