@@ -260,12 +260,18 @@ def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return materialize(last, "fit")
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` (with lang, source, text) with the names of their groups in place of lang and source."""
+    batches.bound(rows.sparkSession)
+    given = [c for c in rows.columns if c not in ("lang", "source")]
+    named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-"))
+    return rows.select(*given, named("lang").alias("by_lang"), F.concat(named("lang"), F.lit("\x1f"), named("source")).alias("by_both"))
+
+
 def _described(rows: DataFrame) -> DataFrame:
     """``rows`` (with lang, source, text) with the statistics, the base rules' verdict and the group's names."""
-    batches.bound(rows.sparkSession)
     given = [c for c in rows.columns if c not in ("lang", "source", "text")]
-    named = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-"))
-    rows = rows.select(*given, named("lang").alias("by_lang"), F.concat(named("lang"), F.lit("\x1f"), named("source")).alias("by_both"), _statistics(F.col("text")).alias("s"))
+    rows = _named(rows).select(*given, "by_lang", "by_both", _statistics(F.col("text")).alias("s"))
     failed = (F.col("s.n_words") < 50) | (100 * F.col("s.n_repeat_words") > 50 * F.col("s.n_words"))
     return rows.select(*given, "by_lang", "by_both", "s.*", failed.alias("base_failed"))
 
@@ -302,6 +308,23 @@ def assess(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> D
     return judged.select("doc_id", *[x.split()[0] for x in BASE.split(", ")], "base_failed", "distance", _kept(cut).alias("kept"))
 
 
+def _keeps(cut: float) -> Column:
+    """Whether base rules and distance keep ``text``, held against ``centre`` and ``scatter``: one pass over the text."""
+
+    @F.pandas_udf("boolean")
+    def of(texts: pd.Series, centre: pd.Series, scatter: pd.Series) -> pd.Series:
+        out = []
+        for text, mean, whole in zip(texts, centre, scatter, strict=True):
+            n, _, _, _, repeated, *x, noise = statistics(text)
+            good = n >= 50 and 100 * repeated <= 50 * n
+            if good and mean is not None:
+                good = distances(np.array([x]) / GRID, np.array([noise]), np.asarray(mean, float), np.asarray(whole, float).reshape(_D, _D))[0] <= cut
+            out.append(bool(good))
+        return pd.Series(out, dtype=bool)
+
+    return of(F.col("text").cast("binary"), F.col("centre"), F.col("scatter"))
+
+
 def filter_kept(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that ``assess`` keeps, with all their columns.
 
@@ -310,8 +333,8 @@ def filter_kept(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT)
     """
     rows = materialize(_described(docs.select("lang", "source", "text")), "statistics")
     judges = materialize(_judges(rows, least_rows), "judges")
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "lang", "source", "text")
-    return _described(whole).join(judges, "by_both", "left").withColumn("distance", distance()).where(_kept(cut)).select("row.*")
+    whole = _named(docs.select(F.struct(*docs.columns).alias("row"), "lang", "source", "text")).drop("by_lang")
+    return whole.join(judges, "by_both", "left").where(_keeps(cut)).select("row.*")
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
