@@ -1,10 +1,13 @@
 """Licence scans with DataFrame operations alone: TF-IDF cosine of statements to templates, then inheritance by path.
 
-A text is looked at in units: its lines, its sentences, its paragraphs and the sentences of two or three lines on end. A unit and a template are sparse vectors of term
-counts times inverse document frequency over the templates; a unit carries the licence of the template with the largest
-cosine of ``LEAST`` or more, if it has one of the template's anchors. Anchors are the template's heaviest terms but common
-words, numbers last, as many as it takes until the others alone could not reach ``LEAST``: only a unit made of common words
-of the template could be near it without one. So texts and units without any anchor are put aside first.
+A text is looked at in units: its lines, its sentences, its paragraphs and the sentences of two or three lines on end, and
+the stretches that begin like a licence body. A unit and a template are sparse vectors of term counts times inverse document
+frequency over the templates; a unit carries the licence of the template with the largest cosine of ``LEAST`` or more.
+
+Nothing that reaches ``LEAST`` is put aside before it is scored. A unit's cosine to a template is at most the norm of the
+template's part on the terms that the unit has. So some terms of each template, its anchors, are chosen such that the others
+together have less than ``LEAST``: a text or unit without any anchor cannot reach it. Units with one are scored only if the
+bound over all their terms reaches ``LEAST`` for some template.
 Files without a licence of their own take that of the licence file in the nearest directory above them.
 """
 
@@ -24,7 +27,7 @@ LEAST = 0.8
 TERM = "[a-z0-9]+(?:-[a-z0-9]+|[.][0-9]+)*"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-_.][^/]*)?$"
 
-# Words too common to be worth looking for.
+# Words that are common in texts. They become anchors only where the others are not enough.
 COMMON = frozenset("a an and are as at be by code for form free from in into is it later mit of on only or source subject terms that the this to under v was with work".split())
 
 # Statements by which texts say their licence.
@@ -79,27 +82,54 @@ TEXTS = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 # What opens a line inside a comment, and what ends one.
-MARKS = r"(?m)^[ \t]*(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--)[ \t]*|[ \t]*(?:\*+/|-->)[ \t\r]*$"
+MARKS = r"(?md)^[ \t]*(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--)[ \t]*|[ \t]*(?:\*+/|-->)[ \t\r]*$"
+SENTENCE = "(?<=[.!?])[ \\t]+"
+WORD = "[^\\x20\\x09-\\x0D]+"
+SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 @lru_cache(8)
-def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float, bool]], float, list[str]]:
-    """Rows (template, licence, term, unit weight, anchor or not), the weight of an unknown term, and all anchors."""
+def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float]], dict[str, float], float, list[str]]:
+    """Rows (template, licence, term, unit weight), the terms' weights by themselves, that of an unknown term, and anchors."""
     counts = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
     spread = Counter(term for c in counts for term in c)
-    idf = {term: log((1 + len(templates)) / (1 + n)) + 1 for term, n in spread.items()}
-    rows = []
+    idf = {term: log((1 + len(templates)) / (1 + n)) + 1 for term, n in sorted(spread.items())}
+    rows, anchors = [], set()
     for i, ((name, _), c) in enumerate(zip(templates, counts, strict=True)):
         norm = sqrt(sum((n * idf[t]) ** 2 for t, n in c.items()))
         weight = {t: n * idf[t] / norm for t, n in c.items()}
-        anchors, left = set(), 1.0
-        for t in sorted(set(c) - COMMON, key=lambda t: (t[0].isdigit(), -weight[t], t)):
-            if left < (least - 1e-9) ** 2:
+        left = 1.0
+        for t in sorted(c, key=lambda t: (t in COMMON, t[0].isdigit(), -weight[t], t)):
+            if left < (least - 1e-6) ** 2:
                 break
             anchors.add(t)
             left -= weight[t] ** 2
-        rows += [(i, name, t, w, t in anchors) for t, w in sorted(weight.items())]
-    return rows, log(1 + len(templates)) + 1, sorted({t for _, _, t, _, anchor in rows if anchor})
+        rows += [(i, name, t, w) for t, w in sorted(weight.items())]
+    return rows, idf, log(1 + len(templates)) + 1, sorted(anchors, key=lambda t: (-len(t), t))
+
+
+def _anchored(text, templates, least: float):
+    """Whether a text has an anchor; one that has none cannot hold a unit that reaches ``least``."""
+    anchors = _model(tuple(templates), least)[3]
+    return text.rlike("(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors)) + ")(?![a-z0-9])")
+
+
+def _terms(unit):
+    return F.regexp_extract_all(F.lower(unit), F.lit(TERM), F.lit(0))
+
+
+def _may_reach(unit, templates, least: float):
+    """Whether the bound on a unit's cosine reaches ``least`` for some template: the norm of the template's part on the
+    unit's terms."""
+    rows, idf, _, _ = _model(tuple(templates), least)
+    parts: dict[str, list[float]] = {t: [0.0] * len(templates) for t in idf}
+    for i, _, t, w in rows:
+        parts[t][i] = w * w
+    numbers = lambda v: F.array(*[F.lit(x) for x in v])
+    table = F.create_map(*[c for t, v in parts.items() for c in (F.lit(t), numbers(v))])
+    have = F.array_intersect(_terms(unit), F.array(*[F.lit(t) for t in parts]))
+    bound = F.aggregate(have, numbers([0.0] * len(templates)), lambda held, t: F.zip_with(held, table[t], lambda x, y: x + y))
+    return F.exists(bound, lambda x: x >= (least - 1e-6) ** 2)
 
 
 def license_of_units(spark: SparkSession, units: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
@@ -110,20 +140,15 @@ def license_of_units(spark: SparkSession, units: DataFrame, templates=TEMPLATES,
 
 def _score(spark: SparkSession, units: DataFrame, templates, least: float) -> DataFrame:
     """(uid, license, similarity) of units (uid, unit). A unit may be a whole text, so only its ``uid`` goes with its terms."""
-    rows, unknown, _ = _model(tuple(templates), least)
-    weight_of = {term: 0.0 for _, _, term, _, _ in rows}
-    n = len(templates)
-    spread = Counter(t for _, text in templates for t in set(re.findall(TERM, text.lower())))
-    weight_of = {t: log((1 + n) / (1 + spread[t])) + 1 for t in weight_of}
-    known = spark.createDataFrame([(t, w) for t, w in sorted(weight_of.items())], "term string, idf double")
-    vectors = spark.createDataFrame(rows, "template int, license string, term string, weight double, anchor boolean")
-    found = F.regexp_extract_all(F.lower("unit"), F.lit(TERM), F.lit(0)).alias("terms")
-    terms = units.select("uid", found).dropDuplicates(["uid"]).select("uid", F.explode("terms").alias("term"))
+    rows, idf, unknown, _ = _model(tuple(templates), least)
+    known = spark.createDataFrame(list(idf.items()), "term string, idf double")
+    vectors = spark.createDataFrame(rows, "template int, license string, term string, weight double")
+    terms = units.select("uid", _terms(F.col("unit")).alias("terms")).dropDuplicates(["uid"]).select("uid", F.explode("terms").alias("term"))
     terms = terms.groupBy("uid", "term").agg(F.count("*").alias("tf")).join(F.broadcast(known), "term", "left")
     terms = terms.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
     norms = terms.groupBy("uid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = terms.where("idf is not null").join(F.broadcast(vectors), "term").groupBy("uid", "template", "license")
-    dots = dots.agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.max("anchor").alias("told")).where("told")
+    dots = dots.agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(norms, "uid").withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= least)
     best = scored.groupBy("uid").agg(F.max_by(F.struct("license", "similarity"), F.struct("similarity", -F.col("template"))).alias("b"))
     return best.select("uid", "b.license", "b.similarity")
@@ -149,26 +174,24 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     standard headers (``texts``) the stretch from their first words on is compared, line breaks and comment marks folded.
     """
     spark = files.sparkSession
-    _, _, anchors = _model(tuple(templates), least)
-    anchored = "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(a) for a in sorted(anchors, key=len, reverse=True)) + ")(?![a-z0-9])"
-    rows = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t")).where(F.col("t").rlike(anchored))
+    rows = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t")).where(_anchored(F.col("t"), templates, least))
     lines = F.split("t", "\\n")
-    cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))), F.split("t", "\\n[ \\t]*\\n"))
+    cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE))), F.split("t", "\\n[ \\t]*\\n"))
     bare = F.split(F.regexp_replace("t", MARKS, ""), "\\n")
     for n in (2, 3):  # notices wrapped over neighbouring lines
         spans = F.transform(F.sequence(F.lit(1), F.size(bare)), lambda i: F.array_join(F.slice(bare, i, n), " "))  # noqa: B023
-        spans = F.filter(spans, lambda x: x.rlike(anchored))
-        cut = F.concat(cut, spans, F.flatten(F.transform(spans, lambda x: F.split(x, "(?<=[.!?])[ \\t]+"))))
-    words_of = lambda c: F.regexp_count(c, F.lit("[^\\x20\\x09-\\x0D]+"))
-    words = words_of(F.col("t")).alias("n_words")
-    units = rows.select("k", "p", words, F.explode(F.array_distinct(F.transform(cut, lambda x: F.btrim(x, F.lit(" \t\r\n"))))).alias("unit"))
-    share = F.regexp_count(F.col("unit"), F.lit("[^\\x20\\x09-\\x0D]+")) * 2 >= F.col("n_words")
-    units = units.where(F.col("unit").rlike(anchored)).select("k", "p", share.alias("share"), F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
+        spans = F.filter(spans, lambda x: _anchored(x, templates, least))
+        cut = F.concat(cut, spans, F.flatten(F.transform(spans, lambda x: F.split(x, SENTENCE))))
+    words_of = lambda c: F.regexp_count(c, F.lit(WORD))
+    found = F.array_distinct(F.transform(F.filter(cut, lambda x: _anchored(x, templates, least)), lambda x: F.btrim(x, F.lit(" \t\r\n"))))
+    units = rows.select("k", "p", words_of(F.col("t")).alias("n_words"), F.explode(found).alias("unit")).where(_may_reach(F.col("unit"), templates, least))
+    share = (words_of(F.col("unit")) * 2 >= F.col("n_words")).alias("share")
+    units = units.select("k", "p", share, F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
     units = materialize(units, "units")
     named = _score(spark, units.select("uid", "unit"), templates, least)
     said = units.select("k", "p", "share", "uid").join(named, "uid").select("k", "p", "share", "license", "similarity")
     if texts:
-        flat = F.regexp_replace(F.regexp_replace(F.col(text), MARKS, " "), "\\s+", " ")
+        flat = F.regexp_replace(F.regexp_replace(F.col(text), MARKS, " "), SPACES, " ")
         firsts = "(?i)" + "|".join(sorted({re.escape(" ".join(t.split()[:3])) for _, t in texts}))
         bodies = files.select(F.col(key).alias("k"), F.col(path).alias("p"), words_of(F.col(text)).alias("n_words"), flat.alias("t")).where(F.col("t").rlike(firsts))
         bodies = bodies.select("k", "p", "n_words", F.explode(F.array_distinct(_stretches(F.col("t"), texts))).alias("unit"))
@@ -203,28 +226,41 @@ def op5_licenses(spark, sf_dir: str) -> DataFrame:
     return scan(docs.select("doc_id", place.alias("path"), "text"), "doc_id", "path")
 
 
-def oracle(templates=TEMPLATES, least: float = LEAST) -> str:
-    """DuckDB SQL for op5_licenses: all units are scored, without the search for anchors ahead."""
-    rows, unknown, _ = _model(tuple(templates), least)
-    n = len(templates)
-    spread = Counter(t for _, text in templates for t in set(re.findall(TERM, text.lower())))
-    vectors = ", ".join(f"({i}, '{name}', '{t}', {w!r}::DOUBLE, {anchor})" for i, name, t, w, anchor in rows)
-    known = ", ".join(f"('{t}', {log((1 + n) / (1 + d)) + 1!r}::DOUBLE)" for t, d in sorted(spread.items()))
-    white = "' ' || chr(9) || chr(13) || chr(10)"
-    word = "'[^\\x20\\x09-\\x0D]+'"
+def _sql_scores(name: str, templates, least: float) -> str:
+    """CTEs that score all units of ``name`` (unit, ...), whatever their terms, into ``name``_best (unit, license, similarity)."""
+    rows, idf, unknown, _ = _model(tuple(templates), least)
+    vectors = ", ".join(f"({i}, '{licence}', '{t}', {w!r}::DOUBLE)" for i, licence, t, w in rows)
+    known = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in idf.items())
+    return f"""
+{name}_v(i, name, t, weight) AS (VALUES {vectors}), {name}_known(t, idf) AS (VALUES {known}),
+{name}_k AS (SELECT unit, unnest(regexp_extract_all(lower(unit), '{TERM}')) AS t FROM (SELECT DISTINCT unit FROM {name})),
+{name}_w AS (SELECT unit, k.t, count(*) * coalesce(any_value(idf), {unknown!r}::DOUBLE) AS w FROM {name}_k k LEFT JOIN {name}_known n ON n.t = k.t GROUP BY 1, 2),
+{name}_n AS (SELECT unit, sqrt(sum(w * w)) AS norm FROM {name}_w GROUP BY 1),
+{name}_s AS (SELECT unit, i, name, sum(w * weight) AS dot FROM {name}_w w JOIN {name}_v v ON v.t = w.t GROUP BY 1, 2, 3),
+{name}_r AS (SELECT s.unit, i, name, round(dot / norm, 6) AS similarity FROM {name}_s s JOIN {name}_n n ON n.unit = s.unit),
+{name}_best AS (SELECT unit, arg_max(name, (similarity, -i)) AS license, max(similarity) AS similarity FROM {name}_r WHERE similarity >= {least} GROUP BY 1)"""
+
+
+def oracle(templates=TEMPLATES, least: float = LEAST, texts=TEXTS) -> str:
+    """DuckDB SQL for op5_licenses: all units and stretches are scored, none put aside before."""
+    trim = lambda x: f"trim({x}, ' ' || chr(9) || chr(13) || chr(10))"
+    count = lambda x: f"len(regexp_extract_all({x}, '{WORD}'))"
+    marks = MARKS.replace("(?md)", "(?m)").replace("'", "''")
+    sentences = lambda x: f"flatten(list_transform({x}, lambda x: string_split(regexp_replace(x, '([.!?])[ \\t]+', '\\1' || chr(1), 'g'), chr(1))))"
+    spans = lambda n: f"list_transform(range(1, len(m) + 1), lambda i: array_to_string(m[i:i + {n - 1}], ' '))"
+    firsts = sorted({(" ".join(t.split()[:3]), len(t.split())) for _, t in texts})
+    stretch = lambda f, n: f"regexp_extract_all(f, '(?i)(?:^|[^a-z0-9])(" + re.escape(f).replace("'", "''") + f"[^ ]*(?: [^ ]+){{0,{n - 3}}})', 1)"
     return f"""
-WITH v(i, name, t, weight, anchor) AS (VALUES {vectors}), known(t, idf) AS (VALUES {known}),
-d AS (SELECT doc_id, concat_ws('/', source, lang, coalesce(doc_id::VARCHAR, 'none') || '.txt') AS path, text FROM documents),
-c AS (SELECT doc_id, path, len(regexp_extract_all(text, {word})) AS n_words, string_split(text, chr(10)) AS l, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS p FROM d),
-u AS (SELECT DISTINCT doc_id, path, n_words, trim(unnest(list_concat(l, flatten(list_transform(l, lambda x: string_split(regexp_replace(x, '([.!?])[ \\t]+', '\\1' || chr(1), 'g'), chr(1)))), p)), {white}) AS unit FROM c),
-k AS (SELECT unit, unnest(regexp_extract_all(lower(unit), '{TERM}')) AS t FROM (SELECT DISTINCT unit FROM u)),
-w AS (SELECT unit, k.t, count(*) * coalesce(any_value(idf), {unknown!r}::DOUBLE) AS w FROM k LEFT JOIN known ON known.t = k.t GROUP BY 1, 2),
-n AS (SELECT unit, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1),
-s AS (SELECT unit, i, name, sum(w * weight) AS dot, bool_or(anchor) AS told FROM w JOIN v ON v.t = w.t GROUP BY 1, 2, 3),
-r AS (SELECT s.unit, i, name, round(dot / norm, 6) AS similarity FROM s JOIN n ON n.unit = s.unit WHERE told),
-b AS (SELECT unit, arg_max(name, (similarity, -i)) AS license, max(similarity) AS similarity FROM r WHERE similarity >= {least} GROUP BY 1),
+WITH d AS (SELECT doc_id, concat_ws('/', source, lang, coalesce(doc_id::VARCHAR, 'none') || '.txt') AS path, text FROM documents),
+c AS (SELECT doc_id, path, {count("text")} AS n_words, string_split(text, chr(10)) AS l, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS p,
+  string_split(regexp_replace(text, '{marks}', '', 'g'), chr(10)) AS m, regexp_replace(regexp_replace(text, '{marks}', ' ', 'g'), '{SPACES}', ' ', 'g') AS f FROM d),
+e AS (SELECT doc_id, path, n_words, list_concat(l, {sentences("l")}, p, s2, {sentences("s2")}, s3, {sentences("s3")}) AS units
+  FROM (SELECT *, {spans(2)} AS s2, {spans(3)} AS s3 FROM c)),
+u AS (SELECT DISTINCT doc_id, path, n_words, {trim("unit")} AS unit FROM (SELECT doc_id, path, n_words, unnest(units) AS unit FROM e)),
+b AS (SELECT DISTINCT doc_id, path, n_words, unnest(list_concat({", ".join(stretch(f, n) for f, n in firsts)})) AS unit FROM c),{_sql_scores("u", templates, least)},{_sql_scores("b", texts, least)},
+said AS (SELECT doc_id, path, n_words, u.unit, license, similarity FROM u JOIN u_best x ON x.unit = u.unit UNION ALL SELECT doc_id, path, n_words, b.unit, license, similarity FROM b JOIN b_best x ON x.unit = b.unit),
 own AS (SELECT doc_id, path, arg_min(license, (-similarity, license)) AS license, max(similarity) AS similarity,
-  path IS NOT NULL AND (regexp_matches(path, '{LICENSE_FILE}') OR bool_or(len(regexp_extract_all(b.unit, {word})) * 2 >= n_words)) AS is_file FROM u JOIN b ON b.unit = u.unit GROUP BY 1, 2),
+  path IS NOT NULL AND (regexp_matches(path, '{LICENSE_FILE}') OR bool_or({count("unit")} * 2 >= n_words)) AS is_file FROM said GROUP BY 1, 2),
 places AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, min(path) AS path, arg_min(license, path) AS license FROM own WHERE is_file GROUP BY 1),
 o AS (SELECT d.doc_id, d.path, license, similarity, is_file, regexp_replace(d.path, '/?[^/]*$', '') AS own_dir FROM d LEFT JOIN own ON own.doc_id = d.doc_id AND own.path = d.path),
 up AS (SELECT own_dir, arg_max((p.path, p.license), length(p.dir)) AS up FROM (SELECT DISTINCT own_dir FROM o WHERE license IS NULL) q JOIN places p ON q.own_dir = p.dir OR starts_with(q.own_dir, p.dir || '/') OR p.dir = '' GROUP BY 1)

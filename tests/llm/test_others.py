@@ -384,39 +384,59 @@ def test_notices_wrapped_over_lines(spark):
     assert got == {i: notices[i % 3][0] for i in range(9)}
 
 
-def test_anchors_leave_out_only_common_words():
-    rows, _, anchors = licenses._model(licenses.TEMPLATES, licenses.LEAST)
-    vectors = {}
-    for i, _, t, w, anchor in rows:
-        vectors.setdefault(i, []).append((t, w, anchor))
-    for terms in vectors.values():
-        without = sum(w * w for t, w, anchor in terms if not anchor)
-        assert without < licenses.LEAST**2 or all(anchor or t in licenses.COMMON for t, _, anchor in terms)
-        assert any(anchor for _, _, anchor in terms)
-    assert not set(anchors) & licenses.COMMON
+def test_anchors_miss_nothing():
+    for templates in (licenses.TEMPLATES, licenses.TEXTS):
+        rows, _, _, anchors = licenses._model(templates, licenses.LEAST)
+        without = Counter()
+        for i, _, t, w in rows:
+            without[i] += w * w * (t not in anchors)
+        assert max(without.values()) < licenses.LEAST**2
 
 
 def test_cosines_against_brute_force(spark):
-    import re
-    from collections import Counter
-
     rng = random.Random(8)
-    rows, unknown, _ = licenses._model(licenses.TEMPLATES, licenses.LEAST)
+    rows, idf, unknown, _ = licenses._model(licenses.TEMPLATES, licenses.LEAST)
     vectors = {}
-    for i, name, t, w, anchor in rows:
-        vectors.setdefault((i, name), {})[t] = (w, anchor)
-    n = len(licenses.TEMPLATES)
-    spread = Counter(t for _, text in licenses.TEMPLATES for t in set(re.findall(licenses.TERM, text.lower())))
+    for i, name, t, w in rows:
+        vectors.setdefault((i, name), {})[t] = w
+    terms = sorted(idf)
     units = {" ".join(w for w in rng.choice(licenses.TEMPLATES)[1].split() + ["other"] * rng.randint(0, 2) if rng.random() < 0.85) for _ in range(150)}
+    units |= {" ".join(rng.choice(terms) for _ in range(rng.randint(1, 4))) for _ in range(300)} | {"under the MIT", "the under", "", "x" * 100_000}
     want = {}
     for unit in units:
-        weight = {t: c * (math.log((1 + n) / (1 + spread[t])) + 1 if t in spread else unknown) for t, c in Counter(re.findall(licenses.TERM, unit.lower())).items()}
+        weight = {t: c * idf.get(t, unknown) for t, c in Counter(re.findall(licenses.TERM, unit.lower())).items()}
         norm = math.sqrt(sum(w * w for w in weight.values())) or 1
-        scores = [(round(sum(w * v[t][0] for t, w in weight.items() if t in v) / norm, 6), -i, name) for (i, name), v in vectors.items() if any(t in v and v[t][1] for t in weight)]
-        if scores and max(scores)[0] >= licenses.LEAST:
+        scores = [(round(sum(w * v.get(t, 0) for t, w in weight.items()) / norm, 6), -i, name) for (i, name), v in vectors.items()]
+        if max(scores)[0] >= licenses.LEAST:
             want[unit] = (max(scores)[2], max(scores)[0])
-    got = {r["unit"]: (r["license"], r["similarity"]) for r in licenses.license_of_units(spark, spark.createDataFrame([(u,) for u in units], "unit string")).collect()}
+    assert want["under the MIT"][0] == "MIT"
+    frame = spark.createDataFrame([(u,) for u in units], "unit string")
+    got = {r["unit"]: (r["license"], r["similarity"]) for r in licenses.license_of_units(spark, frame).collect()}
     assert got.keys() == want.keys() and all(got[u][0] == want[u][0] and abs(got[u][1] - want[u][1]) < 2e-6 for u in want)
+    unit = frame["unit"]
+    passed = frame.where(licenses._anchored(unit, licenses.TEMPLATES, licenses.LEAST) & licenses._may_reach(unit, licenses.TEMPLATES, licenses.LEAST))
+    assert {r["unit"] for r in passed.collect()} >= want.keys()
+
+
+def test_table_of_all_kinds_of_statements_against_sql(spark):
+    body = dict((n, t) for n, t in licenses.TEXTS)
+    texts = [
+        None, "", "some words\nunder the MIT\nmore words here", "Er kam mit dem Zug.", "a line. Licensed under the Apache License, Version 2.0. and on", "Licensed under the Apache\nLicense, Version 2.0.",
+        "// This work is licensed under the GNU General Public\n// License, version 2.\nint x;", "head\n\n" + body["MIT"].replace(" the Software", "\nthe Software") + "\n\ntail of it", "/*\n * " + body["GPL-3.0"] + "\n */", body["BSD-3-Clause"].replace(". ", ".\n# "),
+        "SPDX-License-Identifier: MIT", "the under of", "word " * 5000 + "\nReleased under the ISC License.", "Mozilla Public License Version 2.0", "Released under the MIT License.\nReleased under the ISC License.",
+    ]
+    rows = [(i, t, "en" if i % 3 else "de", f"s{i % 4}") for i, t in enumerate(texts)]
+    con = duckdb.connect()
+    con.register("documents", spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").toArrow())
+    want = con.sql(f"select doc_id, path, license, basis, similarity, found_in from ({licenses.oracle()})").fetchall()
+    docs = spark.createDataFrame([(*r, "clash", 1.0, "u") for r in rows], "doc_id long, text string, lang string, source string, license string, similarity double, unit string")
+    from pyspark.sql import functions as F
+
+    place = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    got = licenses.scan(docs.withColumn("path", place), "doc_id", "path").select("doc_id", "path", "license", "basis", "similarity", "found_in").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    found = {r[0]: r[2] for r in want if r[3] != "inherited"}
+    assert [found.get(i) for i in (2, 4, 5, 6, 7, 8, 9, 10, 12, 13)] == ["MIT", "Apache-2.0", "Apache-2.0", "GPL-2.0", "MIT", "GPL-3.0", "BSD-3-Clause", "MIT", "ISC", "MPL-2.0"]
 
 
 # ---------------------------------------------------------------- token counts
