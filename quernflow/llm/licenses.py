@@ -5,9 +5,10 @@ the stretches that begin like a licence body. A unit and a template are sparse v
 frequency over the templates; a unit carries the licence of the template with the largest cosine of ``LEAST`` or more.
 
 Nothing that reaches ``LEAST`` is put aside before it is scored. A unit's cosine to a template is at most the norm of the
-template's part on the terms that the unit has. So some terms of each template, its anchors, are chosen such that the others
-together have less than ``LEAST``: a text or unit without any anchor cannot reach it. Units with one are scored only if the
-bound over all their terms reaches ``LEAST`` for some template.
+template's part on the terms that the unit has. So a text or unit that can reach ``LEAST`` has one of the template's anchors
+(its heaviest terms but common words, as many as it takes) or, where common words alone could do it, all of one of the least
+sets of them that could: else it is put aside. Units are scored if the bound over all their terms reaches ``LEAST`` for some
+template.
 Files without a licence of their own take that of the licence file in the nearest directory above them.
 """
 
@@ -15,7 +16,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import combinations
 from math import log, sqrt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,28 +92,42 @@ SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 @lru_cache(8)
 def _model(templates: tuple[tuple[str, str], ...], least: float) -> tuple[list[tuple[int, str, str, float]], dict[str, float], float, list[str]]:
-    """Rows (template, licence, term, unit weight), the terms' weights by themselves, that of an unknown term, and anchors."""
+    """Rows (template, licence, term, unit weight), the terms' weights by themselves, that of an unknown term, and the sets of
+    terms of which what reaches ``least`` has one whole."""
     counts = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
     spread = Counter(term for c in counts for term in c)
     idf = {term: log((1 + len(templates)) / (1 + n)) + 1 for term, n in sorted(spread.items())}
-    rows, anchors = [], set()
+    rows, sets = [], set()
     for i, ((name, _), c) in enumerate(zip(templates, counts, strict=True)):
         norm = sqrt(sum((n * idf[t]) ** 2 for t, n in c.items()))
         weight = {t: n * idf[t] / norm for t, n in c.items()}
-        left = 1.0
-        for t in sorted(c, key=lambda t: (t in COMMON, t[0].isdigit(), -weight[t], t)):
-            if left < (least - 1e-6) ** 2:
+        left, most = 1.0, (least - 1e-6) ** 2
+        for t in sorted(set(c) - COMMON, key=lambda t: (t[0].isdigit(), -weight[t], t)):
+            if left < most:
                 break
-            anchors.add(t)
+            sets.add((t,))
             left -= weight[t] ** 2
+        if left >= most:
+            rest = sorted(set(c) & COMMON)
+            for size in range(1, len(rest) + 1):
+                for some in combinations(rest, size):
+                    if sum(weight[t] ** 2 for t in some) >= most and not any(set(x) <= set(some) for x in sets):
+                        sets.add(some)
         rows += [(i, name, t, w) for t, w in sorted(weight.items())]
-    return rows, idf, log(1 + len(templates)) + 1, sorted(anchors, key=lambda t: (-len(t), t))
+    return rows, idf, log(1 + len(templates)) + 1, sorted(sets, key=lambda x: (len(x), x))
 
 
-def _anchored(text, templates, least: float):
-    """Whether a text has an anchor; one that has none cannot hold a unit that reaches ``least``."""
-    anchors = _model(tuple(templates), least)[3]
-    return text.rlike("(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors)) + ")(?![a-z0-9])")
+def _told(text, templates, least: float):
+    """Whether a text in lower case has all terms of one of the sets without which nothing in it can reach ``least``."""
+    found, sets = F.lit(False), _model(tuple(templates), least)[3]
+    for terms in sets:
+        if not any(len(x) == 1 and x != terms and any(x[0] in t for t in terms) for x in sets):  # what has it has the other
+            found = found | _all_of(text, terms)
+    return found
+
+
+def _all_of(text, terms):
+    return reduce(lambda a, b: a & b, [text.contains(t) for t in sorted(terms, key=lambda t: (-len(t), t))])
 
 
 def _terms(unit):
@@ -174,16 +190,20 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     standard headers (``texts``) the stretch from their first words on is compared, line breaks and comment marks folded.
     """
     spark = files.sparkSession
-    rows = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.col(text).alias("t")).where(_anchored(F.col("t"), templates, least))
-    lines = F.split("t", "\\n")
-    cut = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE))), F.split("t", "\\n[ \\t]*\\n"))
-    bare = F.split(F.regexp_replace("t", MARKS, ""), "\\n")
-    for n in (2, 3):  # notices wrapped over neighbouring lines
-        spans = F.transform(F.sequence(F.lit(1), F.size(bare)), lambda i: F.array_join(F.slice(bare, i, n), " "))  # noqa: B023
-        spans = F.filter(spans, lambda x: _anchored(x, templates, least))
-        cut = F.concat(cut, spans, F.flatten(F.transform(spans, lambda x: F.split(x, SENTENCE))))
+    lowered = files.select(F.col(key).alias("k"), F.col(path).alias("p"), F.lower(F.col(text)).alias("t"))  # no rule tells cases apart
+    firsts = sorted({" ".join(t.lower().split()[:3]) for _, t in texts})
+    begun = reduce(lambda a, b: a | b, [_all_of(F.col("t"), f.split()) for f in firsts], F.lit(False))
+    lowered = materialize(lowered.withColumn("told", _told(F.col("t"), templates, least)).where(F.col("told") | begun), "texts")
+    rows = lowered.where("told")
+    # columns of their own, so that each array is made once; lines are zipped, as a lambda would cut the text anew for each
+    rows = rows.withColumn("lines", F.split("t", "\\n")).withColumn("bare", F.split(F.regexp_replace("t", MARKS, ""), "\\n"))
+    zipped = lambda a, n: F.zip_with(a, F.slice("bare", n, F.size("bare")), lambda x, y: F.concat_ws(" ", x, y))
+    rows = rows.withColumn("two", zipped("bare", 2)).withColumn("three", zipped("two", 3))  # notices wrapped over neighbouring lines
+    told = lambda a: F.filter(a, lambda x: _told(x, templates, least))
+    rows = rows.withColumn("some", told(F.concat("lines", "two", "three")))
+    cut = F.concat("some", told(F.flatten(F.transform("some", lambda x: F.split(x, SENTENCE)))), told(F.split("t", "\\n[ \\t]*\\n")))
     words_of = lambda c: F.regexp_count(c, F.lit(WORD))
-    found = F.array_distinct(F.transform(F.filter(cut, lambda x: _anchored(x, templates, least)), lambda x: F.btrim(x, F.lit(" \t\r\n"))))
+    found = F.array_distinct(F.transform(cut, lambda x: F.btrim(x, F.lit(" \t\r\n"))))
     units = rows.select("k", "p", words_of(F.col("t")).alias("n_words"), F.explode(found).alias("unit")).where(_may_reach(F.col("unit"), templates, least))
     share = (words_of(F.col("unit")) * 2 >= F.col("n_words")).alias("share")
     units = units.select("k", "p", share, F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
@@ -191,9 +211,9 @@ def scan(files: DataFrame, key: str, path: str, text: str = "text", templates=TE
     named = _score(spark, units.select("uid", "unit"), templates, least)
     said = units.select("k", "p", "share", "uid").join(named, "uid").select("k", "p", "share", "license", "similarity")
     if texts:
-        flat = F.regexp_replace(F.regexp_replace(F.col(text), MARKS, " "), SPACES, " ")
-        firsts = "(?i)" + "|".join(sorted({re.escape(" ".join(t.split()[:3])) for _, t in texts}))
-        bodies = files.select(F.col(key).alias("k"), F.col(path).alias("p"), words_of(F.col(text)).alias("n_words"), flat.alias("t")).where(F.col("t").rlike(firsts))
+        flat = F.regexp_replace(F.regexp_replace("t", MARKS, " "), SPACES, " ")
+        bodies = lowered.select("k", "p", words_of(F.col("t")).alias("n_words"), flat.alias("t"))
+        bodies = bodies.where(F.col("t").rlike("|".join(map(re.escape, firsts))))
         bodies = bodies.select("k", "p", "n_words", F.explode(F.array_distinct(_stretches(F.col("t"), texts))).alias("unit"))
         bodies = bodies.select("k", "p", (words_of(F.col("unit")) * 2 >= F.col("n_words")).alias("share"), F.md5(F.col("unit").cast("binary")).alias("uid"), "unit")
         bodies = materialize(bodies, "bodies")
