@@ -2,7 +2,7 @@
 
 A 64-bit fingerprint is cut into segments of 22, 21 and 21 bits. Where no segment differs in more than two bits, the first
 two segments each have a Golay key in common (see ``golay.nearby``); where one segment takes all three errors, the other
-two are equal. So the pairs of keys of segments 1 and 2 and the three pairs of equal segments miss no pair within three
+two are equal. So the pairs of keys of segments 1 and 2 and the pairs of equal segments with the third miss no pair within three
 bits. Rows of one key are compared with each other, in blocks when there are many, and only a spanning forest of the links
 found is kept: its size is that of the bucket, not its square, and its components are those of all the links.
 """
@@ -25,8 +25,8 @@ from quernflow.scratch import materialize
 
 WIDTHS = (22, 21, 21)
 SEED = 42
-#: Links within three bits: one family of Golay keys, three of equal segments.
-WITHIN_3 = (("near", 0, 1), ("same", 0, 1), ("same", 0, 2), ("same", 1, 2))
+#: Links within three bits: a family of Golay keys (equal segments share them too) and two of equal segments.
+WITHIN_3 = (("near", 0, 1), ("same", 0, 2), ("same", 1, 2))
 #: Rows of one key compared in one piece; more are dealt into blocks, and each two blocks meet.
 BLOCK = 200_000
 #: Texts of one codeword, or of one shingle, that a task of the near-duplicate search has at a time.
