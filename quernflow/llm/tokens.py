@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quernflow.llm import batches
 from quernflow.scratch import fresh_path, materialize
+from quernflow.session import setting
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split that belongs to the rank files. A fixed value.
@@ -73,20 +74,17 @@ class Rollup:
         self._fs.mkdirs(self._path(f"{self.path}/commits"))
 
     def batches(self) -> dict[int, dict]:
-        """The committed batches by number, with the places of their tables. One small file a batch."""
-        out = {}
-        for status in self._fs.listStatus(self._path(f"{self.path}/commits")):
-            name = status.getPath().getName()
-            if name.endswith(".json"):
-                text = self.spark.read.text(status.getPath().toString(), wholetext=True).first()[0]
-                out[int(name.removesuffix(".json"))] = json.loads(text)
-        return dict(sorted(out.items()))
+        """The committed batches by number, with the places of their tables: one small file a batch, all read by one job."""
+        if not any(status.getPath().getName().endswith(".json") for status in self._fs.listStatus(self._path(f"{self.path}/commits"))):
+            return {}
+        files = self.spark.read.text(f"{self.path}/commits", wholetext=True, pathGlobFilter="*.json").collect()
+        return dict(sorted((found["batch"], found) for found in (json.loads(r["value"]) for r in files)))
 
     def _commit(self, batch: int, tables: dict) -> bool:
         """Create the batch's file, whole or not at all; False if another attempt was first."""
         part, final = f"{self.path}/commits/.{fresh_path(self.spark, 'c').rpartition('/')[2]}", self._path(f"{self.path}/commits/{batch}.json")
         stream = self._fs.create(self._path(part), False)
-        stream.write(bytearray(json.dumps(tables).encode()))
+        stream.write(bytearray(json.dumps(tables | {"batch": batch}).encode()))
         stream.close()
         if self._fs.exists(final) or not self._fs.rename(self._path(part), final):
             self._fs.delete(self._path(part), False)
@@ -95,12 +93,10 @@ class Rollup:
 
     def state(self) -> DataFrame:
         """The last committed row of each document and tokenizer version, deleted ones included."""
-        rows = None
-        for number, tables in self.batches().items():
-            part = self.spark.read.schema(_STATE).parquet(tables["state"]).withColumn("batch", F.lit(number))
-            rows = part if rows is None else rows.unionByName(part)
-        if rows is None:
+        known = self.batches()
+        if not known:
             return self.spark.createDataFrame([], _STATE)
+        rows = self.spark.read.schema(_STATE + ", batch int").parquet(*[t["state"] for t in known.values()])
         last = F.max_by(F.struct("source", "lang", "tokens", "live"), "batch").alias("s")
         return rows.groupBy("doc_id", "tokenizer_version").agg(last).select("doc_id", "s.source", "s.lang", "tokenizer_version", "s.tokens", "s.live")
 
@@ -127,32 +123,34 @@ class Rollup:
         minus = old.where("live").select(*_GROUP, F.lit(-1).cast("long").alias("docs"), (-F.col("tokens")).alias("tokens"))
         signed = plus.unionByName(minus).groupBy(*_GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
         places = {"state": f"{fresh_path(self.spark, 'state')}", "deltas": f"{fresh_path(self.spark, 'deltas')}"}
-        new.write.parquet(places["state"])
+        new.withColumn("batch", F.lit(batch)).write.parquet(places["state"])
         signed.write.parquet(places["deltas"])
         return self._commit(batch, places)
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer_version, docs, tokens) of the live documents; groups without documents are left out."""
-        rows = None
-        for tables in self.batches().values():
-            part = self.spark.read.schema("source string, lang string, tokenizer_version string, docs long, tokens long").parquet(tables["deltas"])
-            rows = part if rows is None else rows.unionByName(part)
-        if rows is None:
-            return self.spark.createDataFrame([], "source string, lang string, tokenizer_version string, docs long, tokens long")
+        schema = "source string, lang string, tokenizer_version string, docs long, tokens long"
+        known = self.batches()
+        if not known:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(*[t["deltas"] for t in known.values()])
         out = rows.groupBy(*_GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return out.where("docs <> 0")
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    """All documents are inserted; those labelled toxic are deleted and inserted again, and a batch is sent twice: the totals
-    are those of the whole table."""
+    """All rows are inserted, those of documents labelled toxic deleted, inserted with a revised count (that of the text twice)
+    and revised back, and a batch is sent twice: the totals are those of all rows of the table. A row's key is its place in
+    the table of counts, so rows without a doc_id and rows that repeat one count as well."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rollup, tokenizer = Rollup(spark, fresh_path(spark, "rollup")), Tokenizer(spark)
-    counted = materialize(docs.select("doc_id", "source", "lang", tokenizer.count(F.col("text")).alias("tokens")), "counts")
+    rollup, tokenizer = Rollup(spark, fresh_path(spark, "rollup")), Tokenizer(spark, setting(spark, "spark.quernflow.vocabulary", VOCABULARY))
+    counted = materialize(docs.select("doc_id", "source", "lang", tokenizer.count(F.col("text")).alias("tokens"), F.monotonically_increasing_id().alias("row")), "counts")
     toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id").distinct()
-    again = counted.join(toxic, "doc_id", "left_semi")
-    rollup.apply(1, counted.withColumn("op", F.lit("insert")), tokenizer)
-    rollup.apply(2, again.withColumn("op", F.lit("delete")), tokenizer)
-    rollup.apply(3, again.withColumn("op", F.lit("insert")), tokenizer)
-    rollup.apply(2, again.withColumn("op", F.lit("delete")), tokenizer)
+    keyed = lambda rows, op: rows.select(F.lit(op).alias("op"), F.col("row").alias("doc_id"), "source", "lang", "tokens")
+    again = materialize(counted.join(toxic, "doc_id", "left_semi"), "again")
+    rollup.apply(1, keyed(counted, "insert"), tokenizer)
+    rollup.apply(2, keyed(again, "delete"), tokenizer)
+    rollup.apply(3, keyed(again.withColumn("tokens", F.col("tokens") * 2), "insert"), tokenizer)
+    rollup.apply(4, keyed(again, "revise"), tokenizer)
+    rollup.apply(2, keyed(again, "delete"), tokenizer)
     return rollup.totals()
