@@ -268,9 +268,11 @@ def write_archives(pages: DataFrame, least: int = LEAST_REVISIT, package: int =
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("payload_digest"))
     rows = rows.withColumn("page_id", F.col("page_id").cast("long"))
-    groups = rows.where(F.octet_length("html") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
-    groups = groups.where("n > 1 and top is not null").select("payload_digest", "top")
-    rows = rows.join(groups, "payload_digest", "left")
+    large = F.octet_length("html") >= least
+    groups = rows.where(large).groupBy("payload_digest").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
+    # a table of known size: the planner broadcasts it below its threshold; small payloads need no join
+    groups = materialize(groups.where("n > 1 and top is not null").select("payload_digest", "top"), "groups")
+    rows = rows.where(large).join(groups, "payload_digest", "left").unionByName(rows.where(~large).withColumn("top", F.lit(None).cast("long")))
     refers = F.when(F.col("page_id").eqNullSafe(F.col("top")), F.lit(None)).otherwise(F.col("top")).cast("long")
     rows = rows.select("page_id", "url", "html", "payload_digest", refers.alias("refers_to"))
     return materialize(rows.mapInArrow(_write(folder, package), "path string"), "packages")
@@ -278,7 +280,7 @@ def write_archives(pages: DataFrame, least: int = LEAST_REVISIT, package: int =
 
 def read_archives(paths: DataFrame) -> DataFrame:
     """The records of packages listed in ``paths`` (path): page_id, url, payload_bytes, payload_digest, record_type, refers_to."""
-    return paths.repartition("path").mapInArrow(_read, RECORD)
+    return paths.repartition(max(1, paths.count())).mapInArrow(_read, RECORD)  # a task a package: the rows are too small to be dealt by size
 
 
 def op8_warc(spark, sf_dir: str) -> DataFrame:
