@@ -22,6 +22,8 @@ BLOCK_CHARS = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 _CHUNK = 1 << 19
+#: Places of q-grams in the benchmark that are looked at together.
+_ROWS = 1 << 20
 
 RESULT = "doc_id long, item_id long, edits int, start int, length int"
 
@@ -58,10 +60,12 @@ class Index:
     """The q-grams of a block of items, with their places."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, max_error: float = MAX_ERROR):
-        self.q, self.items = q, []
+        self.q, self.items, self.short = q, [], []
         for item_id, text in items:
             text = normal(text)
-            if len(text) >= q:
+            if 0 < len(text) < q:
+                self.short.append((item_id, text))
+            elif text:
                 edits = min(int(max_error * len(text)), (len(text) - q) // q)
                 self.items.append((item_id, text, edits))
         grams = [qgrams(codes(t), q) for _, t, _ in self.items]
@@ -76,6 +80,20 @@ class Index:
         self.seen = np.zeros(1 << _BITS, dtype=bool)
         self.seen[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
+    def _expanded(self, at: np.ndarray, key: np.ndarray, shift: np.int64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item and band, place in the item) of hits, each in the two bands that hold it, some hits at a time."""
+        upto = np.cumsum(self.count[key])
+        first = 0
+        while first < len(key):
+            before = int(upto[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, before + _ROWS, "right")))
+            n = self.count[key[first:last]]
+            row = np.repeat(self.first[key[first:last]] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))
+            item, place = self.owner[row], self.place[row]
+            band = item * shift + (np.repeat(at[first:last], n) - place) // self.stride[item] + 1_000_000
+            yield np.concatenate([band, band - 1]), np.tile(place, 2)
+            first = last
+
     def candidates(self, chars: np.ndarray) -> np.ndarray:
         """(item, band) rows whose bands hold enough shared q-grams; band b starts at diagonal b * stride."""
         hits_at, hits_key = [], []
@@ -88,22 +106,28 @@ class Index:
             hits_at.append(some[good] + at)
             hits_key.append(where[good])
         at, key = np.concatenate(hits_at), np.concatenate(hits_key)
-        n = self.count[key]
-        total = int(n.sum())
-        if not total:
-            return np.zeros((0, 2), np.int64)
-        row = np.repeat(self.first[key] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(total)
-        item = self.owner[row]
-        band = (np.repeat(at, n) - self.place[row]) // self.stride[item] + 1_000_000
         shift = np.int64(1) << 36
-        both = np.concatenate([item * shift + band, item * shift + band - 1])
+        parts = list(self._expanded(at, key, shift))
+        if not parts:
+            return np.zeros((0, 2), np.int64)
+        if len(parts) > 1:
+            # count first, in a table of fixed size, so that only bands that may have enough are held together
+            votes = np.zeros(1 << _BITS, np.int64)
+            slot = lambda both: (both.astype(np.uint64) * _BASE >> np.uint64(64 - _BITS)).astype(np.int64)
+            for both, _ in self._expanded(at, key, shift):
+                votes += np.bincount(slot(both), minlength=len(votes))
+            parts = []
+            for both, place in self._expanded(at, key, shift):
+                some = votes[slot(both)] >= self.least[both // shift]
+                parts.append((both[some], place[some]))
+        both, place = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.argsort(both)
         both = both[order]
         cuts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
         votes = np.diff(np.r_[cuts, len(both)])
         cuts, votes = cuts[keep := votes >= self.least[both[cuts] // shift]], votes[keep]
         # a q-gram that the text repeats counts once: the lemma is about the item's places
-        place = np.tile(self.place[row], 2)[order]
+        place = place[order]
         many = [len(np.unique(place[c : c + v])) for c, v in zip(cuts.tolist(), votes.tolist(), strict=True)]
         found = both[cuts]
         found = found[np.array(many, dtype=np.int64) >= self.least[found // shift]]
@@ -176,6 +200,11 @@ def within_budget(chars: np.ndarray, jobs: list[tuple[np.ndarray, int, int, int,
 
 def matches(texts: list[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(text number, item_id, edits, start, length) of the best occurrence of each item in each normalised text."""
+    for number, text in enumerate(texts):
+        for item_id, pattern in index.short:  # too short for a q-gram and for an edit
+            at = text.find(pattern)
+            if at >= 0:
+                yield number, item_id, 0, at, len(pattern)
     if not index.items:
         return
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
@@ -215,7 +244,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERR
     """(doc_id, item_id, edits, start, length): each item that occurs in a document within its budget, at its best place.
 
     The budget is ``max_error`` of the item's characters, less for very short items so that the filter stays exact; items of
-    under ``q`` characters, null or empty ones match nothing. Places count characters of the text in lower case with single
+    under ``q`` characters must stand in the text as they are; null or empty ones match nothing. Places count characters of the text in lower case with single
     spaces. The benchmark is indexed in blocks of ``block_chars`` characters at most (more only for one longer item), each
     broadcast and held against all documents. Null texts match nothing; repeated rows are found each by itself, and equal
     results are one row; no rows for an empty table.

@@ -179,6 +179,17 @@ def test_all_occurrences_within_budget_are_found():
                 assert got[n, item_id] == least
 
 
+def test_hits_in_slices_and_short_items(monkeypatch):
+    rng = random.Random(14)
+    make = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    index = decontam.Index([(i, make(rng.choice([20, 90]))) for i in range(20)] + [(90, " ab\n"), (91, "zz"), (92, " ")])
+    texts = [decontam.normal(make(4000) + index.items[i][1]) for i in range(8)] + ["", "b"]
+    want = sorted(decontam.matches(texts, index))
+    monkeypatch.setattr(decontam, "_ROWS", 50)
+    assert sorted(decontam.matches(texts, index)) == want
+    assert {(n, i) for n, i, *_ in want if i >= 90} == {(n, 90) for n in range(8)}
+
+
 def test_leaks_in_tables(spark, make_docs, edge_docs, empty_docs):
     passage = "what is the capital of the country that lies to the north of here and why"
     bench = spark.createDataFrame([(1, passage), (2, None), (3, ""), (4, "tiny"), (None, passage)], "item_id long, text string")
@@ -477,6 +488,23 @@ def test_whole_table_is_counted(spark, sf):
     assert sum(r["docs"] for r in got) == len(docs) and sum(r["tokens"] for r in got) == sum(len(encode(d["text"])) for d in docs)
 
 
+def test_rows_without_or_with_repeated_ids_are_counted_by_group(spark, make_docs, tmp_path):
+    import os
+
+    if not os.path.exists(tokens.VOCABULARY):
+        pytest.skip("no vocabulary here")
+    encode = tokens._encoding(open(tokens.VOCABULARY, "rb").read(), tokens.PATTERN).encode_ordinary
+    rows = [(1, "one two", "en", "a"), (1, "one two", "en", "a"), (1, "three", "de", "a"), (None, "four", None, "a"), (None, None, "en", None), (2, "", "en", "b"), (3, "five " * 9000, "en", "b")]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (3, 1), (None, 1), (2, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = {}
+    for _, text, lang, source in rows:
+        docs, count = want.get((source, lang), (0, 0))
+        want[source, lang] = docs + 1, count + len(encode(text or ""))
+    got = tokens.op10_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"]): (r["docs"], r["tokens"]) for r in got} == want
+
+
 # ---------------------------------------------------------------- pipeline
 
 
