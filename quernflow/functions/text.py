@@ -262,4 +262,8 @@ def py_json_hash(length: int):
 def flat_hash(length: int, **fields: Column) -> Column:
     """The same hash for flat records of strings and integers, without Python."""
     ordered = [v.alias(k) for k, v in sorted(fields.items())]
-    return F.left(F.sha2(F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"}).cast("binary"), 256), F.lit(length))
+    text = F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
+    lower = text
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):  # the hash is of lower-case escapes; an escaped backslash before is none
+        lower = F.regexp_replace(lower, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    return F.left(F.sha2(F.when(text.contains("\\u00"), lower).otherwise(text).cast("binary"), 256), F.lit(length))

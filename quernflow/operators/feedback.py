@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quernflow.operators.windows import running_sum
@@ -111,9 +110,9 @@ def coverage_feedback(evaluations: DataFrame, groups: DataFrame, maps: DataFrame
         )
     edges = rows.select("seq", "map_id").join(maps, "map_id").select("seq", "edge_id")
     zero = F.lit(0)
-    scored = rows.join(edge_novelty(edges), "seq", "left")
-    running = F.max("union_edges_after").over(W.orderBy("seq").rowsBetween(W.unboundedPreceding, 0))
-    scored = scored.withColumns({"edge_entries": F.coalesce("edge_entries", zero), "new_edges": F.coalesce("new_edges", zero), "new_edge_ratio": F.coalesce("new_edge_ratio", F.lit(0.0)), "union_edges_after": F.coalesce(running, zero)})
+    scored = rows.join(edge_novelty(edges).drop("union_edges_after"), "seq", "left")
+    scored = scored.withColumns({"edge_entries": F.coalesce("edge_entries", zero), "new_edges": F.coalesce("new_edges", zero), "new_edge_ratio": F.coalesce("new_edge_ratio", F.lit(0.0))})
+    scored = running_sum(scored, "seq", "new_edges", "union_edges_after")
     rewards = feature_rewards(scored)
     glue = novel_glue(scored.where("feedback_source = 'showmap'"))
     native = F.col("feedback_source") == "native_afl"

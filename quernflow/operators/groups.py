@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernflow.functions.text import blank, canonical_glue_id, canonical_language, string_list
+from quernflow.operators.components import components
 
 # Accepted states, modes and languages; forbidden framing of programs.
 STATES = ("ready", "rejected")
@@ -135,25 +136,11 @@ def rewrite_glue(glue: Column, dependencies: Column) -> tuple[Column, Column]:
     return fixed, deps
 
 
-def connected_groups(nodes: DataFrame, edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """(node, component) for graphs of any size: the least label spreads along (src, dst) until nothing changes.
-
-    Raises when ``rounds`` do not suffice; labels are written to the shared folder each round.
-    """
-    from quernflow.scratch import materialize
-
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    labels = materialize(nodes.select("node", F.col("node").alias("component")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c")), "dst").groupBy("src").agg(F.min("c").alias("c"))
-        new = labels.join(near, labels["node"] == near["src"], "left").select("node", F.least("component", F.coalesce("c", "component")).alias("component"), F.col("component").alias("was"))
-        # follow the label's own label, so that long paths take few rounds
-        jump = new.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = materialize(new.join(jump, "component", "left").select("node", F.least("component", F.coalesce("further", "component")).alias("component"), "was"), "labels")
-        if new.where("component <> was").isEmpty():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
-    raise ValueError("the labels did not settle")
+def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) for graphs of any size: the least node of each connected component of ``edges`` (src, dst)."""
+    found = components(edges)
+    rows = nodes.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return rows.join(rows.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component")
 
 
 def normalize_group(raw: Column, candidate_id: Column) -> Column:

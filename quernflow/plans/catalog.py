@@ -20,7 +20,9 @@ from quernflow.operators import coverage as V
 from quernflow.operators import feedback as B
 from quernflow.operators import groups as G
 from quernflow.operators import pairs as P
+from quernflow.scratch import fresh_path
 from quernflow.session import table
+from quernflow.sources import files as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -679,8 +681,56 @@ def iteration_delta(spark, sf):
 
 @query("SELECT event_type, min((props->>'$.k')::BIGINT) AS lowest, max((props->>'$.k')::BIGINT) AS highest, sum((props->>'$.k')::BIGINT)::BIGINT AS total FROM events GROUP BY 1")
 def stats_kv_pivot(spark, sf):
-    k = F.get_json_object("props", "$.k").cast("long")
-    return table(spark, sf, "events").groupBy("event_type").agg(F.min(k).alias("lowest"), F.max(k).alias("highest"), F.sum(k).alias("total"))
+    path = fresh_path(spark, "stats")
+    table(spark, sf, "events").select(F.concat_ws(" : ", "event_type", F.get_json_object("props", "$.k"))).write.text(path)
+    k = F.col("value").cast("long")
+    return S.read_stats(spark, path).groupBy(F.col("key").alias("event_type")).agg(F.min(k).alias("lowest"), F.max(k).alias("highest"), F.sum(k).alias("total"))
+
+
+NAMES = ["testsuite/pr%d.c", "testsuite/xpr%d-2.C", "testsuite/pr-%d.c", "testsuite/0pr%d.f90", "testsuite/PR%dx", "testsuite/9Pr%d"]
+NOTES = ["/* PR target/%d */", "// pr tree_opt.x/%d", "PR  c++/%d and", "SUPR target/%d", "no bug"]
+
+
+def _numbered(texts, key, number):
+    return F.replace(pick(texts, key), F.lit("%d"), F.col(number).cast("string"))
+
+
+@query(f"""
+WITH f AS (SELECT replace({pick_sql(NAMES, "o_orderkey")}, '%d', o_custkey::VARCHAR) AS path, replace({pick_sql(NOTES, "o_custkey")}, '%d', o_orderkey::VARCHAR) AS text FROM orders),
+i AS (SELECT path, unnest(list_concat(regexp_extract_all(regexp_extract(path, '[^/]*$'), '(?i)(?:^|[^0-9])pr([0-9]{{4,}})(?:[^0-9]|$)', 1), regexp_extract_all(text, '(?i)\\bPR\\s+[a-z0-9_+.-]+/([0-9]{{4,}})', 1))) AS n FROM f)
+SELECT DISTINCT n::BIGINT AS bug_id, path FROM i WHERE n::BIGINT IN (SELECT ps FROM (SELECT o_orderkey AS ps FROM orders UNION SELECT o_custkey FROM orders))""")
+def linked_tests(spark, sf):
+    o = table(spark, sf, "orders")
+    tests = o.select(_numbered(NAMES, "o_orderkey", "o_custkey").alias("path"), _numbered(NOTES, "o_custkey", "o_orderkey").alias("text"))
+    wanted = o.select(F.col("o_orderkey").alias("bug_id")).union(o.select("o_custkey"))
+    return S.linked_tests(tests, True, wanted)
+
+
+TIERS = ["not_loongarch", "architecture_specific", "multi_arch_shared", "not_loongarch", "not_loongarch"]
+
+
+@query(f"""
+SELECT o_orderkey, CASE WHEN {pick_sql(TIERS, "o_orderkey")} <> 'not_loongarch' THEN {pick_sql(TIERS, "o_orderkey")} WHEN o_orderstatus = 'P' THEN 'loongarch_testsuite_linked'
+  WHEN o_custkey % 3 = 0 THEN 'loongarch_observed' WHEN o_custkey % 3 = 1 THEN 'loongarch_validation_only' ELSE 'not_loongarch' END AS tier FROM orders""")
+def report_tiers(spark, sf):
+    kind = F.when(F.col("o_custkey") % 3 == 0, F.array(F.lit("mention"), F.lit("failure"))).when(F.col("o_custkey") % 3 == 1, F.array(F.lit("validation"))).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf, "orders").select("o_orderkey", K.full_tier(pick(TIERS, "o_orderkey"), F.col("o_orderstatus") == "P", kind).alias("tier"))
+
+
+@query("""
+WITH g AS (SELECT o_orderkey AS pos, 'g' || o_custkey AS group_uid, 'c' || (o_orderkey % 50) AS candidate_id, ['f' || (o_orderkey % 7), 'f' || (o_custkey % 11)] AS uids FROM orders),
+k AS (SELECT key, arg_max(uids, pos) AS uids FROM (SELECT group_uid AS key, pos, uids FROM g UNION ALL SELECT candidate_id, pos, uids FROM g) GROUP BY 1),
+r AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN ['z', 'a', 'z', ''] ELSE [] END AS own, ['g' || user_id, 'c' || (event_id % 60)] AS keys FROM events),
+f AS (SELECT event_id, string_agg(DISTINCT u, ';' ORDER BY u) AS found FROM (SELECT event_id, unnest(k.uids) AS u FROM (SELECT event_id, unnest(keys) AS key FROM r) x JOIN k ON k.key = x.key) GROUP BY 1)
+SELECT r.event_id AS native_run_id, CASE WHEN len(own) > 0 THEN 'a;z' ELSE coalesce(found, '') END AS source_feature_uids FROM r LEFT JOIN f ON f.event_id = r.event_id""")
+def native_run_sources(spark, sf):
+    none = F.array().cast("array<string>")
+    named = lambda letter, n: F.concat(F.lit(letter), n)
+    o, e = table(spark, sf, "orders"), table(spark, sf, "events")
+    groups = o.select(F.col("o_orderkey").alias("pos"), named("g", F.col("o_custkey")).alias("group_uid"), named("c", F.col("o_orderkey") % 50).alias("candidate_id"), F.array(named("f", F.col("o_orderkey") % 7), named("f", F.col("o_custkey") % 11)).alias("source_feature_uids"))
+    own = F.when(F.col("event_id") % 4 == 0, F.array(*map(F.lit, ("z", "a", "z", "")))).otherwise(none)
+    runs = e.select(F.col("event_id").alias("native_run_id"), own.alias("source_feature_uids"), F.array(named("g", F.col("user_id"))).alias("group_uids"), F.array(named("c", F.col("event_id") % 60)).alias("candidate_ids"))
+    return B.native_sources(runs, groups).select("native_run_id", F.array_join("source_feature_uids", ";").alias("source_feature_uids"))
 
 
 @query("""

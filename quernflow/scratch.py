@@ -1,7 +1,7 @@
 """Cutting lineage with tables in the folder that the cluster shares.
 
-The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) is one made below
-``/tmp/checkpoints``. A table written here survives the loss of any executor, unlike a cached or locally checkpointed one.
+The folder is the session's ``spark.checkpoint.dir``; only where that is unset and the master is local (tests, a laptop) is
+one made below ``/tmp/checkpoints``. A table written here survives the loss of any executor, unlike a cached or locally checkpointed one.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ _OWN = f"file:///tmp/checkpoints/quernflow-{_RUN}"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: the cluster's setting, or one of our own where there is none."""
-    return (setting(spark, "spark.checkpoint.dir") or _OWN).rstrip("/")
+    """The shared folder: the cluster's setting; on a single machine, where there is none, one of our own."""
+    found = setting(spark, "spark.checkpoint.dir")
+    if found is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (found or _OWN).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:

@@ -135,13 +135,18 @@ def decode_attachments(attachments: DataFrame, most_bytes: int = 5_000_000) -> D
     return attachments.withColumn("content", F.when(size <= most_bytes, raw)).withColumn("too_large", F.coalesce(size > most_bytes, F.lit(False)))
 
 
+# How names and texts of tests tell their bug.
+TEST_NAME = r"(?i)(?:^|[^0-9])pr([0-9]{4,})(?:[^0-9]|$)"
+TEST_TEXT = r"(?i)\bPR\s+[a-z0-9_+.-]+/([0-9]{4,})"
+
+
 def linked_tests(files: DataFrame, by_content: bool = False, wanted: DataFrame | None = None) -> DataFrame:
-    """(bug_id, path) of test files (path, text) whose name has ``pr<number>``, or, with ``by_content``, whose text names
-    ``PR component/number`` too; restricted to the bugs of ``wanted`` (bug_id)."""
+    """(bug_id, path) of test files (path, text) whose name has ``pr`` and a number of four digits or more with no digit around
+    both, or, with ``by_content``, whose text names ``PR component/number`` too; restricted to the bugs of ``wanted``."""
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    ids = F.regexp_extract_all(name, F.lit(r"(?i)(?:^|[^a-z0-9])pr-?(\d{4,})"), F.lit(1))
+    ids = F.regexp_extract_all(name, F.lit(TEST_NAME), F.lit(1))
     if by_content:
-        ids = F.concat(ids, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?i)\bPR\s+[a-z0-9+-]+/(\d{4,})\b"), F.lit(1)))
+        ids = F.concat(ids, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TEST_TEXT), F.lit(1)))
     out = files.select(F.explode(F.transform(F.array_distinct(ids), lambda n: n.cast("long"))).alias("bug_id"), "path").distinct()
     return out if wanted is None else out.join(wanted.select("bug_id").distinct(), "bug_id", "left_semi")
 

@@ -5,19 +5,22 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines with sorted keys; ``mode='append'`` adds to what is there. Nulls are kept."""
-    df.select(*sorted(df.columns)).write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """JSON lines with sorted keys; ``mode='append'`` adds to what is there. Nulls are kept. Gives the rows written, counted
+    while they are."""
+    seen = Observation()
+    df.select(*sorted(df.columns)).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("ignoreNullFields", "false").json(path)
+    return int(seen.get["rows"])
 
 
 def write_csv_index(df: DataFrame, path: str) -> None:
-    """An index as one CSV file with a header; lists are joined by semicolons."""
+    """An index as CSV files with a header, a file a task; lists are joined by semicolons."""
     flat = [F.array_join(c, ";").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
-    df.select(*flat).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.select(*flat).write.mode("overwrite").csv(path, header=True)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -28,9 +31,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream = files.create(part, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    files.delete(target, False)
+    old = jvm.org.apache.hadoop.fs.Path(path + ".old")
+    if files.exists(target):  # the old file stays, under one name or the other, until the new one is in place
+        files.delete(old, False)
+        files.rename(target, old)
     if not files.rename(part, target):
+        files.rename(old, target)
         raise OSError(f"{path} could not be put in place")
+    files.delete(old, False)
 
 
 def write_json(spark: SparkSession, path: str, value: object) -> None:

@@ -1,5 +1,7 @@
 """Text functions and classifiers on small literals."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from quernflow.functions import classify as K
@@ -67,6 +69,8 @@ def test_hash_of_nested_and_flat_records_agree(spark):
     row = '{"b": 1, "a": "x"}'
     nested = one(spark, T.py_json_hash(16)(F.col("t")), t=row)
     assert nested == one(spark, T.flat_hash(16, b=F.lit(1), a=F.lit("x")))
+    for text in ("\x1b[31mred\x1b[0m", "\x0b\x0c\x0e\x7f\x00", "\\u001B kept \\\x1b", "\\\\\x1f", "é\u2028😀\"/"):
+        assert one(spark, T.py_json_hash(16)(F.col("t")), t=json.dumps({"a": text})) == one(spark, T.flat_hash(16, a=F.col("t")), t=text)
 
 
 def test_relevance(spark):

@@ -11,3 +11,17 @@ def test_tables_are_written_and_paths_are_fresh(spark):
     path = scratch.fresh_path(spark, "gone")
     scratch.drop(spark, path)
     assert path != scratch.fresh_path(spark, "gone")
+
+
+def test_a_cluster_must_name_its_folder(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(scratch, "setting", lambda *a: None)
+
+    class Elsewhere:
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(Elsewhere)
+    assert scratch.shared_dir(spark).startswith("file:///tmp/checkpoints/")

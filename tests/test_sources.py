@@ -74,6 +74,9 @@ def test_attachments_and_tests(spark):
     got = files.decode_attachments(df, 4).collect()
     assert got[0]["content"] is None and got[0]["too_large"] and got[1]["content"] is None and not got[2]["too_large"]
     assert files.decode_attachments(df).first()["content"] == b"hello"
+    odd = [("xpr12345.c", "PR tree_opt.x/77777"), ("pr-54321.c", ""), ("9pr33333.c", ""), ("pr44444_pr55555.c", "")]
+    found = files.linked_tests(spark.createDataFrame(odd, "path string, text string"), True)
+    assert sorted((r["bug_id"], r["path"]) for r in found.collect()) == [(12345, "xpr12345.c"), (44444, "pr44444_pr55555.c"), (77777, "xpr12345.c")]
     t = spark.createDataFrame([("dir/pr12345.c", ""), ("x.c", "/* PR target/54321 */"), ("pr12.c", "")], "path string, text string")
     assert [r["bug_id"] for r in files.linked_tests(t).collect()] == [12345]
     assert sorted(r["bug_id"] for r in files.linked_tests(t, True).collect()) == [12345, 54321]
