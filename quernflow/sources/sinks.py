@@ -18,9 +18,10 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 
 def write_csv_index(df: DataFrame, path: str) -> None:
-    """An index as CSV files with a header, a file a task; lists are joined by semicolons."""
+    """An index as one CSV file with a header; lists are joined by semicolons. One task writes it, row by row; what comes
+    before keeps its own tasks."""
     flat = [F.array_join(c, ";").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
-    df.select(*flat).write.mode("overwrite").csv(path, header=True)
+    df.select(*flat).repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
