@@ -124,7 +124,7 @@ def language_for_wrapper(c: Column) -> Column:
 
 def string_list(c: Column) -> Column:
     """Trimmed strings without the blank ones; null gives an empty array."""
-    return F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def token_set(text: Column) -> Column:

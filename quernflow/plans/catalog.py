@@ -19,6 +19,7 @@ from quernflow.operators import corpus as C
 from quernflow.operators import coverage as V
 from quernflow.operators import feedback as B
 from quernflow.operators import groups as G
+from quernflow.operators import instantiation as I
 from quernflow.operators import pairs as P
 from quernflow.scratch import fresh_path
 from quernflow.session import table
@@ -780,3 +781,85 @@ def discover_reports(spark, sf):
 @query("SELECT word AS tag, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY 1")
 def exploded_histogram(spark, sf):
     return table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- instantiations and covered corpora
+
+LANGUAGES = ["c", "C++", "cxx", "fortran", ""]
+
+
+@query("SELECT o_orderkey AS group_uid FROM orders WHERE o_orderkey IN (1, 7, 33, 12, 40, 44) OR o_custkey IN (1, 7, 33, 12, 40, 44)")
+def selected_groups(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("group_uid"), F.col("o_custkey").cast("string").alias("candidate_id"), F.lit("c").alias("language"))
+    return I.select_groups(o, ["1", "7", "33", "12", "40", "44"]).select(F.col("group_uid").cast("long").alias("group_uid"))
+
+
+@query(f"""
+WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'id ' || o_orderkey || '/x' ELSE '' END AS own, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'c ' || o_custkey END AS cand, 'g' || o_custkey AS grp, o_orderstatus AS status,
+  lower({pick_sql(LANGUAGES, "o_orderkey")}) AS lang, CASE WHEN o_orderkey % 2 = 0 THEN 'dir/my prog.v2.c' ELSE '' END AS file, o_comment AS source FROM (SELECT *, 'int x; // ' || o_custkey || CASE WHEN o_custkey % 2 = 0 THEN chr(10) ELSE '' END AS o_comment FROM orders)),
+n AS (SELECT *, CASE WHEN own <> '' THEN regexp_replace(own, '[^A-Za-z0-9_.-]+', '_', 'g') ELSE regexp_replace(coalesce(cand, grp), '[^A-Za-z0-9_.-]+', '_', 'g') || '-' ||
+  left(sha256('{{"candidate_id":' || CASE WHEN cand IS NULL THEN 'null' ELSE '"' || cand || '"' END || ',"group_uid":"' || grp || '","status":"' || status || '"}}'), 16) END AS id, CASE WHEN source LIKE '%' || chr(10) THEN source ELSE source || chr(10) END AS content FROM p)
+SELECT id AS instantiation_id, 'programs/' || id || '.' || CASE WHEN file = '' THEN id ELSE 'my_prog.v2' END || CASE WHEN lang = 'c' THEN '.c' WHEN lang IN ('c++', 'cxx') THEN '.cc' WHEN lang = 'fortran' THEN '.f90' ELSE '.txt' END AS path,
+  octet_length(encode(content)) AS bytes, sha256(content) AS sha256 FROM n""")
+def program_files(spark, sf):
+    o, none = table(spark, sf, "orders"), F.lit(None).cast("string")
+    key, who = F.col("o_orderkey"), F.col("o_custkey")
+    rows = o.select(
+        F.when(key % 3 == 0, F.concat(F.lit("id "), key, F.lit("/x"))).otherwise("").alias("instantiation_id"), F.when(key % 5 == 0, none).otherwise(F.concat(F.lit("c "), who)).alias("candidate_id"),
+        F.concat(F.lit("g"), who).alias("group_uid"), F.col("o_orderstatus").alias("instantiation_status"), pick(LANGUAGES, "o_orderkey").alias("language"),
+        F.when(key % 2 == 0, "dir/my prog.v2.c").otherwise("").alias("file_name"), F.concat(F.lit("int x; // "), who, F.when(who % 2 == 0, "\n").otherwise("")).alias("source_code"),
+    )
+    return I.program_files(rows).drop("content")
+
+
+def _evaluations(spark, sf):
+    path = F.concat(F.lit("p/"), F.col("event_id") % 400, pick([".c", ".cc", "", ".s"], "event_id"))
+    e = table(spark, sf, "events").select(
+        F.when(F.col("event_type") == "purchase", "covered").otherwise("failed").alias("evaluation_status"), F.concat(F.lit("i"), "event_id").alias("instantiation_id"), F.concat(F.lit("c"), F.col("user_id") % 200).alias("candidate_id"),
+        F.concat(F.lit("g"), F.col("user_id") % 90).alias("group_uid"), pick(["c", "c++", "cxx", ""], "event_id").alias("language"), path.alias("source_path"),
+    )
+    return e, e.select(F.col("source_path").alias("path"), F.sha2("source_path", 256).alias("sha256")).where("path NOT LIKE '%7%'").distinct()
+
+
+EVALUATIONS = """
+e AS (SELECT event_type = 'purchase' AS covered, 'i' || event_id AS id, 'c' || (user_id % 200) AS cand, 'g' || (user_id % 90) AS grp, (['c', 'c++', 'cxx', ''])[event_id % 4 + 1] AS lang,
+  'p/' || (event_id % 400) || (['.c', '.cc', '', '.s'])[event_id % 4 + 1] AS path FROM events)"""
+
+
+@query(f"WITH {EVALUATIONS} SELECT path AS source, id || regexp_extract(path, '[.][a-z]+$') AS target, sha256(path) AS sha256 FROM e WHERE covered AND path NOT LIKE '%7%'")
+def covered_corpus(spark, sf):
+    return I.covered_corpus(*_evaluations(spark, sf))
+
+
+@query(f"""
+WITH {EVALUATIONS}, f AS (SELECT * FROM e WHERE covered AND lang IN ('c++', 'cxx') AND path NOT LIKE '%7%' AND cand IN (SELECT 'c' || (o_custkey % 120) FROM orders WHERE o_orderstatus = 'F')),
+g AS (SELECT p_partkey AS pos, 'g' || (p_partkey % 60) AS grp, 'c' || (p_partkey % 150) AS cand, ['f' || (p_partkey % 13), ''] AS uids FROM part),
+k AS (SELECT key, arg_max(uids, pos) AS uids FROM (SELECT grp AS key, pos, uids FROM g UNION ALL SELECT cand, pos, uids FROM g) GROUP BY 1),
+s AS (SELECT unnest(coalesce(a.uids, b.uids)) AS id FROM f LEFT JOIN k a ON a.key = f.grp LEFT JOIN k b ON b.key = f.cand)
+SELECT 'candidate' AS kind, cand AS id FROM f UNION SELECT 'group', grp FROM f UNION SELECT 'feature', id FROM s WHERE id <> ''""")
+def seed_corpus(spark, sf):
+    e, sources = _evaluations(spark, sf)
+    ready = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.concat(F.lit("c"), F.col("o_custkey") % 120).alias("candidate_id"))
+    part = F.col("p_partkey")
+    groups = table(spark, sf, "part").select(part.alias("pos"), F.concat(F.lit("g"), part % 60).alias("group_uid"), F.concat(F.lit("c"), part % 150).alias("candidate_id"), F.array(F.concat(F.lit("f"), part % 13), F.lit("")).alias("source_feature_uids"))
+    return I.seed_corpus(e, ready, groups, sources, "c++")[1]
+
+
+VECTOR_NOTES = ["built with -mlsx", "__lasx_xvadd here", "the loop is not vectorized", "a/vect/b.c", "plain", "lsxx and mlasx"]
+
+
+@query(f"""
+WITH r AS (SELECT o_custkey AS bug, {pick_sql(VECTOR_NOTES, "o_orderkey")} AS t, o_orderstatus = 'F' AS core, o_orderstatus <> 'O' AS wide FROM orders),
+x AS (SELECT bug, core, wide, t IN ('built with -mlsx') AS lsx, t = '__lasx_xvadd here' AS lasx, t IN ('built with -mlsx', '__lasx_xvadd here', 'the loop is not vectorized', 'a/vect/b.c') AS vector FROM r),
+s AS (SELECT *, 'all' AS scope FROM x UNION ALL SELECT *, 'core' FROM x WHERE core UNION ALL SELECT *, 'expanded' FROM x WHERE wide)
+SELECT scope, extension, count(DISTINCT bug) AS reports FROM (SELECT scope, bug, unnest(list_filter([CASE WHEN lsx THEN 'lsx' END, CASE WHEN lasx THEN 'lasx' END, CASE WHEN vector THEN 'vector' END], lambda v: v IS NOT NULL)) AS extension FROM s) GROUP BY 1, 2""")
+def vector_mentions(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("bug_id"), pick(VECTOR_NOTES, "o_orderkey").alias("search_text"), (F.col("o_orderstatus") == "F").alias("llm_ready"), (F.col("o_orderstatus") != "O").alias("expanded_llm_ready"))
+    return I.vector_mentions(o, K.LSX, K.LASX)
+
+
+@query("""
+WITH r AS (SELECT DISTINCT event_type, user_id FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY user_id) AS place FROM r)
+SELECT event_type, count(*) AS n, string_agg(CASE WHEN place <= 50 THEN user_id END, ';' ORDER BY user_id) AS ids FROM k GROUP BY 1""")
+def first_errors(spark, sf):
+    return I.first_errors(table(spark, sf, "events"), "event_type", "user_id").withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ";"))

@@ -120,3 +120,7 @@ def test_affinity_of_conflicting_features(spark):
     got = {(r["left"], r["right"]): r["score"] for r in pair_affinity(v, pairs).collect()}
     assert got["a", "b"] == -1000.0 and got["a", "c"] > 3.2
     assert {(r["left"], r["right"]) for r in pair_affinity(v).collect()} == {("a", "c")}
+
+
+def test_string_lists_are_trimmed(spark):
+    assert one(spark, T.string_list(F.col("t")), t=[" f1 ", "", " ", "0a0", "1b"]) == ["f1", "0a0", "1b"]

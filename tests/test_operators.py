@@ -182,3 +182,24 @@ def test_incremental_helpers(spark):
     cache = frame(spark, [(7, "2025", 3), (8, "2023", 2)], "bug_id long, last_change_time string, schema_version int")
     assert [r["bug_id"] for r in corpus.stale(frame(spark, [(7, "2025"), (8, "2023")], "bug_id long, last_change_time string"), cache).collect()] == [8]
     assert coverage.histograms(frame(spark, [(None, "a"), ("x", "a")], "l string, t string"), "l", "t").where("dimension = 'l'").count() == 2
+
+
+def test_instantiations_get_defaults_names_and_ids(spark):
+    import hashlib
+    import json
+
+    from quernflow.operators import instantiation as I
+
+    groups = spark.createDataFrame([(1, "g1", "k1", "C++", ["-O2"], [" f1 ", ""]), (2, "g2", "k2", "c", None, None)], "pos int, group_uid string, candidate_id string, language string, target_options array<string>, source_feature_uids array<string>")
+    assert [r["group_uid"] for r in I.select_groups(groups, ["k2", "nothing"]).collect()] == ["g2"]
+    assert [r["group_uid"] for r in I.select_groups(groups, languages=["cxx", "c"], limit=1).collect()] == ["g1"]
+    with pytest.raises(ValueError, match="no groups matched"):
+        I.select_groups(groups, ["none"])
+    raw = groups.select("group_uid", I.normalize_instantiation(F.when(F.col("pos") == 1, '{"source_code": "int x;", "instantiation_status": "READY"}').otherwise("no json"), F.struct("*")).alias("i"))
+    one, two = (r["i"] for r in raw.orderBy("group_uid").collect())
+    digest = hashlib.sha256(json.dumps({"source": "int x;", "options": ["-O2"]}, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16]
+    assert two is None or two["source_code"] == ""
+    assert (one["group_uid"], one["language"], one["instantiation_status"], one["source_feature_uids"], one["instantiation_id"]) == ("g1", "c++", "ready", ["f1"], f"k1-{digest}")
+    assert I.chat_endpoint(" http://h/v1/ ") == "http://h/v1/chat/completions" and I.csv_values("a, ,b") == ["a", "b"]
+    with pytest.raises(ValueError):
+        I.csv_values(" , ")
