@@ -4,7 +4,8 @@ Equal 50-byte strings have the same least-hashed 24-mer at the same place, so ea
 with one such anchor, and stretches with one anchor meet in one part, wherever they come from. Equal stretches need only
 their least doc_id. Where an anchor stands in different stretches, their texts are fetched once each, and a run-length index
 of the part's texts streams the lengths of their matches and marks windows that an earlier document has (see ``rindex``).
-Stretches and marks travel as packed arrays, a row per batch and part; texts are dealt by document only.
+Stretches and marks travel as packed arrays, a row per batch and part; texts are dealt by document only. Stretches that a
+bounded sample shows to be frequent do not gather in one part (see ``frequent_stretches``).
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id, which is later than any other
 
-STRETCHES = "part int, ids binary, texts binary, anchor binary, stretch binary, doc binary, start binary, windows binary"
+#: Documents in the sample for frequent stretches, about; documents of it that have a frequent one; how many are kept.
+SAMPLE, SEEN, MOST_FREQUENT = 8_000, 8, 100_000
+
+STRETCHES = "part int, ids binary, texts binary, anchor binary, stretch binary, doc binary, start binary, windows binary, told binary"
 MARKS = "kind int, bucket int, id binary, key binary, part binary, first binary, last binary"
 
 
@@ -118,8 +122,49 @@ def _batch(names_kinds: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _cut(parts: int, length: int, k: int):
-    """Documents (id, key, text) to packed stretches by part."""
+def _holders(length: int, k: int):
+    """(stretch, anchor, id, n): distinct stretches of a batch with the least id and the number of the documents that have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for number, _, _, anchor, text in stretches(batch.column(2).to_pylist(), length, k):
+                order = np.lexsort((ids[number], text))
+                text, anchor, at = text[order], anchor[order], ids[number][order]
+                cut = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+                new = np.r_[True, (text[1:] != text[:-1]) | (at[1:] != at[:-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(text[cut].view(np.int64)), pa.array(anchor[cut].astype(np.uint32).astype(np.int64)), pa.array(at[cut]), pa.array(np.add.reduceat(new.astype(np.int64), cut))], names=["stretch", "anchor", "id", "n"])
+
+    return run
+
+
+def frequent_stretches(rows: DataFrame, count: int, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches that many of about ``SAMPLE`` documents have, in order, their anchors, and for each the least id among those.
+
+    Whoever has one of them under a larger id has it from an earlier document, whatever others there are; so only the few
+    below that id need meet in the stretch's part. This bears on where a repeat is decided, not on what is removed.
+    """
+    drawn = F.pmod(F.xxhash64("id", "key"), F.lit(count // SAMPLE + 1)) == 0
+    found = rows.where(drawn).mapInArrow(_holders(length, k), "stretch long, anchor long, id long, n long")
+    found = found.groupBy("stretch", "anchor").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where(F.col("n") >= SEEN)
+    top = found.orderBy(F.desc("n"), "stretch").limit(MOST_FREQUENT).collect()
+    table = np.array([(r["stretch"], r["anchor"], r["id"]) for r in top], dtype=np.int64).reshape(-1, 3)
+    known = np.ascontiguousarray(table[:, 0]).view(np.uint64)
+    order = np.argsort(known, kind="stable")
+    return known[order], table[order, 1].astype(np.uint32), table[order, 2]
+
+
+def _told(frequent, text: np.ndarray, anchor: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Entries of frequent stretches whose document comes after one that is known to have the same."""
+    known, anchors, least = frequent
+    if not len(known):
+        return np.zeros(len(text), dtype=bool)
+    at = np.minimum(np.searchsorted(known, text), len(known) - 1)
+    return (known[at] == text) & (anchors[at] == anchor.astype(np.uint32)) & (ids > least[at])
+
+
+def _cut(parts: int, length: int, k: int, shared):
+    """Documents (id, key, text) to packed stretches by part; what is told already goes to any part, by its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,14 +172,15 @@ def _cut(parts: int, length: int, k: int):
                 continue
             ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for number, start, count, anchor, text in stretches(batch.column(2).to_pylist(), length, k):
-                part = _part_of(anchor, parts)
+                told = _told(shared.value, text, anchor, ids[number])
+                part = np.where(told, _bucket(keys[number], parts), _part_of(anchor, parts))
                 order = np.argsort(part, kind="stable")
                 edges = np.flatnonzero(np.r_[True, np.diff(part[order]) > 0])
                 rows = []
                 for a, b in zip(edges.tolist(), np.r_[edges[1:], len(order)].tolist(), strict=True):
                     at = order[a:b]
                     docs, local = np.unique(number[at], return_inverse=True)
-                    rows.append((int(part[at[0]]), ids[docs].tobytes(), keys[docs].tobytes(), anchor[at].astype(np.uint32).tobytes(), text[at].tobytes(), local.astype(np.uint32).tobytes(), start[at].astype(np.uint32).tobytes(), count[at].astype(np.uint8).tobytes()))
+                    rows.append((int(part[at[0]]), ids[docs].tobytes(), keys[docs].tobytes(), anchor[at].astype(np.uint32).tobytes(), text[at].tobytes(), local.astype(np.uint32).tobytes(), start[at].astype(np.uint32).tobytes(), count[at].astype(np.uint8).tobytes(), told[at].astype(np.uint8).tobytes()))
                 yield _batch(STRETCHES, rows)
 
     return run
@@ -181,6 +227,13 @@ def _meet(buckets: int, length: int):
             text = np.frombuffer(b"".join(r[4] for r in rows), np.uint64)
             doc = np.concatenate([np.frombuffer(r[5], np.uint32) + b for r, b in zip(rows, base[:-1], strict=True)])
             windows = np.frombuffer(b"".join(r[7] for r in rows), np.uint8)
+            told = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).astype(bool)
+            begin, end = start[told].astype(np.int64), start[told].astype(np.int64) + windows[told] + length - 1
+            out = _pack(0, buckets, ids[doc[told]], keys[doc[told]], np.full(len(begin), part), begin, end)
+            anchor, text, doc, start, windows = (c[~told] for c in (anchor, text, doc, start, windows))
+            if not len(doc):
+                yield _batch(MARKS, out)
+                continue
             order = np.lexsort((text, anchor))
             anchor, text, doc = anchor[order], text[order], doc[order]
             first, last = start[order].astype(np.int64), start[order].astype(np.int64) + windows[order]
@@ -196,7 +249,7 @@ def _meet(buckets: int, length: int):
             several = (np.add.reduceat(new_entry.astype(np.int64), anchor_at) > 1) & (np.minimum.reduceat(place, anchor_at) < np.maximum.reduceat(place, anchor_at))
             ask = ~later & several[group]
             where = np.full(len(doc), part)
-            out = _pack(0, buckets, place[later], keys[doc[later]], where[later], first[later], last[later] + length - 1)
+            out += _pack(0, buckets, place[later], keys[doc[later]], where[later], first[later], last[later] + length - 1)
             out += _pack(1, buckets, place[ask], keys[doc[ask]], where[ask], first[ask], last[ask] + length - 1)
             yield _batch(MARKS, out)
 
@@ -326,10 +379,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     data = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), key.alias("key"), data.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, ceil(total / part_bytes))
+    total, count = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    parts = max(1, ceil((total or 0) / part_bytes))
     long = rows.where(F.octet_length("text") >= length)
-    met = long.mapInArrow(_cut(parts, length, anchor), STRETCHES).repartition(parts, "part").sortWithinPartitions("part")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_stretches(long, count, length, anchor))
+    met = long.mapInArrow(_cut(parts, length, anchor, shared), STRETCHES).repartition(parts, "part").sortWithinPartitions("part")
     met = materialize(met.mapInArrow(_meet(parts, length), MARKS), "met")
     dealt = F.expr(f"cast(shiftright(shiftrightunsigned(key, 32) * {parts}L, 32) as int)")
     base = rows.select(F.lit(2).alias("kind"), dealt.alias("bucket"), F.lit(None).cast("binary").alias("id"), *[F.lit(None).cast("binary").alias(n) for n in ("key", "part", "first", "last")], F.col("id").alias("doc"), F.col("key").alias("doc_key"), "text")

@@ -86,3 +86,27 @@ def test_long_texts_are_cut_into_pieces(make_docs, monkeypatch):
     whole = list(repeats.stretches(texts))
     windows = sum(int(c.sum()) for _, _, c, _, _ in whole)
     assert windows == 700 - 49
+
+
+@pytest.mark.parametrize(("sample", "seen"), [(10, 2), (50, 3), (8_000, 8)])
+def test_whole_table_against_brute_force(spark, sf, monkeypatch, sample, seen):
+    monkeypatch.setattr(repeats, "SAMPLE", sample)
+    monkeypatch.setattr(repeats, "SEEN", seen)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = brute([tuple(r) for r in docs.collect()], 50)
+    assert result(docs, part_bytes=50_000) == want
+
+
+def test_frequent_stretches_do_not_gather_in_one_part(make_docs):
+    line = "this very common line stands in each and every one of the documents here. "
+    rows = [(i, f"{i * 7919} begins\n{line}\nends {i * 104729} with something of its own that nobody else has", "en", "s") for i in range(300)]
+    docs = make_docs(rows)
+    assert result(docs) == brute([r[:2] for r in rows], 50)
+    from pyspark.sql import functions as F
+
+    long = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
+    found = repeats.frequent_stretches(long, 300, 50, 24)
+    ids = np.arange(300)
+    hot = int(np.argmax(found[2] == 0))
+    told = repeats._told(found, np.repeat(found[0][hot], 300), np.repeat(found[1][hot], 300), ids)
+    assert len(found[0]) and told.sum() == 299
