@@ -688,8 +688,8 @@ def stats_kv_pivot(spark, sf):
     return S.read_stats(spark, path).groupBy(F.col("key").alias("event_type")).agg(F.min(k).alias("lowest"), F.max(k).alias("highest"), F.sum(k).alias("total"))
 
 
-NAMES = ["testsuite/pr%d.c", "testsuite/xpr%d-2.C", "testsuite/pr-%d.c", "testsuite/0pr%d.f90", "testsuite/PR%dx", "testsuite/9Pr%d"]
-NOTES = ["/* PR target/%d */", "// pr tree_opt.x/%d", "PR  c++/%d and", "SUPR target/%d", "no bug"]
+TEST_NAMES = ["testsuite/pr%d.c", "testsuite/xpr%d-2.C", "testsuite/pr-%d.c", "testsuite/0pr%d.f90", "testsuite/PR%dx", "testsuite/9Pr%d"]
+TEST_NOTES = ["/* PR target/%d */", "// pr tree_opt.x/%d", "PR  c++/%d and", "SUPR target/%d", "no bug"]
 
 
 def _numbered(texts, key, number):
@@ -697,25 +697,25 @@ def _numbered(texts, key, number):
 
 
 @query(f"""
-WITH f AS (SELECT replace({pick_sql(NAMES, "o_orderkey")}, '%d', o_custkey::VARCHAR) AS path, replace({pick_sql(NOTES, "o_custkey")}, '%d', o_orderkey::VARCHAR) AS text FROM orders),
+WITH f AS (SELECT replace({pick_sql(TEST_NAMES, "o_orderkey")}, '%d', o_custkey::VARCHAR) AS path, replace({pick_sql(TEST_NOTES, "o_custkey")}, '%d', o_orderkey::VARCHAR) AS text FROM orders),
 i AS (SELECT path, unnest(list_concat(regexp_extract_all(regexp_extract(path, '[^/]*$'), '(?i)(?:^|[^0-9])pr([0-9]{{4,}})(?:[^0-9]|$)', 1), regexp_extract_all(text, '(?i)\\bPR\\s+[a-z0-9_+.-]+/([0-9]{{4,}})', 1))) AS n FROM f)
 SELECT DISTINCT n::BIGINT AS bug_id, path FROM i WHERE n::BIGINT IN (SELECT ps FROM (SELECT o_orderkey AS ps FROM orders UNION SELECT o_custkey FROM orders))""")
 def linked_tests(spark, sf):
     o = table(spark, sf, "orders")
-    tests = o.select(_numbered(NAMES, "o_orderkey", "o_custkey").alias("path"), _numbered(NOTES, "o_custkey", "o_orderkey").alias("text"))
+    tests = o.select(_numbered(TEST_NAMES, "o_orderkey", "o_custkey").alias("path"), _numbered(TEST_NOTES, "o_custkey", "o_orderkey").alias("text"))
     wanted = o.select(F.col("o_orderkey").alias("bug_id")).union(o.select("o_custkey"))
     return S.linked_tests(tests, True, wanted)
 
 
-TIERS = ["not_loongarch", "architecture_specific", "multi_arch_shared", "not_loongarch", "not_loongarch"]
+BASE_TIERS = ["not_loongarch", "architecture_specific", "multi_arch_shared", "not_loongarch", "not_loongarch"]
 
 
 @query(f"""
-SELECT o_orderkey, CASE WHEN {pick_sql(TIERS, "o_orderkey")} <> 'not_loongarch' THEN {pick_sql(TIERS, "o_orderkey")} WHEN o_orderstatus = 'P' THEN 'loongarch_testsuite_linked'
+SELECT o_orderkey, CASE WHEN {pick_sql(BASE_TIERS, "o_orderkey")} <> 'not_loongarch' THEN {pick_sql(BASE_TIERS, "o_orderkey")} WHEN o_orderstatus = 'P' THEN 'loongarch_testsuite_linked'
   WHEN o_custkey % 3 = 0 THEN 'loongarch_observed' WHEN o_custkey % 3 = 1 THEN 'loongarch_validation_only' ELSE 'not_loongarch' END AS tier FROM orders""")
 def report_tiers(spark, sf):
     kind = F.when(F.col("o_custkey") % 3 == 0, F.array(F.lit("mention"), F.lit("failure"))).when(F.col("o_custkey") % 3 == 1, F.array(F.lit("validation"))).otherwise(F.array().cast("array<string>"))
-    return table(spark, sf, "orders").select("o_orderkey", K.full_tier(pick(TIERS, "o_orderkey"), F.col("o_orderstatus") == "P", kind).alias("tier"))
+    return table(spark, sf, "orders").select("o_orderkey", K.full_tier(pick(BASE_TIERS, "o_orderkey"), F.col("o_orderstatus") == "P", kind).alias("tier"))
 
 
 @query("""
@@ -785,7 +785,7 @@ def exploded_histogram(spark, sf):
 
 # ---------------------------------------------------------------- instantiations and covered corpora
 
-LANGUAGES = ["c", "C++", "cxx", "fortran", ""]
+PROGRAM_LANGUAGES = ["c", "C++", "cxx", "fortran", ""]
 
 
 @query("SELECT o_orderkey AS group_uid FROM orders WHERE o_orderkey IN (1, 7, 33, 12, 40, 44) OR o_custkey IN (1, 7, 33, 12, 40, 44)")
@@ -796,7 +796,7 @@ def selected_groups(spark, sf):
 
 @query(f"""
 WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'id ' || o_orderkey || '/x' ELSE '' END AS own, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'c ' || o_custkey END AS cand, 'g' || o_custkey AS grp, o_orderstatus AS status,
-  lower({pick_sql(LANGUAGES, "o_orderkey")}) AS lang, CASE WHEN o_orderkey % 2 = 0 THEN 'dir/my prog.v2.c' ELSE '' END AS file, o_comment AS source FROM (SELECT *, 'int x; // ' || o_custkey || CASE WHEN o_custkey % 2 = 0 THEN chr(10) ELSE '' END AS o_comment FROM orders)),
+  lower({pick_sql(PROGRAM_LANGUAGES, "o_orderkey")}) AS lang, CASE WHEN o_orderkey % 2 = 0 THEN 'dir/my prog.v2.c' ELSE '' END AS file, o_comment AS source FROM (SELECT *, 'int x; // ' || o_custkey || CASE WHEN o_custkey % 2 = 0 THEN chr(10) ELSE '' END AS o_comment FROM orders)),
 n AS (SELECT *, CASE WHEN own <> '' THEN regexp_replace(own, '[^A-Za-z0-9_.-]+', '_', 'g') ELSE regexp_replace(coalesce(cand, grp), '[^A-Za-z0-9_.-]+', '_', 'g') || '-' ||
   left(sha256('{{"candidate_id":' || CASE WHEN cand IS NULL THEN 'null' ELSE '"' || cand || '"' END || ',"group_uid":"' || grp || '","status":"' || status || '"}}'), 16) END AS id, CASE WHEN source LIKE '%' || chr(10) THEN source ELSE source || chr(10) END AS content FROM p)
 SELECT id AS instantiation_id, 'programs/' || id || '.' || CASE WHEN file = '' THEN id ELSE 'my_prog.v2' END || CASE WHEN lang = 'c' THEN '.c' WHEN lang IN ('c++', 'cxx') THEN '.cc' WHEN lang = 'fortran' THEN '.f90' ELSE '.txt' END AS path,
@@ -806,7 +806,7 @@ def program_files(spark, sf):
     key, who = F.col("o_orderkey"), F.col("o_custkey")
     rows = o.select(
         F.when(key % 3 == 0, F.concat(F.lit("id "), key, F.lit("/x"))).otherwise("").alias("instantiation_id"), F.when(key % 5 == 0, none).otherwise(F.concat(F.lit("c "), who)).alias("candidate_id"),
-        F.concat(F.lit("g"), who).alias("group_uid"), F.col("o_orderstatus").alias("instantiation_status"), pick(LANGUAGES, "o_orderkey").alias("language"),
+        F.concat(F.lit("g"), who).alias("group_uid"), F.col("o_orderstatus").alias("instantiation_status"), pick(PROGRAM_LANGUAGES, "o_orderkey").alias("language"),
         F.when(key % 2 == 0, "dir/my prog.v2.c").otherwise("").alias("file_name"), F.concat(F.lit("int x; // "), who, F.when(who % 2 == 0, "\n").otherwise("")).alias("source_code"),
     )
     return I.program_files(rows).drop("content")
