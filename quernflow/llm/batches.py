@@ -9,6 +9,8 @@ MOST = 8 << 20
 
 
 def bound(spark: SparkSession, most: int = MOST) -> None:
-    """Lower the session's batch size to ``most`` bytes; a smaller setting stays. Results do not depend on it."""
-    if int(spark.conf.get(BYTES).rstrip("bB") or 0) > most:
+    """Lower the session's batch size to ``most`` bytes; a smaller setting, with or without a unit, stays. Results do not depend on it."""
+    known = spark.conf.get(BYTES).strip()
+    now = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(known))
+    if now > most or now <= 0:
         spark.conf.set(BYTES, str(most))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernflow.llm import decontam, html, licenses, mixing, quality, repeats, sharding, simhash, tokens, warc
+from quernflow.llm import decontam, html, infill, licenses, mixing, quality, ranking, repeats, sharding, simhash, tokens, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,9 @@ def queries() -> dict:
         "op8_warc": warc.op8_warc,
         "op9_decontamination": decontam.op9_decontamination,
         "op10_token_counts": tokens.op10_token_counts,
+        "op11_toxicity": toxicity.op11_toxicity,
+        "op12_search": ranking.op12_search,
+        "op13_infill": infill.op13_infill,
     }
 
 
@@ -28,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_licenses": licenses.oracle(),
         "quality_base": quality.BASE_ORACLE,
         "op8_warc": warc.ORACLE,
+        "op12_search": ranking.ORACLE,
+        "op13_infill": infill.ORACLE,
     }
