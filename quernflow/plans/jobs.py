@@ -12,6 +12,7 @@ from quernflow.functions import classify as K
 from quernflow.functions import features as X
 from quernflow.functions import text as T
 from quernflow.operators import connectors, corpus, coverage, feedback, groups, pairs
+from quernflow.plans import archive
 from quernflow.scratch import materialize
 from quernflow.sources import sinks, tracker
 
@@ -179,6 +180,16 @@ def verify(store: Store, least_ready_ratio: float = 0.0) -> dict:
     return {"candidates": total, "ready": ready, "missing": missing}
 
 
+def verify_archive(spark: SparkSession, root: str, scope: str | None = None) -> dict:
+    """Judge an archive folder by its rules, or those of another scope; any violation is an error that shows the first ones."""
+    tables = archive.archive_tables(spark, root)
+    row = tables["manifest"].select("corpus_scope").first()
+    found = archive.archive_violations(tables, scope or (row and row["corpus_scope"]) or "loongarch")
+    connectors.gate(found, "the archive breaks a rule")
+    lists = [n for n in archive.LISTS if f"{n}_list" in tables]
+    return {"reports": tables["index"].count(), "testcases": tables["testcases"].count()} | {n: tables[f"{n}_list"].count() for n in lists}
+
+
 def iterate(store: Store, rounds: int, batch: int, step: Callable[[Store, int], None], seed: int = 20260730) -> list[dict]:
     """Rounds of drawing, running and learning: ``step`` answers and evaluates what a round has drawn. One summary a round."""
     out, before = [], 0
