@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from quernflow.functions.classify import EXPANDED_TIERS
 from quernflow.operators.constraints import Distinct, Figure, Holds, Link, Rule, SameKeys, violations
 from quernflow.sources.files import read_jsonl
+from quernflow.sources.named_files import folder_files
 
 # Where official reports come from, and the files that an archive must have.
 REST = "https://gcc.gnu.org/bugzilla/rest.cgi"
@@ -38,14 +39,11 @@ def archive_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of an archive folder. Lists of the general scope that the folder lacks are not among them.
 
     files (path, sha256), manifest, figures (name, value), index, reports, testcases, and for each list and dataset a table,
-    datasets with their testcases in ``<name>_testcases``. Paths are relative to the folder. Files are read on executors, whole.
+    datasets with their testcases in ``<name>_testcases``. Paths are relative to the folder. Files are read on executors, whole; an
+    empty file counts as missing.
     """
     root = root.rstrip("/")
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    home = spark._jvm.org.apache.hadoop.fs.Path(root)
-    home = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(home).toUri().getPath()
-    path = F.substring_index(F.expr("url_decode(replace(path, '+', '%2B'))"), f"{home}/", -1)
-    files = found.select(path.alias("path"), F.sha2("content", 256).alias("sha256"))
+    files = folder_files(spark, root).select("path", F.sha2("content", 256).alias("sha256"))
     manifest = spark.read.schema(_MANIFEST).json(f"{root}/manifest.json", multiLine=True)
     tables = {"files": files, "manifest": manifest, "figures": manifest.select(F.explode("counts").alias("name", "value")), "index": read_jsonl(spark, f"{root}/index.jsonl", _INDEX)}
     try:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from quernflow.plans import archive as A
 from quernflow.plans.catalog import query
+from quernflow.scratch import fresh_path
 from quernflow.session import table
+from quernflow.sources import named_files
 
 TIERS = ["architecture_specific", "architecture_specific", "multi_arch_shared", "not_loongarch", "loongarch_observed", "loongarch_validation_only", "architecture_specific"]
 KINDS = ["comment_code_block", "gcc_testsuite_regression", "bugzilla_attachment", "other"]
@@ -90,3 +92,17 @@ files AS (SELECT path, NULL AS sha FROM rep WHERE i % 83 <> 1 UNION ALL SELECT f
 @query(_sql())
 def archive_violations(spark, sf):
     return A.archive_violations(_archive(spark, sf)).select("rule", "key")
+
+
+@query("""
+WITH e AS (SELECT 'i' || event_id AS id, 'u/' || (user_id % 10) || '/' || event_id || CASE WHEN event_id % 3 = 0 THEN '.c' ELSE '.cc' END AS path, props AS content FROM events WHERE event_type = 'purchase')
+SELECT path, octet_length(encode(content)) AS bytes, sha256(content) AS sha256, true AS listed FROM e""")
+def written_files(spark, sf):
+    """The properties of purchases as files, written twice, read back and held against the manifest."""
+    path = F.expr("concat('u/', user_id % 10, '/', event_id, if(event_id % 3 = 0, '.c', '.cc'))")
+    rows = table(spark, sf, "events").where("event_type = 'purchase'").select(path.alias("path"), F.col("props").alias("content"))
+    root = fresh_path(spark, "named")
+    named_files.write_files(rows.withColumn("content", F.concat("content", F.lit(" "))), root)
+    listed = named_files.write_files(rows, root)
+    faults = named_files.verify(spark, root)
+    return listed.join(faults, "path", "left").select("path", "bytes", "sha256", F.col("fault").isNull().alias("listed"))

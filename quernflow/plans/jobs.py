@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from quernflow.functions import classify as K
 from quernflow.functions import features as X
 from quernflow.functions import text as T
-from quernflow.operators import connectors, corpus, coverage, feedback, groups, pairs
+from quernflow.operators import connectors, corpus, coverage, feedback, groups, instantiation, pairs
 from quernflow.plans import archive
 from quernflow.scratch import materialize
-from quernflow.sources import sinks, tracker
+from quernflow.sources import named_files, sinks, tracker
 
 
 @dataclass
@@ -180,6 +180,46 @@ def verify(store: Store, least_ready_ratio: float = 0.0) -> dict:
     return {"candidates": total, "ready": ready, "missing": missing}
 
 
+def write_programs(store: Store, root: str) -> dict:
+    """The programs of instantiations as files below ``root``/programs, with their paths and digests in table ``programs``."""
+    programs = instantiation.program_files(store.read("instantiations").where("coalesce(source_code, '') <> ''"))
+    written = named_files.write_files(programs, root)
+    store.write("programs", programs.drop("content"))
+    rows = written.join(store.read("programs").select("path").distinct(), "path", "left_semi")
+    return counts_of(rows.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")))
+
+
+def _sources(spark: SparkSession, root: str) -> DataFrame:
+    """(path, sha256, content) of the committed files below a folder, read by the tasks; paths are relative to it."""
+    return named_files.folder_files(spark, root).join(named_files.manifest(spark, root).select("path", "sha256"), "path")
+
+
+def _copy(store: Store, files: DataFrame, sources: DataFrame, root: str) -> DataFrame:
+    """Files (source, target) with the contents of ``sources`` (path, content); what was written."""
+    rows = files.select("source", "target").distinct().join(sources.select(F.col("path").alias("source"), "content"), "source")
+    return named_files.write_files(rows.select(F.col("target").alias("path"), "content"), root)
+
+
+def build_corpus(store: Store, programs: str, root: str) -> dict:
+    """Copy the programs of covered evaluations to a folder of their own; ``corpus_files`` and the folder's manifest list them."""
+    evaluations, sources = store.read("evaluations"), _sources(store.spark, programs)
+    files = instantiation.covered_corpus(evaluations, sources)
+    _copy(store, files, sources, root)
+    store.write("corpus_files", files)
+    return {"covered_evaluations": evaluations.where("evaluation_status = 'covered'").count(), "copied": store.read("corpus_files").count()}
+
+
+def build_seeds(store: Store, programs: str, root: str, language: str) -> dict:
+    """Copy the programs that seed a fuzzer of one language, and keep what they stand for in ``seeded``."""
+    sources = _sources(store.spark, programs)
+    files, stood = instantiation.seed_corpus(store.read("evaluations"), store.read("candidates"), store.read("groups"), sources, language)
+    files = materialize(files, "seeds")
+    _copy(store, files, sources, root)
+    store.write("seeded", stood)
+    kinds = {r["kind"]: r["count"] for r in store.read("seeded").groupBy("kind").count().collect()}
+    return {"files": files.count()} | {k: kinds.get(k, 0) for k in ("candidate", "group", "feature")}
+
+
 def verify_archive(spark: SparkSession, root: str, scope: str | None = None) -> dict:
     """Judge an archive folder by its rules, or those of another scope; any violation is an error that shows the first ones."""
     tables = archive.archive_tables(spark, root)
