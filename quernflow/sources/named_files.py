@@ -176,7 +176,10 @@ def folder_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def verify(spark: SparkSession, root: str) -> DataFrame:
-    """(path, fault) of committed files that are ``missing`` or ``changed``, and files that are ``unlisted``; empty if all is well."""
+    """(path, fault) of committed files that are ``missing`` or ``changed``, and files that are ``unlisted``; empty if all is well.
+
+    Empty files that nothing lists are not seen."""
+    root = qualified(spark, root)
     found = folder_files(spark, root).select("path", F.sha2("content", 256).alias("now"))
     both = manifest(spark, root).select("path", F.col("sha256").alias("then")).join(found, "path", "full")
     fault = F.when(F.col("now").isNull(), "missing").when(F.col("then").isNull(), "unlisted").when(F.col("now") != F.col("then"), "changed")
