@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quernflow.operators.digests import reconcile
+from quernflow.operators.rebuild import Kept
 from quernflow.plans import archive as A
 from quernflow.plans.catalog import query
 from quernflow.scratch import fresh_path
@@ -106,3 +108,36 @@ def written_files(spark, sf):
     listed = named_files.write_files(rows, root)
     faults = named_files.verify(spark, root)
     return listed.join(faults, "path", "left").select("path", "bytes", "sha256", F.col("fault").isNull().alias("listed"))
+
+
+@query("""
+WITH n AS (SELECT doc_id, coalesce(len(regexp_extract_all(lower(text), '[a-z]+')), 0)::BIGINT AS n_words, length(text)::BIGINT AS chars FROM documents)
+SELECT doc_id, n_words, chars, CASE WHEN doc_id % 10 = 3 OR doc_id % 17 = 5 THEN 2 ELSE 1 END AS made_in FROM n""")
+def rebuilt_words(spark, sf):
+    """Word counts of all documents, kept: made from a table where some texts were others, some missing and some too many, then
+    rebuilt twice from the table as it is."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    before = docs.where("doc_id % 17 <> 5").withColumn("text", F.expr("if(doc_id % 10 = 3, concat(text, ' and more words'), text)"))
+    before = before.unionByName(docs.where("doc_id % 23 = 2").select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), "text"))
+    kept = Kept(spark, fresh_path(spark, "kept"), ["doc_id"], 64)
+    words = F.coalesce(F.regexp_count(F.lower("text"), F.lit("[a-z]+")), F.lit(0)).cast("long")
+    counts = lambda rows, made_in: lambda keys: rows.join(keys, "doc_id", "left_semi").select("doc_id", words.alias("n_words"), F.length("text").cast("long").alias("chars"), F.lit(made_in).alias("made_in"))
+    kept.rebuild(before, counts(before, 1), "first")
+    kept.rebuild(docs, counts(docs, 2), "first")
+    kept.rebuild(docs, counts(docs, 3), "first")
+    return kept.read()
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS key, o_orderkey AS a, o_totalprice AS b FROM orders),
+l AS (SELECT key, a, b FROM o WHERE key % 19 <> 4),
+r AS (SELECT key, a, CASE WHEN key % 31 = 7 THEN b + 1 ELSE b END AS b FROM o WHERE key % 23 <> 6 UNION ALL SELECT key, a, b FROM o WHERE key % 37 = 2 AND key % 23 <> 6),
+k AS (SELECT key, (SELECT count(*) FROM l WHERE l.key = x.key) AS left_rows, (SELECT count(*) FROM r WHERE r.key = x.key) AS right_rows FROM (SELECT DISTINCT key FROM o) x)
+SELECT key, CASE WHEN right_rows = 0 THEN 'left' WHEN left_rows = 0 THEN 'right' ELSE 'differ' END AS fault, left_rows, right_rows FROM k
+WHERE left_rows + right_rows > 0 AND (left_rows = 0 OR right_rows = 0 OR key % 31 = 7 OR key % 37 = 2)""")
+def reconciled_orders(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("a"), F.col("o_totalprice").alias("b"))
+    right = o.where("key % 23 <> 6")
+    again = right.where("key % 37 = 2")
+    right = right.withColumn("b", F.expr("if(key % 31 = 7, b + 1, b)")).unionByName(again)
+    return reconcile(o.where("key % 19 <> 4"), right, ["key"], buckets=256)

@@ -12,6 +12,8 @@ from quernflow.functions import classify as K
 from quernflow.functions import features as X
 from quernflow.functions import text as T
 from quernflow.operators import connectors, corpus, coverage, feedback, groups, instantiation, pairs
+from quernflow.operators.digests import row_json
+from quernflow.operators.rebuild import Kept
 from quernflow.plans import archive
 from quernflow.scratch import materialize
 from quernflow.sources import named_files, sinks, tracker
@@ -63,10 +65,7 @@ def sync(store: Store, queries: dict[str, str], options: dict[str, str], limit:
     return {"discovered": store.read("metadata").count(), "stale": store.read("stale").count()}
 
 
-def classify(store: Store) -> dict:
-    """Reports (bug_id, summary, target, resolution, component, keywords, description) with comments to classified reports."""
-    reports = store.read("reports")
-    comments = store.read("comments", "bug_id long, count long, text string")
+def _classified(reports: DataFrame, comments: DataFrame) -> DataFrame:
     evidence = comments.groupBy("bug_id").agg(F.collect_list(F.struct("count", "text")).alias("c"), F.collect_list(K.comment_evidence(F.col("text"))).alias("evidence"))
     cases = corpus.comment_testcases(comments).select("bug_id").distinct().withColumn("has_testcase", F.lit(True))
     rows = reports.join(evidence, "bug_id", "left").join(cases, "bug_id", "left")
@@ -77,11 +76,47 @@ def classify(store: Store) -> dict:
     rows = rows.withColumns({"tier": tier, "scope": K.architecture_scope(F.col("all_text"))})
     rows = rows.withColumn("quality", K.general_quality(*[F.col(c) for c in ("all_text", "description", "has_testcase", "component", "keywords", "resolution")]))
     rows = rows.withColumn("gates", K.readiness(*[F.col(c) for c in ("tier", "scope", "description", "has_testcase", "resolution", "quality.score")]))
-    store.write("classified", rows.drop("c", "all_text"))
-    done = store.read("classified")
+    return rows.drop("c", "all_text")
+
+
+_COMMENTS = "bug_id long, count long, text string"
+
+
+def _ready_counts(done: DataFrame) -> dict:
     return counts_of(done.agg(F.count("*").alias("reports"), *[F.count_if(F.size(f"gates.{g}") == 0).alias(f"{g}_ready") for g in ("strict", "expanded", "general")]))
 
 
+def classify(store: Store) -> dict:
+    """Reports (bug_id, summary, target, resolution, component, keywords, description) with comments to classified reports."""
+    store.write("classified", _classified(store.read("reports"), store.read("comments", _COMMENTS)))
+    return _ready_counts(store.read("classified"))
+
+
+def policy() -> str:
+    """A digest of the patterns and weights that classify reports: results made under another one are made anew."""
+    import hashlib
+    import inspect
+
+    return hashlib.sha256(inspect.getsource(K).encode()).hexdigest()[:16]
+
+
+def rebuild(store: Store, under: str | None = None) -> dict:
+    """Classified reports brought up to date: only those whose report, comments or policy changed are classified again. The
+    results are kept in buckets below ``classified_kept`` and read with ``kept_reports``."""
+    reports, comments = store.read("reports"), store.read("comments", _COMMENTS)
+    kept = kept_reports(store)
+    row = lambda df, kind: df.select("bug_id", F.lit(kind).alias("kind"), row_json(*sorted(df.columns)).alias("row"))
+    own = comments.join(reports.select("bug_id").distinct(), "bug_id", "left_semi")
+    some = lambda df, keys: df.join(keys, "bug_id", "left_semi")
+    counts = kept.rebuild(row(reports, "report").unionByName(row(own, "comment")), lambda keys: _classified(some(reports, keys), some(comments, keys)), under or policy())
+    done = kept.read()
+    return counts | (_ready_counts(done) if done is not None else {})
+
+
+def kept_reports(store: Store) -> Kept:
+    return Kept(store.spark, f"{store.root.rstrip('/')}/classified_kept", ["bug_id"])
+
+
 def build_pool(store: Store) -> dict:
     """Model outputs to the pool of features and its histograms."""
     store.write("feature_pool", corpus.feature_pool(store.read("feature_outputs")))
