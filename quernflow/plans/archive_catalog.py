@@ -1,4 +1,4 @@
-"""Queries over the driver tables for archives, written files and rebuilt tables, each with the SQL that says the same.
+"""Queries over the driver tables for archives, written files, rebuilt tables and model inputs, each with the SQL that says the same.
 
 Documents stand in for reports, the turns of conversations for test cases, nations for recorded searches. Faults are planted by
 remainders of keys, alike on both sides, so that each rule is broken somewhere.
@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quernflow.functions import text as T
+from quernflow.operators import inputs as N
 from quernflow.operators.digests import reconcile
 from quernflow.operators.rebuild import Kept
 from quernflow.plans import archive as A
-from quernflow.plans.catalog import query
+from quernflow.plans.catalog import FIXES, MARK_SQL, pick, pick_sql, query
 from quernflow.scratch import fresh_path
 from quernflow.session import table
 from quernflow.sources import named_files
@@ -141,3 +143,38 @@ def reconciled_orders(spark, sf):
     again = right.where("key % 37 = 2")
     right = right.withColumn("b", F.expr("if(key % 31 = 7, b + 1, b)")).unionByName(again)
     return reconcile(o.where("key % 19 <> 4"), right, ["key"], buckets=256)
+
+
+def _inputs(spark, sf):
+    """Documents as reports, turns as comments with a note on fixes, every other turn as a program, events as attachments."""
+    docs, turns, events = (table(spark, sf, n) for n in ("documents", "conversations", "events"))
+    none = lambda kind: F.lit(None).cast(kind)
+    reports = docs.select(F.col("doc_id").alias("bug_id"), none("string").alias("source_url"), F.col("text").alias("description"), "lang")
+    note = F.concat(pick(FIXES, "conv_id + turn"), F.lit(" "), "text")
+    comments = turns.select(F.col("conv_id").alias("bug_id"), F.col("turn").cast("long").alias("count"), none("string").alias("time"), none("long").alias("attachment_id"), note.alias("text"))
+    programs = turns.where("turn % 2 = 1").select(F.col("conv_id").alias("bug_id"), F.col("turn").alias("index"), F.col("role").alias("kind"), none("string").alias("language"), F.lit("p.c").alias("path"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("bytes"), F.col("text").alias("content"))
+    patches = events.select(F.col("user_id").alias("bug_id"), F.col("event_id").alias("index"), F.col("event_id").alias("id"), F.col("event_type").alias("summary"), none("string").alias("file_name"), (F.col("event_id") % 7 == 0).alias("is_patch"), none("boolean").alias("downloaded"))
+    return N.prepared_inputs(reports, comments, programs, patches, 200, 100)
+
+
+_HASHES = r"regexp_extract_all(t, '\b([0-9a-f]{12,40})\b', 1)"
+
+
+@query(f"""
+WITH c AS (SELECT conv_id AS bug_id, turn, {pick_sql(FIXES, "(conv_id + turn)")} || ' ' || text AS raw FROM conversations),
+k AS (SELECT bug_id, turn, CASE WHEN length(raw) <= 200 THEN raw ELSE left(raw, 72) || {MARK_SQL} || right(raw, 72) END AS t, length(raw) > 200 AS cut, regexp_matches(raw, '{T.FIX_EVIDENCE}') AS fix FROM c),
+p AS (SELECT conv_id AS bug_id, turn, CASE WHEN length(text) <= 100 THEN text ELSE left(text, 22) || {MARK_SQL} || right(text, 22) END AS t FROM conversations WHERE turn % 2 = 1),
+h AS (SELECT bug_id, turn, unnest({_HASHES}) AS h, generate_subscripts({_HASHES}, 1) AS i FROM k WHERE fix),
+f AS (SELECT bug_id, string_agg(h, ';' ORDER BY p) AS hashes FROM (SELECT bug_id, h, min((turn, i)) AS p FROM h GROUP BY 1, 2) GROUP BY 1),
+cs AS (SELECT bug_id, count(*) AS n, count(*) FILTER (cut) AS cut, count(*) FILTER (fix) AS fixes, string_agg(t, '|' ORDER BY turn) AS ts FROM k GROUP BY 1), ps AS (SELECT bug_id, count(*) AS n, string_agg(t, '|' ORDER BY turn) AS ts FROM p GROUP BY 1),
+es AS (SELECT user_id AS bug_id, count(*) AS n FROM events WHERE event_id % 7 = 0 GROUP BY 1),
+a AS (SELECT doc_id, length(text)::INT AS chars, coalesce(cs.n, 0)::INT AS comments, coalesce(cut, 0)::INT AS clipped, coalesce(ps.n, 0)::INT AS programs, (coalesce(fixes, 0) + coalesce(es.n, 0))::INT AS evidence, coalesce(hashes, '') AS commit_hashes,
+  sha256(coalesce(cs.ts, '')) AS comments_sha256, sha256(coalesce(ps.ts, '')) AS programs_sha256 FROM documents LEFT JOIN cs ON cs.bug_id = doc_id LEFT JOIN ps ON ps.bug_id = doc_id LEFT JOIN es ON es.bug_id = doc_id LEFT JOIN f ON f.bug_id = doc_id)
+SELECT *, concat_ws(';', CASE WHEN programs = 0 THEN '{N.NO_PROGRAM}' END, CASE WHEN evidence = 0 THEN '{N.NO_FIX}' END) AS gaps FROM a""")
+def prepared_inputs(spark, sf):
+    texts = lambda c, name: F.sha2(F.array_join(F.transform(c, lambda x: x[name]), "|"), 256)
+    return _inputs(spark, sf).select(
+        F.col("bug_id").alias("doc_id"), F.length("description").alias("chars"), F.size("comments").alias("comments"), F.size(F.filter("comments", lambda c: c["truncated"])).alias("clipped"), F.size("programs").alias("programs"),
+        F.col("fix_history.evidence_count").alias("evidence"), F.array_join("fix_history.commit_hashes", ";").alias("commit_hashes"), texts("comments", "text").alias("comments_sha256"), texts("programs", "content").alias("programs_sha256"),
+        F.array_join("evidence_gaps", ";").alias("gaps"),
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quernflow.functions import classify as K
 from quernflow.functions import features as X
 from quernflow.functions import text as T
-from quernflow.operators import connectors, corpus, coverage, feedback, groups, instantiation, pairs
+from quernflow.operators import connectors, corpus, coverage, feedback, groups, inputs, instantiation, pairs
 from quernflow.operators.digests import row_json
 from quernflow.operators.rebuild import Kept
 from quernflow.plans import archive
@@ -255,6 +255,31 @@ def build_seeds(store: Store, programs: str, root: str, language: str) -> dict:
     return {"files": files.count()} | {k: kinds.get(k, 0) for k in ("candidate", "group", "feature")}
 
 
+_PARTS = {
+    "comments": "bug_id long, count long, time string, attachment_id long, text string",
+    "programs": "bug_id long, index int, kind string, language string, path string, sha256 string, bytes long, content string",
+    "attachments": "bug_id long, index int, id long, summary string, file_name string, is_patch boolean, downloaded boolean",
+}
+
+
+def prepare_inputs(store: Store, root: str | None = None, comment_chars: int = 30_000, program_chars: int = 120_000) -> dict:
+    """Reports with comments, programs and attachments to table ``inputs``; with a folder, a JSON file a report as well."""
+    store.write("inputs", inputs.prepared_inputs(store.read("reports"), *[store.read(n, schema) for n, schema in _PARTS.items()], comment_chars, program_chars))
+    done = store.read("inputs")
+    counts = counts_of(inputs.input_counts(done))
+    if root is not None:
+        path = F.concat(F.lit("inputs/bug-"), "bug_id", F.lit(".input.json"))
+        counts["files"] = named_files.write_files(done.select(path.alias("path"), row_json(*sorted(done.columns)).alias("content")), root).count()
+    return counts
+
+
+def write_prompts(store: Store, system: str, task: str, contract: object, most_chars: int = 120_000) -> dict:
+    """Inputs to table ``prompts`` (id, prompt), within a budget."""
+    records = materialize(inputs.prompt_records(store.read("inputs"), most_chars), "records")
+    store.write("prompts", inputs.chat(records, system, task, contract))
+    return counts_of(records.agg(F.count("*").alias("prompts"), F.count_if(F.col("step") > 0).alias("compacted"), F.count_if(F.col("over")).alias("over")))
+
+
 def verify_archive(spark: SparkSession, root: str, scope: str | None = None) -> dict:
     """Judge an archive folder by its rules, or those of another scope; any violation is an error that shows the first ones."""
     tables = archive.archive_tables(spark, root)
