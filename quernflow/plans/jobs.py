@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from quernflow.functions import classify as K
 from quernflow.functions import features as X
 from quernflow.functions import text as T
-from quernflow.operators import connectors, corpus, coverage, feedback, groups, inputs, instantiation, pairs
+from quernflow.operators import connectors, corpus, coverage, evaluate, feedback, groups, inputs, instantiation, pairs
 from quernflow.operators.digests import row_json
 from quernflow.operators.rebuild import Kept
+from quernflow.operators.windows import running_sum
 from quernflow.plans import archive
 from quernflow.scratch import materialize
 from quernflow.sources import named_files, sinks, tracker
@@ -224,6 +225,17 @@ def write_programs(store: Store, root: str) -> dict:
     return counts_of(rows.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")))
 
 
+def evaluate_programs(store: Store, state: str, command: list[str], timeout_ms: int = 5000, least_edges: int = 1, optimization: str = "-O2") -> dict:
+    """Run the programs of instantiations, each once, to tables ``evaluations`` and ``edge_maps``; counts by status. ``state`` is
+    the folder that keeps the results of runs."""
+    done = evaluate.evaluate(store.read("instantiations"), state, command, timeout_ms, least_edges, optimization)
+    done = materialize(done, "evaluations")
+    place = running_sum(done.select("instantiation_id", F.lit(1).alias("one")).distinct(), "instantiation_id", "one", "evaluation_index").drop("one")
+    store.write("evaluations", done.drop("map").withColumn("map_id", F.when(F.col("edge_map_entries") > 0, F.col("digest"))).join(place, "instantiation_id"))
+    store.write("edge_maps", evaluate.edge_maps(done))
+    return {r["evaluation_status"]: r["count"] for r in store.read("evaluations").groupBy("evaluation_status").count().collect()}
+
+
 def _sources(spark: SparkSession, root: str) -> DataFrame:
     """(path, sha256, content) of the committed files below a folder, read by the tasks; paths are relative to it."""
     return named_files.folder_files(spark, root).join(named_files.manifest(spark, root).select("path", "sha256"), "path")
