@@ -181,6 +181,20 @@ def inside(path: Column, root: str) -> Column:
     return (path == root) | path.startswith(root.rstrip("/") + "/")
 
 
+def normal_path(path: Column) -> Column:
+    """A path without empty and ``.`` parts, each ``..`` resolved against the part before it, as deep as it goes; one that leaves
+    the root stays at the root, a relative one keeps what it cannot resolve."""
+    absolute = path.startswith("/")
+    last = lambda parts: F.element_at(F.concat(F.array(F.lit("..")), parts), -1)
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.when(last(kept) != "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(absolute, kept).otherwise(F.array_append(kept, part))
+        return F.when(part.isin("", "."), kept).when(part == "..", up).otherwise(F.array_append(kept, part))
+
+    parts = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    return F.concat(F.when(absolute, "/").otherwise(""), F.array_join(parts, "/"))
+
+
 def indent(text: Column) -> Column:
     body = F.concat(F.lit("    "), F.regexp_replace(F.regexp_replace(text, "\r\n", "\n"), "\n", "\n    "))
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("    (empty)")).otherwise(body)

@@ -13,7 +13,7 @@ import signal
 import subprocess
 import tempfile
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyarrow import fs
@@ -59,14 +59,27 @@ def run_command(command: Sequence[str], timeout: float, most: int) -> dict:
         return {"returncode": code, "timed_out": late, "seconds": round(time.monotonic() - began, 3), "stdout": _captured(names[0], most), "stderr": _captured(names[1], most)}
 
 
-def _run_one(command: Sequence[str], row: dict, timeout_ms: int, most: int) -> dict:
-    """One program in a folder of the task's own: the command gets language, map, time limit, source and options."""
+#: From (row of a run, source, output) to the command that runs it.
+Arguments = Callable[[dict, str, str], list[str]]
+
+
+def showmap(command: Sequence[str], timeout_ms: int) -> Arguments:
+    """The command gets language, map, time limit, source and options."""
+    return lambda row, source, output: [*command, "--lang", row["language"], "--output", output, "--timeout", str(timeout_ms), source, "--", *row["options"]]
+
+
+def compiler(prefix: str, target: str) -> Arguments:
+    """The target's compiler, by language, makes assembly of the source."""
+    return lambda row, source, output: [f"{prefix}/bin/{target}-{'g++' if row['language'] == 'c++' else 'gcc'}", *row["options"], "-S", "-w", "-o", output, source]
+
+
+def _run_one(arguments: Arguments, row: dict, timeout_ms: int, most: int) -> dict:
+    """One program in a folder of the task's own, which goes with it."""
     with tempfile.TemporaryDirectory() as place:
-        source, found = os.path.join(place, os.path.basename(row["path"])), os.path.join(place, "map")
+        source, found = os.path.join(place, os.path.basename(row["path"])), os.path.join(place, "output")
         with open(source, "w", encoding="utf-8") as f:
             f.write(row["content"])
-        whole = [*command, "--lang", row["language"], "--output", found, "--timeout", str(timeout_ms), source, "--", *row["options"]]
-        result = run_command(whole, max(5.0, timeout_ms / 1000 + 10), most)
+        result = run_command(arguments(row, source, found), max(5.0, timeout_ms / 1000 + 10), most)
         text = ""
         if os.path.exists(found):
             with open(found, encoding="utf-8", errors="replace") as f:
@@ -74,7 +87,7 @@ def _run_one(command: Sequence[str], row: dict, timeout_ms: int, most: int) -> d
         return result | {"map": text}
 
 
-def run_programs(runs: DataFrame, path: str, command: Sequence[str], timeout_ms: int = 5000, most: int = 20_000, tasks: int | None = None) -> DataFrame:
+def run_programs(runs: DataFrame, path: str, arguments: Arguments, timeout_ms: int = 5000, most: int = 20_000, tasks: int | None = None) -> DataFrame:
     """(digest, returncode, timed_out, seconds, stdout, stderr, map, error) for runs (digest, path, content, language, options).
 
     ``error`` says that the command could not be started; such a run is not kept and is tried again by the next call. ``tasks``
@@ -82,7 +95,6 @@ def run_programs(runs: DataFrame, path: str, command: Sequence[str], timeout_ms:
     """
     spark = runs.sparkSession
     root = qualified(spark, path)
-    command = list(command)
 
     def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, folder = _store(root)
@@ -95,7 +107,7 @@ def run_programs(runs: DataFrame, path: str, command: Sequence[str], timeout_ms:
                         result = json.loads(kept.read())
                 else:
                     try:
-                        result = _run_one(command, row, timeout_ms, most)
+                        result = _run_one(arguments, row, timeout_ms, most)
                         _put(store, folder, name, json.dumps(result).encode())
                     except OSError as problem:
                         result = {"error": f"{type(problem).__name__}: {problem}"}
@@ -132,7 +144,7 @@ def evaluate(instantiations: DataFrame, path: str, command: Sequence[str], timeo
     rows = rows.join(files, "instantiation_id")
     digest = F.sha2(row_json("language", "options", "content", F.element_at(F.split("path", r"\."), -1).alias("suffix"), F.lit(json.dumps([list(command), timeout_ms])).alias("command")), 256)
     rows = rows.withColumn("digest", F.when(c("spoken"), digest))
-    results = run_programs(rows.where("spoken"), path, command, timeout_ms, most, tasks)
+    results = run_programs(rows.where("spoken"), path, showmap(list(command), timeout_ms), timeout_ms, most, tasks)
     done = rows.join(results, "digest", "left")
     entries = F.size(map_entries(c("map")))
     status = K.evaluation_status(c("ready"), c("language"), F.coalesce("timed_out", F.lit(False)), c("returncode"), entries, least_edges)
@@ -148,3 +160,21 @@ def edge_maps(evaluations: DataFrame) -> DataFrame:
     runs = evaluations.where("digest IS NOT NULL").select("digest", "map").dropDuplicates(["digest"])
     edge = F.trim(F.substring_index(F.col("line"), ":", 1))
     return runs.select(F.col("digest").alias("map_id"), F.explode(map_entries(F.col("map"))).alias("line")).select("map_id", edge.alias("edge_id")).where("edge_id <> ''").distinct()
+
+
+def replay(evaluations: DataFrame, sources: DataFrame, path: str, prefix: str, target: str, timeout_ms: int = 20_000, most: int = 4000, tasks: int | None = None) -> DataFrame:
+    """(instantiation_id, candidate_id, language, source_path, status, returncode, stderr) of covered evaluations compiled again by an
+    instrumented compiler: ``ok``, ``failed``, ``timeout``, or ``not_run`` where the compiler or the source is not there.
+
+    evaluations (instantiation_id, candidate_id, language, source_path, compiler_options, evaluation_status), sources (path,
+    content). Results are kept as for ``evaluate``; assembly is not, the compiler's own counters are what a replay is for.
+    """
+    c = F.col
+    rows = evaluations.where("evaluation_status = 'covered'").select("instantiation_id", "candidate_id", T.canonical_language(c("language")).alias("language"), "source_path", T.replay_options(c("compiler_options")).alias("options"))
+    texts = sources.select(c("path").alias("source_path"), c("content").cast("string").alias("content"))
+    rows = rows.join(texts, "source_path", "left").withColumn("path", F.when(c("language") == "c++", "replay.cc").otherwise("replay.c"))
+    policy = json.dumps([prefix, target, timeout_ms])
+    rows = rows.withColumn("digest", F.when(c("content").isNotNull(), F.sha2(row_json("language", "options", "content", F.lit(policy).alias("policy")), 256)))
+    results = run_programs(rows.where("digest IS NOT NULL"), path, compiler(prefix, target), timeout_ms, most, tasks)
+    status = F.when(c("error").isNotNull() | c("timed_out").isNull(), "not_run").when(c("timed_out"), "timeout").when(c("returncode") == 0, "ok").otherwise("failed")
+    return rows.join(results, "digest", "left").select("instantiation_id", "candidate_id", "language", "source_path", status.alias("status"), "returncode", "stderr")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernflow.functions import text as T
+from quernflow.operators import coverage as V
 from quernflow.operators import inputs as N
 from quernflow.operators.digests import reconcile
 from quernflow.operators.rebuild import Kept
@@ -16,7 +17,7 @@ from quernflow.plans import archive as A
 from quernflow.plans.catalog import FIXES, MARK_SQL, pick, pick_sql, query
 from quernflow.scratch import fresh_path
 from quernflow.session import table
-from quernflow.sources import named_files
+from quernflow.sources import files, named_files
 
 TIERS = ["architecture_specific", "architecture_specific", "multi_arch_shared", "not_loongarch", "loongarch_observed", "loongarch_validation_only", "architecture_specific"]
 KINDS = ["comment_code_block", "gcc_testsuite_regression", "bugzilla_attachment", "other"]
@@ -178,3 +179,28 @@ def prepared_inputs(spark, sf):
         F.col("fix_history.evidence_count").alias("evidence"), F.array_join("fix_history.commit_hashes", ";").alias("commit_hashes"), texts("comments", "text").alias("comments_sha256"), texts("programs", "content").alias("programs_sha256"),
         F.array_join("evidence_gaps", ";").alias("gaps"),
     )
+
+
+@query("""
+WITH l AS (SELECT 'f' || (l_partkey % 20) || '.c' AS f, l_partkey AS line, l_quantity > 30 AS hit, l_linenumber AS n, 'fn' || (l_partkey % 50) AS fn, l_discount > 0.05 AS b FROM lineitem WHERE l_suppkey % 17 <> 3 AND l_partkey % 20 <> 7),
+s AS (SELECT f, count(DISTINCT line) AS lines_total, count(DISTINCT line) FILTER (hit) AS lines_covered, count(DISTINCT fn) AS functions_total, count(DISTINCT fn) FILTER (hit) AS functions_covered,
+  count(DISTINCT line * 2) AS b0, count(DISTINCT line) FILTER (b) AS b0_covered, count(DISTINCT line) FILTER (n > 2) AS b1, count(DISTINCT line) FILTER (n > 2 AND hit) AS b1_covered FROM l GROUP BY f)
+SELECT '/src/gcc/' || f AS file, lines_total, lines_covered, functions_total, functions_covered, b0 + b1 AS branches_total, b0_covered + b1_covered AS branches_covered,
+  (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey % 17 = 3) AS damaged FROM s""")
+def gcov_rollup(spark, sf):
+    """A coverage file for each supplier, with its lines as sources, some cut off in the middle, read back and merged."""
+    i = table(spark, sf, "lineitem")
+    number = lambda c: F.when(c, F.lit(3)).otherwise(F.lit(0)).cast("long")
+    hit = F.col("l_quantity") > 30
+    branch = lambda c: F.struct(number(c).alias("count"))
+    branches = F.when(F.col("l_linenumber") > 2, F.array(branch(F.col("l_discount") > 0.05), branch(hit))).otherwise(F.array(branch(F.col("l_discount") > 0.05)))
+    line = F.struct(F.col("l_partkey").alias("line_number"), number(hit).alias("count"), branches.alias("branches"))
+    name = F.concat(F.when(F.col("l_partkey") % 20 == 7, "../../other/").when(F.col("l_partkey") % 3 == 0, "a/b/c/../.././../").otherwise("./"), F.lit("f"), F.col("l_partkey") % 20, F.lit(".c"))
+    one = F.struct(name.alias("file"), F.array(line).alias("lines"), F.array(F.struct(F.concat(F.lit("fn"), F.col("l_partkey") % 50).alias("name"), number(hit).alias("execution_count"))).alias("functions"))
+    payload = i.groupBy("l_suppkey").agg(F.to_json(F.struct(F.collect_list(one).alias("files"))).alias("json"))
+    content = F.when(F.col("l_suppkey") % 17 == 3, F.expr("left(json, int(length(json) / 2))")).otherwise(F.col("json"))
+    root = fresh_path(spark, "gcov")
+    named_files.write_files(payload.select(F.concat("l_suppkey", F.lit(".gcov.json")).alias("path"), content.alias("content")), root)
+    read = files.read_gcov(spark, f"{root}/*.gcov.json", "/src/gcc")
+    damaged = read["read"].where("status = 'damaged'").agg(F.count("*").alias("damaged"))
+    return V.source_coverage(read["lines"], read["functions"], read["branches"]).crossJoin(F.broadcast(damaged))  # a single row

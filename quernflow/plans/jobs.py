@@ -17,7 +17,7 @@ from quernflow.operators.rebuild import Kept
 from quernflow.operators.windows import running_sum
 from quernflow.plans import archive
 from quernflow.scratch import materialize
-from quernflow.sources import named_files, sinks, tracker
+from quernflow.sources import files, named_files, sinks, tracker
 
 
 @dataclass
@@ -236,6 +236,14 @@ def evaluate_programs(store: Store, state: str, command: list[str], timeout_ms:
     return {r["evaluation_status"]: r["count"] for r in store.read("evaluations").groupBy("evaluation_status").count().collect()}
 
 
+def collect_coverage(store: Store, pattern: str, source_root: str) -> dict:
+    """Coverage files of many runs, damaged ones counted, to tables ``source_coverage`` (a row a source) and its totals."""
+    read = files.read_gcov(store.spark, pattern, source_root)
+    store.write("source_coverage", coverage.source_coverage(read["lines"], read["functions"], read["branches"]))
+    status = {r["status"]: r["count"] for r in read["read"].groupBy("status").count().collect()}
+    return {"read": status.get("ok", 0), "damaged": status.get("damaged", 0)} | counts_of(coverage.coverage_totals(store.read("source_coverage")))
+
+
 def _sources(spark: SparkSession, root: str) -> DataFrame:
     """(path, sha256, content) of the committed files below a folder, read by the tasks; paths are relative to it."""
     return named_files.folder_files(spark, root).join(named_files.manifest(spark, root).select("path", "sha256"), "path")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quernflow.functions.text import normal_path
+
 
 def _missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(error)
@@ -97,18 +99,35 @@ GCOV = (
 )
 
 
-def read_gcov(spark: SparkSession, pattern: str, source_root: str) -> dict[str, DataFrame]:
-    """``lines``, ``functions`` and ``branches`` of coverage files (gzipped JSON); files that do not parse are left out, and
-    so are sources outside ``source_root``. Relative sources are below it."""
+def read_gcov(spark: SparkSession, pattern: str, source_root: str, sources: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``lines``, ``functions``, ``branches`` and ``read`` of coverage files (JSON, gzipped where they are named so).
+
+    Sources outside ``source_root``, or not in ``sources`` (path) where that is given, are left out; relative ones are below it.
+    ``read`` has (path, status) of each file: ``ok``, or ``damaged`` for one that is cut off or no such JSON, which counts for
+    nothing else. No file is four empty tables.
+    """
     root = source_root.rstrip("/")
-    rows = spark.read.schema(GCOV).json(pattern, multiLine=True, mode="DROPMALFORMED").select(F.explode("files").alias("f"))
-    path = F.when(F.col("f.file").startswith("/"), F.col("f.file")).otherwise(F.concat(F.lit(root + "/"), "f.file"))
-    for _ in range(8):  # ``a/../`` goes, innermost first
-        path = F.regexp_replace(F.regexp_replace(path, r"/\./", "/"), r"/(?!\.\./)[^/]+/\.\./", "/")
+    try:
+        found = spark.read.schema(GCOV).option("ignoreCorruptFiles", "true").json(pattern, multiLine=True, mode="PERMISSIVE")
+        there = spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        found = spark.createDataFrame([], GCOV).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+        there = spark.createDataFrame([], "path string")
+    found = found.where("files IS NOT NULL")
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    good = found.select(plain(F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")).alias("path")).distinct().withColumn("status", F.lit("ok"))
+    read = there.select(plain(F.col("path")).alias("path")).join(good, "path", "left").fillna("damaged", ["status"])
+    rows = found.select(F.explode("files").alias("f"))
+    path = normal_path(F.when(F.col("f.file").startswith("/"), F.col("f.file")).otherwise(F.concat(F.lit(root + "/"), "f.file")))
     rows = rows.select(path.alias("file"), "f.lines", "f.functions").where(F.col("file").startswith(root + "/"))
+    if sources is not None:
+        rows = rows.join(sources.select(F.col("path").alias("file")), "file", "left_semi")
     lines = rows.select("file", F.explode("lines").alias("l")).where("l.line_number is not null")
     zero = F.lit(0)
     return {
+        "read": read,
         "lines": lines.select("file", F.col("l.line_number").alias("line"), F.coalesce("l.count", zero).alias("count")),
         "branches": lines.select("file", F.col("l.line_number").alias("line"), F.posexplode("l.branches").alias("idx", "b")).select("file", "line", "idx", F.coalesce("b.count", zero).alias("count")),
         "functions": rows.select("file", F.explode("functions").alias("fn")).where("coalesce(fn.name, '') <> ''").select("file", F.col("fn.name").alias("name"), F.coalesce("fn.execution_count", zero).alias("count")),

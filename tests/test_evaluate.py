@@ -93,3 +93,43 @@ def test_evaluation_job(spark, tmp_path, command):
     rows = store.read("evaluations").orderBy("evaluation_index").collect()
     assert [r["evaluation_index"] for r in rows] == list(range(1, 11)) and [r["instantiation_id"] for r in rows] == sorted(r["instantiation_id"] for r in rows)
     assert store.read("edge_maps").select("map_id").distinct().count() == len({r["map_id"] for r in rows if r["map_id"]})
+
+
+def test_replay(spark, tmp_path):
+    (tmp_path / "gcc" / "bin").mkdir(parents=True)
+    for name in ("t-gcc", "t-g++"):
+        path = tmp_path / "gcc" / "bin" / name
+        path.write_text('#!/bin/bash\necho "$0 $*" >&2; for last; do :; done; grep -q wrong "$last" && exit 1; exit 0\n')
+        path.chmod(path.stat().st_mode | stat.S_IXUSR)
+    rows = [("a", "c1", "c", "a.c", ["-O3", "-x", "c", "-c"], "covered"), ("b", "c1", "cxx", "b.cc", None, "covered"), ("w", "c1", "c", "w.c", [], "covered"), ("gone", "c1", "c", "none.c", [], "covered"), ("f", "c1", "c", "a.c", [], "ice")]
+    evaluations = spark.createDataFrame(rows, "instantiation_id string, candidate_id string, language string, source_path string, compiler_options array<string>, evaluation_status string")
+    sources = spark.createDataFrame([("a.c", b"int a;"), ("b.cc", b"int b;"), ("w.c", b"// wrong")], "path string, content binary")
+    got = {r["instantiation_id"]: r for r in V.replay(evaluations, sources, f"{tmp_path}/state", f"{tmp_path}/gcc", "t", tasks=2).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {"a": "ok", "b": "ok", "w": "failed", "gone": "not_run"}
+    assert "/bin/t-gcc -O3 -S -w -o " in got["a"]["stderr"] and "/bin/t-g++ -O2 -S -w -o " in got["b"]["stderr"]
+    assert {r["status"] for r in V.replay(evaluations, sources, f"{tmp_path}/other", "/none", "t").collect()} == {"not_run"}
+
+
+def test_damaged_coverage_files_are_counted(spark, tmp_path):
+    import gzip
+    import json
+
+    one = {"files": [{"file": "a/../b.c", "lines": [{"line_number": 1, "count": 2, "branches": [{"count": 0}, {"count": 1}]}, {"line_number": 2, "count": 0}], "functions": [{"name": "f", "execution_count": 1}]}, {"file": "/else/x.c", "lines": [], "functions": []}]}
+    whole = gzip.compress(json.dumps(one).encode())
+    for name, data in (("one", whole), ("two", whole), ("cut", whole[:-20]), ("text", gzip.compress(b"no json")), ("none", gzip.compress(b"[]"))):
+        (tmp_path / f"{name} 1.gcov.json.gz").write_bytes(data)
+    store = jobs.Store(spark, f"{tmp_path}/store")
+    got = jobs.collect_coverage(store, f"{tmp_path}/*.gcov.json.gz", "/src")
+    assert (got["read"], got["damaged"], got["files_total"], got["lines_total"], got["lines_covered"], got["branches_total"], got["branches_covered"]) == (2, 3, 1, 2, 1, 2, 1)
+    assert store.read("source_coverage").first()["file"] == "/src/b.c"
+    assert jobs.collect_coverage(store, f"{tmp_path}/nothing/*.json", "/src")["files_total"] == 0
+
+
+def test_normal_paths(spark):
+    import posixpath
+
+    paths = ["/a/b/../c", "/a/./b//c/", "/../../x", "a/../../b", "/" + "d/" * 30 + "../" * 29 + "e", "../x/..", "/a/b/../../..", "x", "/", "/a..b/..c/...", "a/.."]
+    from quernflow.functions.text import normal_path
+
+    rows = spark.createDataFrame([(p,) for p in paths], "p string").select("p", normal_path(F.col("p")).alias("n")).collect()
+    assert {r["p"]: r["n"] for r in rows} == {p: "" if posixpath.normpath(p) == "." else posixpath.normpath(p) for p in paths}
