@@ -101,13 +101,14 @@ def evidence_of(text: str | None) -> str | None:
 
 
 def comment_evidence(text: Column) -> Column:
-    """``evidence_of`` in Arrow batches: match places are beyond SQL functions."""
+    """``evidence_of`` in Arrow batches: match places are beyond SQL functions. Texts without a mention never reach Python."""
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(evidence_of)
 
-    return of(text)
+    mentions = [p.replace("(?i)", "(?iu)", 1) for p in (ARCH, VECTOR_EXTENSION)]  # Python's matching knows other letters' cases, too
+    return of(F.when(text.rlike(mentions[0]) | text.rlike(mentions[1]), text))
 
 
 def full_tier(base: Column, has_local_tests: Column, evidence: Column) -> Column:

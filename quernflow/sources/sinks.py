@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,21 +26,24 @@ def write_csv_index(df: DataFrame, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small text file: written beside its place and renamed into it."""
+    """A small text file: written beside its place and renamed over what is there, in one step where the store has one."""
     jvm = spark.sparkContext._jvm
-    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    target = files.makeQualified(target)
+    part = target.suffix(f".{uuid.uuid4().hex}.tmp")
     stream = files.create(part, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    old = jvm.org.apache.hadoop.fs.Path(path + ".old")
-    if files.exists(target):  # the old file stays, under one name or the other, until the new one is in place
-        files.delete(old, False)
-        files.rename(target, old)
-    if not files.rename(part, target):
-        files.rename(old, target)
-        raise OSError(f"{path} could not be put in place")
-    files.delete(old, False)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(part, target, over)
+    except Exception:
+        files.delete(part, False)
+        raise
 
 
 def write_json(spark: SparkSession, path: str, value: object) -> None:

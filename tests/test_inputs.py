@@ -125,3 +125,28 @@ def test_rounds(spark, tmp_path):
     with pytest.raises(ValueError, match="repeats"):
         Rounds(spark, f"{tmp_path}/other", logged_caller(str(log)), check).run(prompts.unionByName(prompts))
     assert hashlib.sha256(b"").hexdigest() == named_files.EMPTY
+
+
+def test_text_files_replace_each_other(spark, tmp_path):
+    from quernflow.sources import sinks
+
+    for text in ("one", "two é", ""):
+        sinks.write_text(spark, f"{tmp_path}/a report.md", text)
+        assert (tmp_path / "a report.md").read_text() == text
+    assert [n for n in os.listdir(tmp_path) if not n.endswith(".crc")] == ["a report.md"]
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "x").write_text("x")
+    with pytest.raises(Exception):  # noqa: B017  a folder is not replaced
+        sinks.write_text(spark, f"{tmp_path}/folder", "text")
+    assert sorted(n for n in os.listdir(tmp_path) if not n.endswith(".crc")) == ["a report.md", "folder"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quernflow.__main__ import main
+
+    store = jobs.Store(spark, f"{tmp_path}/store")
+    for name, df in zip(("reports", "comments", "programs", "attachments"), tables(spark), strict=True):
+        store.write(name, df)
+    assert main(["prepare-inputs", store.root, "--out", f"{tmp_path}/out"]) == 0
+    assert json.loads(capsys.readouterr().out)["files"] == 3
+    assert main(["verify-archive", f"{tmp_path}/none"]) == 1 and "error" in capsys.readouterr().err
