@@ -36,7 +36,7 @@ PENALTY = 1e-3
 _STEPS = 300
 THRESHOLD = 0.7
 #: Code points that are hashed at a time.
-_PIECE = 1 << 20
+_PIECE = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,13 +57,13 @@ def _present(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
     """
     data = [(t or "").lower().encode("utf-32-le") for t in texts.to_pylist()]
     ends = np.cumsum([len(d) // 4 for d in data])
-    points = np.frombuffer(b"".join(data), np.uint32).astype(np.uint64)
+    points = np.frombuffer(b"".join(data), np.uint32)
     del data
     found = np.zeros(0, np.int64)
     fresh: list[np.ndarray] = []
     waiting = 0
     for start in range(0, len(points), _PIECE):
-        piece = points[start : start + _PIECE + max(GRAMS) - 1]
+        piece = points[start : start + _PIECE + max(GRAMS) - 1].astype(np.uint64)
         last = min(_PIECE, len(points) - start)
         row = np.searchsorted(ends, np.arange(start, start + last), "right")
         for n in GRAMS:
