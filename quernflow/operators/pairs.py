@@ -10,25 +10,101 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernflow.functions import features as X
+from quernflow.scratch import materialize
 
 
-def candidate_pairs(vectors: DataFrame) -> DataFrame:
-    """(left, right) uids, left < right, of every pair that can reach the affinity gate.
+#: Rows of one key that meet in one task at most twice over; a larger key is cut into cells.
+BLOCK = 2000
+#: What a pair can share besides words, and what the affinity gives for it.
+SHARED = (("area", 1.4), ("fail", 0.7), ("arch", 1.0))
+# Scores are rounded to four digits before they are held against the gate.
+_SLACK = 1e-4
 
-    Without a shared token a score of 3.2 needs the same area, or the same failure mode and a shared architecture, since
-    type and quality give 2.0 at most. So three equi-joins replace a join of all with all, and no such pair is missed.
+
+def _keys(ctx: int, least: float):
+    """(ctx, key, pos, whole, bare) of a row for one set of things that it may share with another, see ``candidate_pairs``."""
+    names = [name for bit, (name, _) in enumerate(SHARED) if ctx >> bit & 1]
+    gain, n, none = sum(worth for name, worth in SHARED if name in names), F.size("words"), F.array().cast(_ENTRY)
+    need = F.lit(least - _SLACK - gain - 0.8 - 0.6) - 0.6 * F.col("quality")
+    bare = need <= 0
+    # 5 s / n + min(2, 0.45 s) reaches the need where both of its straight parts do
+    common = F.greatest(F.lit(1), F.ceil(need / (5.0 / F.greatest(n, F.lit(1)) + 0.45)), F.ceil((need - 2.0) * n / 5.0)).cast("int")
+    prefix = F.slice("words", F.lit(1), F.greatest(F.lit(0), n - common + 1))
+    values = [F.col(name) for name in names if name != "arch"]
+
+    def entry(pos, *parts, whole=False):
+        return F.struct(F.lit(ctx).alias("ctx"), F.xxhash64(F.lit(ctx), *values, *parts).alias("key"), pos.alias("pos"), F.lit(whole).alias("whole"), bare.alias("bare"))
+
+    def entries(*arch):
+        return F.concat(F.when(bare, F.array(entry(F.lit(0), *arch, whole=True))).otherwise(none), F.transform(prefix, lambda word, i: entry(i, *arch, word)))
+
+    rows = F.flatten(F.transform("archs", lambda arch: entries(arch))) if "arch" in names else entries()
+    for value in values:
+        rows = F.when(value != "", rows).otherwise(none)
+    return rows
+
+
+_ENTRY = "array<struct<ctx:int,key:bigint,pos:int,whole:boolean,bare:boolean>>"
+
+
+def _in_cells(rows: DataFrame, block: int) -> DataFrame:
+    """Rows of a key, dealt to cells (low, high) so that every two of them meet in one, and a cell has about two blocks.
+
+    A key of no more than a block is one cell. In a cell off the diagonal only rows of its two different sides are a pair.
     """
-    keys = F.array_distinct(
-        F.concat(
-            F.transform("tokens", lambda t: F.concat(F.lit("t:"), t)),
-            F.when(F.coalesce("compiler_area", F.lit("")) != "", F.array(F.concat(F.lit("a:"), "compiler_area"))).otherwise(F.array().cast("array<string>")),
-            F.when(F.coalesce("failure_mode", F.lit("")) != "", F.transform("archs", lambda a: F.concat(F.lit("f:"), "failure_mode", F.lit(":"), a))).otherwise(F.array().cast("array<string>")),
-        )
-    )
-    long = vectors.select(F.col("feature_uid").alias("uid"), "bug_id", F.explode(keys).alias("key"))
-    a, b = long.alias("a"), long.alias("b")
-    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.uid") < F.col("b.uid")) & (F.col("a.bug_id") != F.col("b.bug_id"))
-    return a.join(b, on).select(F.col("a.uid").alias("left"), F.col("b.uid").alias("right")).distinct()
+    large = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("sides"))
+    rows = rows.join(large, "key", "left").withColumn("sides", F.coalesce("sides", F.lit(1)))
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("uid", F.lit("side")), "sides").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    return rows.select("*", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")).drop("sides", "other")
+
+
+def candidate_pairs(vectors: DataFrame, least: float = X.GATE, block: int = BLOCK) -> DataFrame:
+    """(left, right) uids, left < right, of every pair of distinct bugs that can reach ``least``.
+
+    A pair shares some set of area, failure mode and architecture, and what is missing to ``least`` must come from its words:
+    a weighted Jaccard with a bonus for each word shared. So a row has, for each such set, a key for each word of a prefix:
+    of n words, rare ones first, all but t - 1, where t is how many it must share with the best partner there could be. Where no
+    word is needed the set alone is a key. Two rows of a key are a pair if they share just that set, speak compatible
+    languages and modes, and can reach ``least`` by their sizes, qualities and the places of the word in both (the first
+    word that they share stands early enough, whatever the later ones say). No pair is missed.
+
+    Words that all rows have drop out of the prefixes where more than one must be shared; a key that still has more than
+    ``block`` rows is cut into cells, so no task has more than two blocks of a key. ``feature_uid`` is unique; rows without a
+    quality reach nothing; a null area, mode or list counts as none; an empty table gives no rows.
+    """
+    if least <= 2.0 + _SLACK:
+        raise ValueError("types and qualities alone would do: every pair is a candidate, give the pairs")
+    empty = F.array().cast("array<string>")
+    rows = vectors.where("quality is not null").select(
+        F.col("feature_uid").alias("uid"), "bug_id", "feature_type", "language", "mode", "quality", F.coalesce("compiler_area", F.lit("")).alias("area"),
+        F.coalesce("failure_mode", F.lit("")).alias("fail"), F.coalesce("archs", empty).alias("archs"), F.array_distinct(F.coalesce("tokens", empty)).alias("tokens"),
+    )
+    said = rows.select("uid", F.explode("tokens").alias("word"))
+    ordered = said.join(said.groupBy("word").agg(F.count("*").alias("n")), "word").groupBy("uid")
+    ordered = ordered.agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"))
+    rows = rows.join(ordered, "uid", "left").withColumn("words", F.coalesce(F.col("ordered.word"), empty))
+    facts = ["uid", "bug_id", "feature_type", "language", "mode", "quality", "area", "fail", "archs"]
+    keyed = rows.select(*facts, F.size("words").alias("n"), F.explode(F.concat(*[_keys(ctx, least) for ctx in range(1 << len(SHARED))])).alias("k")).select(*facts, "n", "k.*")
+    cells = _in_cells(materialize(keyed, "pairkeys"), block)
+    a, b = cells.alias("a"), cells.alias("b")
+    one = lambda n: F.col(f"a.{n}")
+    two = lambda n: F.col(f"b.{n}")
+    both = {
+        "area": (one("area") != "") & (one("area") == two("area")),
+        "fail": (one("fail") != "") & (one("fail") == two("fail")),
+        "arch": F.arrays_overlap(one("archs"), two("archs")),
+    }
+    bits = sum((F.when(both[name], F.lit(1 << bit)).otherwise(F.lit(0)) for bit, (name, _) in enumerate(SHARED)), F.lit(0))
+    gain = sum((F.when(both[name], F.lit(worth)).otherwise(F.lit(0.0)) for name, worth in SHARED), F.lit(0.0))
+    gain = gain + F.when(one("feature_type").eqNullSafe(two("feature_type")), F.lit(0.0)).otherwise(F.lit(0.8))
+    shared = F.least(one("n") - one("pos"), two("n") - two("pos"))
+    most = 5.0 * shared / F.greatest(one("n") + two("n") - shared, F.lit(1)) + F.least(F.lit(2.0), 0.45 * shared) + gain + 0.6 * (one("quality") + two("quality"))
+    on = [one(c) == two(c) for c in ("key", "low", "high", "ctx", "whole")]
+    on += [one("uid") < two("uid"), one("bug_id") != two("bug_id"), (one("side") != two("side")) | (one("low") == one("high"))]
+    on += [one("whole") | ~(one("bare") & two("bare")), one("ctx") == bits, most >= least - _SLACK]
+    on += [X.languages_compatible(one("language"), two("language")), X.modes_compatible(one("mode"), two("mode"))]
+    return a.join(b, on).select(one("uid").alias("left"), two("uid").alias("right")).distinct()
 
 
 def compatible_pairs(vectors: DataFrame) -> DataFrame:
@@ -49,9 +125,7 @@ def pair_affinity(vectors: DataFrame, pairs: DataFrame | None = None, least: flo
     """Score and flags of pairs of features; the given pairs whole, or all pairs of distinct bugs with ``least`` or more."""
     blocked = pairs is None
     if blocked:
-        if least < X.GATE:
-            raise ValueError("below the gate the blocking keys would miss pairs: give the pairs")
-        pairs = candidate_pairs(vectors)
+        pairs = candidate_pairs(vectors, least)
     out = pairs.join(vectors.alias("a"), F.col("left") == F.col("a.feature_uid")).join(vectors.alias("b"), F.col("right") == F.col("b.feature_uid"))
     cols = X.affinity(lambda n: F.col(f"a.{n}"), lambda n: F.col(f"b.{n}"))
     out = out.select("left", "right", *[c.alias(n) for n, c in cols.items()])

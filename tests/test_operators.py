@@ -203,3 +203,63 @@ def test_instantiations_get_defaults_names_and_ids(spark):
     assert I.chat_endpoint(" http://h/v1/ ") == "http://h/v1/chat/completions" and I.csv_values("a, ,b") == ["a", "b"]
     with pytest.raises(ValueError):
         I.csv_values(" , ")
+
+
+def _vectors(spark, n, seed, hot=0.0):
+    """Vectors as ``features.vector`` makes them, with few values each, so that many pairs lie about the gate."""
+    import random
+
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        alike = rng.random() < hot
+        tokens = sorted({"all"} | set(rng.choices(words, weights=[1 / (j + 1) for j in range(60)], k=rng.choice([0, 1, 2, 5, 9, 14])))) if rng.random() < 0.95 else []
+        rows.append((
+            f"u{i:05d}", rng.randrange(max(2, n // 2)), rng.choice(["code_shape", "failure_oracle"]), "c" if alike else rng.choice(["c", "c++", "unknown"]),
+            "hot" if alike else rng.choice(["", "x", "y", None]), rng.choice(["", "ice", None]), ["loongarch"] if alike else rng.sample(["loongarch", "lsx", "lasx"], rng.choice([0, 0, 1, 2])),
+            tokens, rng.choice([0.0, 0.3, 0.6, 1.0]), rng.choice(["compile", "execute", "execute_or_compile"]), [],
+        ))
+    kinds = "feature_uid string, bug_id long, feature_type string, language string, compiler_area string, failure_mode string, archs array<string>, tokens array<string>, quality double, mode string, required array<string>"
+    from quernflow.functions import features as X
+
+    return spark.createDataFrame(rows, kinds).withColumn("options", X.option_constraints(F.array().cast("array<string>")))
+
+
+def test_candidate_pairs_miss_none(spark):
+    for seed, least in ((1, 3.2), (2, 3.2), (3, 4.5), (4, 2.4)):
+        v = _vectors(spark, 160, seed)
+        every = v.alias("a").join(v.alias("b"), (F.col("a.feature_uid") < F.col("b.feature_uid")) & (F.col("a.bug_id") != F.col("b.bug_id")))
+        every = every.select(F.col("a.feature_uid").alias("left"), F.col("b.feature_uid").alias("right"))
+        scored = {(r["left"], r["right"]): r["score"] for r in pairs.pair_affinity(v, every).collect()}
+        want = {k: s for k, s in scored.items() if s is not None and s >= least}
+        got = {(r["left"], r["right"]): r["score"] for r in pairs.pair_affinity(v, least=least).collect()}
+        assert got == want and want
+        held = pairs.candidate_pairs(v, least, block=7)
+        tried = {(r["left"], r["right"]) for r in held.collect()}
+        assert set(want) <= tried and len(tried) == held.count()
+        assert len(tried) < 2 * len(want) + 50  # the bound leaves few that fail
+
+
+def test_candidate_pairs_of_odd_rows(spark):
+    v = _vectors(spark, 6, 5)
+    assert pairs.pair_affinity(v.limit(0)).collect() == []
+    bare = v.withColumn("tokens", F.lit(None).cast("array<string>")).withColumn("archs", F.lit(None).cast("array<string>")).withColumn("quality", F.lit(None).cast("double"))
+    assert pairs.candidate_pairs(bare).collect() == []
+    with pytest.raises(ValueError):
+        pairs.candidate_pairs(v, 1.5)
+
+
+def test_a_hot_key_is_cut_into_cells(spark):
+    v = _vectors(spark, 300, 6, hot=0.5)
+    rows = v.select(F.col("feature_uid").alias("uid"), F.when(F.col("compiler_area") == "hot", 1).otherwise(F.xxhash64("feature_uid")).alias("key"))
+    n = rows.where("key = 1").count()
+    cells = pairs._in_cells(rows, 20)
+    sizes = {(r["low"], r["high"]): r["n"] for r in cells.where("key = 1").groupBy("low", "high").agg(F.count("*").alias("n")).collect()}
+    sides = -(-n // 20)
+    assert n > 100 and len(sizes) == sides * (sides + 1) // 2 and max(sizes.values()) < 80
+    a, b = cells.alias("a"), cells.alias("b")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "low", "high")] + [F.col("a.uid") < F.col("b.uid"), (F.col("a.side") != F.col("b.side")) | (F.col("a.low") == F.col("a.high"))]
+    met = a.join(b, on).where("a.key = 1").select("a.uid", "b.uid").collect()
+    assert len(met) == len(set(map(tuple, met))) == n * (n - 1) // 2
+    assert {tuple(r) for r in pairs.candidate_pairs(v, block=20).collect()} == {tuple(r) for r in pairs.candidate_pairs(v).collect()}
