@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernflow.llm import batches
+
 Q = 8
 MAX_ERROR = 0.1
 #: Characters of benchmark text indexed and broadcast at a time; a larger benchmark takes several passes.
@@ -57,26 +59,41 @@ def qgrams(chars: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """The q-grams of a block of items, with their places."""
+    """A block of items: those too short for a q-gram and for an edit as they are, the others' q-grams by size.
+
+    An item's grams are as long as the lemma allows, ``q`` at most: with k edits in m characters one of m // (k + 1) is left
+    whole. So each item has the budget of its length, and from 40 characters on (at a tenth) grams of 8.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, max_error: float = MAX_ERROR):
-        self.q, self.items, self.short = q, [], []
+    def __init__(self, items: list[tuple[int | None, str]], q: int = Q, max_error: float = MAX_ERROR):
+        self.short, self.items = [], []
         for item_id, text in items:
             text = normal(text)
-            if 0 < len(text) < q:
+            edits = int(max_error * len(text))
+            if 0 < len(text) < q and not edits:
                 self.short.append((item_id, text))
             elif text:
-                edits = min(int(max_error * len(text)), (len(text) - q) // q)
                 self.items.append((item_id, text, edits))
+        sized: dict[int, list] = {}
+        for item in self.items:
+            sized.setdefault(min(q, len(item[1]) // (item[2] + 1)), []).append(item)
+        self.parts = [Grams(some, size) for size, some in sorted(sized.items())]
+
+
+class Grams:
+    """The q-grams of items (item_id, text, edits), with their places."""
+
+    def __init__(self, items: list[tuple[int | None, str, int]], q: int):
+        self.q, self.items = q, items
         grams = [qgrams(codes(t), q) for _, t, _ in self.items]
-        keys = np.concatenate([np.zeros(0, np.uint64), *grams])
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.zeros(0, np.int64)
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
+        keys = np.concatenate(grams)
+        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g)) for g in grams])
         order = np.argsort(keys, kind="stable")
         self.owner, self.place = owner[order].astype(np.int64), place[order].astype(np.int64)
         self.keys, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
-        self.stride = np.array([k + 1 for _, _, k in self.items] or [1], dtype=np.int64)
-        self.least = np.array([len(t) - q + 1 - k * q for _, t, k in self.items] or [1], dtype=np.int64)
+        self.stride = np.array([k + 1 for _, _, k in self.items], dtype=np.int64)
+        self.least = np.array([len(t) - q + 1 - k * q for _, t, k in self.items], dtype=np.int64)
         self.seen = np.zeros(1 << _BITS, dtype=bool)
         self.seen[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
@@ -209,6 +226,11 @@ def matches(texts: list[str], index: Index) -> Iterator[tuple[int, int, int, int
         return
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
     chars = codes("\0".join(texts) + "\0")
+    for part in index.parts:
+        yield from _matches(texts, starts, chars, part)
+
+
+def _matches(texts: list[str], starts: np.ndarray, chars: np.ndarray, index: Grams) -> Iterator[tuple[int, int, int, int, int]]:
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     jobs, about = [], []
     for item, band in index.candidates(chars):
@@ -240,22 +262,22 @@ def matches(texts: list[str], index: Index) -> Iterator[tuple[int, int, int, int
         yield number, index.items[item][0], edits, at, length
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, q: int = Q, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, q: int = Q, block_chars: int = BLOCK_CHARS, unnamed: bool = False) -> DataFrame:
     """(doc_id, item_id, edits, start, length): each item that occurs in a document within its budget, at its best place.
 
-    The budget is ``max_error`` of the item's characters, less for very short items so that the filter stays exact; items of
-    under ``q`` characters must stand in the text as they are; null or empty ones match nothing. Places count characters of the text in lower case with single
-    spaces. The benchmark is indexed in blocks of ``block_chars`` characters at most (more only for one longer item), each
+    The budget is ``max_error`` of the item's characters, rounded down, whatever its length; null or empty items match nothing, and
+    those without an id are passed over, or with ``unnamed`` found under a null one. Places count characters of the text in lower case with single spaces. The benchmark is indexed in blocks of ``block_chars`` characters at most (more only for one longer item), each
     broadcast and held against all documents. Null texts match nothing; repeated rows are found each by itself, and equal
     results are one row; no rows for an empty table.
     """
     spark = docs.sparkSession
-    items = benchmark.where("text is not null").groupBy("item_id", "text").agg(F.length("text").alias("n"))
+    batches.bound(spark)
+    items = benchmark.where("text is not null" if unnamed else "text is not null and item_id is not null").groupBy("item_id", "text").agg(F.length("text").alias("n"))
     blocks = max(1, ceil((items.agg(F.sum("n")).first()[0] or 0) / block_chars))
     out = None
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in mine.select("item_id", "text").toLocalIterator() if r["item_id"] is not None))
+        shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").select("item_id", "text").toLocalIterator()])
         found = docs.select("doc_id", "text").where("text is not null").mapInArrow(_search(shared, q, max_error), RESULT)
         out = found if out is None else out.unionByName(found)
     return out.distinct()
@@ -283,16 +305,16 @@ def _search(shared, q: int, max_error: float):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, q: int = Q) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item occurs; all columns come back.
+    """The rows of ``docs`` in which no benchmark item occurs, with an id or without one; all columns come back.
 
     Texts are searched and dropped under the 64-bit hash of the text, so repeated or missing doc_ids do not matter.
     """
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    leaks = find_leaks(docs.select(key.alias("doc_id"), "text"), benchmark, max_error, q).select(F.col("doc_id").alias("leak")).distinct()
+    leaks = find_leaks(docs.select(key.alias("doc_id"), "text"), benchmark, max_error, q, unnamed=True).select(F.col("doc_id").alias("leak")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("leak"))
     return rows.join(leaks, "leak", "left_anti").select("row.*")
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True)

@@ -200,6 +200,35 @@ def test_leaks_in_tables(spark, make_docs, edge_docs, empty_docs):
     assert decontam.find_leaks(empty_docs, bench).count() == 0 and decontam.drop_leaks(edge_docs, bench.limit(0)).count() == 9
 
 
+def test_short_items_have_their_whole_budget():
+    rng = random.Random(23)
+    make = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    items = [(n, make(n)) for n in range(3, 60)]
+    for most in (0.1, 0.25):
+        index = decontam.Index(items, max_error=most)
+        assert {i: k for i, _, k in index.items} == {n: int(most * n) for n, _ in items if n >= 8 or int(most * n)}
+        texts = []
+        for _, text in items:
+            item = list(text)
+            for _ in range(int(most * len(text)) + rng.randint(0, 1)):
+                at = rng.randrange(len(item))
+                item[at : at + 1] = rng.choice([[], ["x"], [item[at], "y"]])
+            texts.append(make(30) + "".join(item) + make(30))
+        got = {(n, i): e for n, i, e, _, _ in decontam.matches(texts, index)}
+        want = {(n, i): edits(item, text)[0] for n, text in enumerate(texts) for i, item in items}
+        assert got == {(n, i): e for (n, i), e in want.items() if e <= int(most * i)}
+        assert sum(e > 0 for (_, i), e in got.items() if i < 40) > 10
+
+
+def test_items_without_an_id(spark, make_docs):
+    passage = "a question that nobody gave a number but that is a question all the same"
+    docs = make_docs([(1, "before " + passage + " after", "en", "s"), (2, "clean text", "en", "s")])
+    bench = spark.createDataFrame([(None, passage), (None, None), (None, " ")], "item_id long, text string")
+    assert decontam.find_leaks(docs, bench).count() == 0
+    assert [(r["doc_id"], r["item_id"], r["edits"], r["start"]) for r in decontam.find_leaks(docs, bench, unnamed=True).collect()] == [(1, None, 0, 7)]
+    assert [r["doc_id"] for r in decontam.drop_leaks(docs, bench).collect()] == [2]
+
+
 # ---------------------------------------------------------------- HTML
 
 PAGES = [
