@@ -10,7 +10,7 @@ import sys
 from quernflow.plans import jobs
 from quernflow.session import local_session
 
-JOBS = {"classify": jobs.classify, "build-pool": jobs.build_pool, "prepare": jobs.prepare, "build-groups": jobs.build_groups, "feedback": jobs.run_feedback, "report": jobs.report, "verify": jobs.verify}
+JOBS = {"classify": jobs.classify, "build-pool": jobs.build_pool, "prepare": jobs.prepare, "build-groups": jobs.build_groups, "build-instantiations": jobs.build_instantiations, "feedback": jobs.run_feedback, "report": jobs.report, "verify": jobs.verify}
 JOBS |= {"rebuild": jobs.rebuild, "prepare-inputs": jobs.prepare_inputs, "write-programs": jobs.write_programs, "build-corpus": jobs.build_corpus, "build-seeds": jobs.build_seeds}
 JOBS |= {"evaluate": jobs.evaluate_programs, "collect-coverage": jobs.collect_coverage, "verify-archive": lambda store, scope=None: jobs.verify_archive(store.spark, store.root, scope)}
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,11 +43,11 @@ def replay(prompts: DataFrame, recorded: DataFrame) -> DataFrame:
     return out.withColumn("error", F.when(F.col("response").isNull(), F.lit("no recorded response")))
 
 
-def parsed(responses: DataFrame, greedy: bool = True) -> DataFrame:
-    """(id, json, status): ``ok``, ``parse_error`` or ``api_error``."""
+def parsed(responses: DataFrame, greedy: bool = True, also: Sequence[str] = ()) -> DataFrame:
+    """(id, json, status): ``ok``, ``parse_error`` or ``api_error``; the columns ``also`` stay."""
     body = parse_json_content(model_content(F.col("response")), greedy)
     out = responses.withColumn("json", F.when(F.col("error").isNull(), body))
-    return out.select("id", "json", F.when(F.col("error").isNotNull(), "api_error").when(F.col("json").isNull(), "parse_error").otherwise("ok").alias("status"))
+    return out.select("id", *also, "json", F.when(F.col("error").isNotNull(), "api_error").when(F.col("json").isNull(), "parse_error").otherwise("ok").alias("status"))
 
 
 def token_usage(responses: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ UNSAFE = r"[^A-Za-z0-9_.-]+"
 
 INSTANTIATION = (
     "group_uid string, candidate_id string, instantiation_status string, language string, program_title string, file_name string, compiler_options array<string>, source_code string, "
-    "oracle_kind string, preservation_checklist array<struct<feature_uid: string, implemented_by: string>>, build_notes array<string>, rejection_reasons array<string>, confidence double, notes string"
+    "oracle string, coverage_intent string, preservation_checklist array<struct<feature_uid: string, implemented_by: string>>, build_notes array<string>, rejection_reasons array<string>, confidence double, notes string"
 )
 
 
@@ -42,9 +42,26 @@ def _or(c: Column, default: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", default).otherwise(c)
 
 
-def normalize_instantiation(raw: Column, group: Column) -> Column:
+#: What comes along from a group under another name, where the group has it.
+FROM_GROUP = {"source_features_sha256": "source_features_sha256", "group_test_mode": "test_mode"}
+
+
+def provenance(response: Column, model: str, base_url: str, at: Column) -> Column:
+    """Who made a result: the model, its address, and id and usage of its answer (JSON, ``{}`` where it has none)."""
+    usage = F.get_json_object(response, "$.usage")
+    return F.struct(
+        F.lit(model).alias("model"), F.lit(base_url.rstrip("/")).alias("base_url"), F.get_json_object(response, "$.id").alias("response_id"), at.alias("created_at"),
+        F.when(usage.startswith("{"), usage).otherwise("{}").alias("usage"), F.lit(False).alias("api_key_persisted"),
+    )
+
+
+def normalize_instantiation(raw: Column, group: Column, carried: Mapping[str, str] | None = None, by: Column | None = None) -> Column:
     """An instantiation from a model's JSON, with the group's values for what is missing (group_uid, candidate_id, language,
-    target_options, source_feature_uids) and its id: the candidate's with a hash of source and options."""
+    target_options, source_feature_uids) and its id: the candidate's with a hash of source and options.
+
+    ``oracle`` and ``coverage_intent`` stay as the model's JSON, ``{}`` where there is none, and ``oracle_kind`` is the oracle's.
+    ``carried`` names fields of the result by the group's fields that they take, as ``FROM_GROUP``; ``by`` becomes ``generated_by``.
+    """
     p = F.from_json(raw, INSTANTIATION)
     none = F.array().cast("array<string>")
     options = F.coalesce(p["compiler_options"], group["target_options"], none)
@@ -65,8 +82,15 @@ def normalize_instantiation(raw: Column, group: Column) -> Column:
         "notes": F.coalesce(p["notes"], F.lit("")),
         "source_feature_uids": string_list(group["source_feature_uids"]),
         "instantiation_id": F.concat_ws("-", group["candidate_id"], flat_hash(16, source=source, options=options)),
+        "oracle": F.coalesce(p["oracle"], F.lit("{}")),
+        "oracle_kind": F.get_json_object(p["oracle"], "$.kind"),
+        "coverage_intent": F.coalesce(p["coverage_intent"], F.lit("{}")),
+        "group_target_options": F.coalesce(group["target_options"], none),
+        **{name: group[theirs] for name, theirs in (carried or {}).items()},
     }
-    return F.when(p.isNotNull(), F.struct(*[v.alias(k) for k, v in fields.items()], p["oracle_kind"].alias("oracle_kind")))
+    if by is not None:
+        fields["generated_by"] = by
+    return F.when(p.isNotNull(), F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
 def safe_name(c: Column) -> Column:

@@ -512,6 +512,39 @@ def sampler_demo(spark, sf):
     return spark.createDataFrame([(i, p, u) for i, g in enumerate(groups, 1) for p, u in enumerate(g)], "group_index int, pos int, feature_uid string")
 
 
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_partkey % 13 = 4 AS odd, p_partkey % 7 = 2 AND p_partkey % 13 <> 4 AS rej FROM part),
+s AS (SELECT *, NOT odd AND NOT rej AS ready, CASE WHEN k % 5 = 0 THEN '' WHEN k % 19 = 6 THEN 'int exploit;' ELSE 'int x;' END AS src, k % 3 = 0 AS bare FROM p)
+SELECT k AS p_partkey, CASE WHEN odd THEN 'odd' WHEN rej THEN 'rejected' ELSE 'ready' END AS instantiation_status, CASE WHEN k % 17 = 3 THEN 'other-tongue' ELSE 'c++' END AS language,
+  array_to_string(CASE WHEN k % 23 = 7 THEN [] ELSE ['-O2', '-g'] END, ' ') AS options, CASE WHEN bare THEN NULL WHEN k % 29 = 8 THEN ' ' ELSE 'runtime' END AS oracle_kind,
+  CASE WHEN bare THEN '{}' ELSE '{"kind":"' || CASE WHEN k % 29 = 8 THEN ' ' ELSE 'runtime' END || '","n":' || k || '}' END AS oracle, 'mode' || (k % 3) AS group_test_mode, 'r' || k AS response_id,
+  'c' || k || '-' || left(sha256('{"options":[' || CASE WHEN k % 23 = 7 THEN '' ELSE '"-O2","-g"' END || '],"source":"' || src || '"}'), 16) AS instantiation_id,
+  array_to_string(list_filter([CASE WHEN k % 11 = 1 THEN 'wrong_group_uid' END, CASE WHEN odd THEN 'invalid_status' END, CASE WHEN rej AND k % 2 = 1 THEN 'rejected_without_reason' END,
+    CASE WHEN ready AND k % 17 = 3 THEN 'unsupported_language' END, CASE WHEN ready AND src = '' THEN 'empty_source' END, CASE WHEN ready AND contains(src, 'exploit') THEN 'bad_purpose' END,
+    CASE WHEN ready AND k % 23 = 7 THEN 'no_options' END, CASE WHEN ready AND (bare OR k % 29 = 8) THEN 'no_oracle_kind' END, CASE WHEN ready AND k % 31 = 9 THEN 'checklist_incomplete' END,
+    CASE WHEN ready AND k % 31 <> 9 AND k % 37 = 10 THEN 'checklist_without_implementation' END], lambda x: x IS NOT NULL), ' ') AS violations FROM s""")
+def instantiation_rules(spark, sf):
+    """Answers for groups, one a part, made whole from their groups and held against the rules of instantiations."""
+    k = F.col("p_partkey")
+    tick = lambda uid, how: F.struct(F.lit(uid).alias("feature_uid"), how.alias("implemented_by"))
+    how = F.when(k % 37 == 10, " ").otherwise("a loop")
+    answer = F.to_json(
+        F.struct(
+            F.when(k % 11 == 1, "other").alias("group_uid"), F.when(k % 13 == 4, "odd").when(k % 7 == 2, "Rejected").alias("instantiation_status"), F.when(k % 2 == 0, F.array(F.lit("why"))).alias("rejection_reasons"),
+            F.when(k % 17 == 3, "other-tongue").alias("language"), F.when(k % 5 == 0, "").when(k % 19 == 6, "int exploit;").otherwise("int x;").alias("source_code"), F.when(k % 23 == 7, F.array().cast("array<string>")).alias("compiler_options"),
+            F.when(k % 3 != 0, F.struct(F.when(k % 29 == 8, " ").otherwise("runtime").alias("kind"), k.alias("n"))).alias("oracle"), F.when(k % 31 == 9, F.array(tick("f1", F.lit("a loop")))).otherwise(F.array(tick("f1", F.lit("a loop")), tick("f2", how))).alias("preservation_checklist"),
+        )
+    )
+    group = F.struct(
+        F.concat(F.lit("g"), k).alias("group_uid"), F.concat(F.lit("c"), k).alias("candidate_id"), F.lit("cpp").alias("language"), F.array(F.lit("-O2"), F.lit("-g")).alias("target_options"),
+        F.array(F.lit("f1"), F.lit("f2")).alias("source_feature_uids"), F.lit("sha").alias("source_features_sha256"), F.concat(F.lit("mode"), k % 3).alias("test_mode"),
+    )
+    by = I.provenance(F.concat(F.lit('{"id":"r'), k, F.lit('"}')), "m", "http://h/", F.lit("now"))
+    rows = table(spark, sf, "part").select(k, answer.alias("answer"), group.alias("want"))
+    rows = rows.select(k, I.normalize_instantiation(F.col("answer"), F.col("want"), I.FROM_GROUP, by).alias("i"), "want").select(k, "i.*", "want").withColumn("violations", G.instantiation_violations())
+    return rows.select(k, "instantiation_status", "language", F.array_join("compiler_options", " ").alias("options"), "oracle_kind", "oracle", "group_test_mode", "generated_by.response_id", "instantiation_id", F.array_join("violations", " ").alias("violations"))
+
+
 GLUE = ["G1-shared-accumulator", "g2_x", "G3", "glue", "G01", " G4 "]
 
 

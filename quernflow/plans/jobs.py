@@ -186,6 +186,27 @@ def build_groups(store: Store) -> dict:
     return counts_of(done.agg(F.count("*").alias("outputs"), F.count_if(good & (F.col("synthesis_status") == "ready")).alias("ready"), F.count_if(good & (F.col("synthesis_status") == "rejected")).alias("rejected"), F.count_if(~good).alias("errors")))
 
 
+def build_instantiations(store: Store, model: str = "recorded", base_url: str = "") -> dict:
+    """Answers for groups (table ``instantiation_responses``: id, response, error) to instantiations with their violations.
+
+    All that parse go to ``instantiation_results``; the sound ones, rejected ones included, are ``instantiations``.
+    """
+    parsed = connectors.parsed(store.read("instantiation_responses"), also=["response"]).where("status = 'ok'")
+    known = store.read("groups")
+    theirs = [c if c in known.columns else F.lit(None).cast(kind).alias(c) for c, kind in _GROUP_FIELDS.items()]
+    rows = parsed.join(known.select(F.struct(*theirs).alias("want")), parsed["id"] == F.col("want.group_uid"))
+    by = instantiation.provenance(F.col("response"), model, base_url, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    made = rows.select(instantiation.normalize_instantiation(F.col("json"), F.col("want"), instantiation.FROM_GROUP, by).alias("i"), "want").where("i is not null")
+    store.write("instantiation_results", made.select("i.*", "want").withColumn("violations", groups.instantiation_violations()).drop("want"))
+    done = store.read("instantiation_results")
+    store.write("instantiations", done.where("size(violations) = 0").drop("violations").withColumn("status", F.col("instantiation_status")))
+    good = F.size("violations") == 0
+    return counts_of(done.agg(F.count("*").alias("outputs"), F.count_if(good & (F.col("instantiation_status") == "ready")).alias("ready"), F.count_if(good & (F.col("instantiation_status") == "rejected")).alias("rejected"), F.count_if(~good).alias("errors")))
+
+
+_GROUP_FIELDS = {"group_uid": "string", "candidate_id": "string", "language": "string", "target_options": "array<string>", "source_feature_uids": "array<string>", "source_features_sha256": "string", "test_mode": "string"}
+
+
 def run_feedback(store: Store, native: bool = False) -> dict:
     """Evaluations and edge maps to feedback, rewards and promoted glue."""
     out = feedback.coverage_feedback(store.read("evaluations"), store.read("groups"), store.read("edge_maps"), store.read("native_runs") if native else None)

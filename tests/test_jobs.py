@@ -69,3 +69,23 @@ def test_stream_of_maps(spark, tmp_path):
         streaming.start(spark.readStream.schema(schema).parquet(str(source)), f"{tmp_path}/seen", f"{tmp_path}/cp").awaitTermination()
     seen = streaming.first_seen(spark, f"{tmp_path}/seen")
     assert sorted((r["edge_id"], r["seq"]) for r in seen.collect()) == [("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_answers_become_instantiations(spark, tmp_path):
+    store = jobs.Store(spark, str(tmp_path))
+    kinds = "group_uid string, candidate_id string, language string, target_options array<string>, source_feature_uids array<string>, test_mode string"
+    store.write("groups", spark.createDataFrame([(f"g{i}", f"c{i}", "C", ["-O2"], ["f1", "f2"], "compile_only") for i in range(1, 6)], kinds))
+    ticks = [{"feature_uid": u, "implemented_by": "a loop"} for u in ("f1", "f2")]
+    whole = {"source_code": "int x;", "oracle": {"kind": "runtime", "how": {"exit": [0, 1]}}, "coverage_intent": {"passes": ["vect"]}, "preservation_checklist": ticks}
+    bodies = {"g1": whole, "g2": {**whole, "oracle": "none"}, "g3": {"instantiation_status": "REJECTED", "rejection_reasons": ["no way"]}, "g4": [1], "other": whole}
+    rows = [(g, json.dumps({"id": f"r-{g}", "usage": {"total_tokens": 7}, "choices": [{"message": {"content": json.dumps(b)}}]}), None) for g, b in bodies.items()] + [("g5", None, "timeout")]
+    store.write("instantiation_responses", spark.createDataFrame(rows, "id string, response string, error string"))
+    assert jobs.build_instantiations(store, "m", "http://h/v1/") == {"outputs": 3, "ready": 1, "rejected": 1, "errors": 1}
+    assert {r["group_uid"]: r["violations"] for r in store.read("instantiation_results").collect()} == {"g1": [], "g2": ["no_oracle_kind"], "g3": []}
+    one, two = store.read("instantiations").orderBy("group_uid").collect()
+    assert json.loads(one["oracle"]) == whole["oracle"] and json.loads(one["coverage_intent"]) == {"passes": ["vect"]} and one["oracle_kind"] == "runtime"
+    assert (one["group_test_mode"], one["source_features_sha256"], one["group_target_options"]) == ("compile_only", None, ["-O2"])
+    by = one["generated_by"]
+    assert (by["model"], by["base_url"], by["response_id"], json.loads(by["usage"]), by["api_key_persisted"]) == ("m", "http://h/v1", "r-g1", {"total_tokens": 7}, False)
+    assert (two["group_uid"], two["oracle"], two["coverage_intent"], two["status"]) == ("g3", "{}", "{}", "rejected")
+    assert jobs.write_programs(store, f"{tmp_path}/out")["files"] == 1
