@@ -9,7 +9,7 @@ found is kept: its size is that of the bucket, not its square, and its component
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quernflow.llm import batches, golay
 from quernflow.operators.components import components
-from quernflow.scratch import materialize
+from quernflow.scratch import materialize, settled
 
 WIDTHS = (22, 21, 21)
 SEED = 42
@@ -697,7 +697,7 @@ def _merged(labels: DataFrame, same: DataFrame) -> DataFrame:
     ends = same.join(root.select(F.col("node").alias("src"), F.col("root").alias("a")), "src").join(root.select(F.col("node").alias("dst"), F.col("root").alias("b")), "dst")
     found = components(ends.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     named = labels.join(found.select(F.col("node").alias("root"), F.col("root").alias("joined")), "root", "left")
-    return materialize(named.withColumn("root", F.coalesce("joined", "root")).drop("joined"), "labels")
+    return named.withColumn("root", F.coalesce("joined", "root")).drop("joined")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, radius: int = 12, block: int = GROUP) -> DataFrame:
@@ -721,14 +721,23 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     order = spark.sparkContext.broadcast(_frequent(docs, shingle))
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("node"), F.col("text").cast("binary").alias("text"))
-    table = given.mapInArrow(_describe(similarity, shingle, order), DESCRIBED)
-    table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "described")
-    first = F.min(F.struct("row", "words", F.size("shingles").alias("size"), "bits")).alias("t")
-    labels = materialize(table.groupBy("node").agg(first).select("node", "t.*", F.col("node").alias("root")), "labels")
-    for family in range(len(WIDTHS) - 1):
-        labels = _merged(labels, _verified(table, labels, _by_fingerprint(labels, family, radius, similarity, block), similarity))
-    labels = _merged(labels, _verified(table, labels, _by_prefix(_shared_keys(table, order), labels, similarity, block), similarity))
-    rows = table.select("doc_id", "node").join(labels.select("node", "root"), "node")
+
+    def classes() -> DataFrame:
+        table = given.mapInArrow(_describe(similarity, shingle, order), DESCRIBED)
+        table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "described")
+        first = F.min(F.struct("row", "words", F.size("shingles").alias("size"), "bits")).alias("t")
+        labels = materialize(table.groupBy("node").agg(first).select("node", "t.*", F.col("node").alias("root")), "labels")
+
+        def joined(pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            return settled(lambda: _merged(labels, _verified(table, labels, pairs(labels), similarity)), "labels")
+
+        for family in range(len(WIDTHS) - 1):
+            labels = joined(lambda now, family=family: _by_fingerprint(now, family, radius, similarity, block))
+        labels = joined(lambda now: _by_prefix(_shared_keys(table, order), now, similarity, block))
+        return table.select("doc_id", "node").join(labels.select("node", "root"), "node")
+
+    # the described texts and all that is made from them are far larger than the classes, and end with them
+    rows = settled(classes, "classes")
     names = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return rows.join(names, "root").select("doc_id", F.col("node").alias("text_key"), F.col("root").alias("class_key"), "class_id")
 

@@ -7,6 +7,9 @@ one made below ``/tmp/checkpoints``. A table written here survives the loss of a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,9 @@ from quernflow.session import setting
 
 _RUN = uuid.uuid4().hex[:12]
 _OWN = f"file:///tmp/checkpoints/quernflow-{_RUN}"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths written since the innermost ``settled`` began.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,14 +35,45 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/quernflow/{_RUN}/{tag}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _without_shuffle_files(spark: SparkSession):
+    """Writes that begin here remove their shuffle files when they end, and not only when the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: later plans start from those files."""
     spark = df.sparkSession
     path = fresh_path(spark, tag)
-    df.write.parquet(path)
+    with _without_shuffle_files(spark):
+        df.write.parquet(path)
+    if (passing := _PASSING.get()) is not None:
+        passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """Materialize what ``make`` returns, then remove the scratch tables that were written on the way to it.
+
+    Only for a ``make`` that leaves none of those tables to anybody else.
+    """
+    written: list[str] = []
+    token = _PASSING.set(written)
+    try:
+        df = make()
+    finally:
+        _PASSING.reset(token)
+    out = materialize(df, tag)
+    for path in written:
+        drop(df.sparkSession, path)
+    return out
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove one scratch path; a missing one is no error."""
     jvm = spark.sparkContext._jvm
