@@ -263,3 +263,16 @@ def test_a_hot_key_is_cut_into_cells(spark):
     met = a.join(b, on).where("a.key = 1").select("a.uid", "b.uid").collect()
     assert len(met) == len(set(map(tuple, met))) == n * (n - 1) // 2
     assert {tuple(r) for r in pairs.candidate_pairs(v, block=20).collect()} == {tuple(r) for r in pairs.candidate_pairs(v).collect()}
+
+
+def test_features_judged_alike_are_scored_once(spark, monkeypatch):
+    v = _vectors(spark, 40, 7)
+    copies = v.crossJoin(spark.range(5).withColumnRenamed("id", "copy")).withColumn("feature_uid", F.concat(F.lit("c"), (7 * F.col("copy") % 5).cast("string"), "feature_uid"))
+    copies = copies.withColumn("bug_id", F.col("bug_id") * 3 + F.col("copy") % 3).drop("copy")
+    every = copies.alias("a").join(copies.alias("b"), (F.col("a.feature_uid") < F.col("b.feature_uid")) & (F.col("a.bug_id") != F.col("b.bug_id")))
+    every = every.select(F.col("a.feature_uid").alias("left"), F.col("b.feature_uid").alias("right"))
+    want = sorted(map(str, pairs.pair_affinity(copies, every).where("score >= 3.2").collect()))
+    tried = []
+    monkeypatch.setattr(pairs, "candidate_pairs", lambda classes, *a, own=pairs.candidate_pairs: tried.append(classes.count()) or own(classes, *a))
+    assert sorted(map(str, pairs.pair_affinity(copies).collect())) == want and want
+    assert tried == [40]
