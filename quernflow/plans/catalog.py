@@ -507,8 +507,7 @@ def sampler_demo(spark, sf):
 
     v = materialize(_features(spark, sf).select(*X.vector(F.col("f"), "any")), "vectors")
     pool = [r.asDict() for r in v.select("feature_uid", "bug_id", "feature_type", "profile_match").orderBy("feature_uid").collect()]
-    scores = {(r["left"], r["right"]): r["score"] for r in P.pair_affinity(v, P.compatible_pairs(v)).where("score > -999").select("left", "right", "score").collect()}
-    groups = P.Sampler(pool, scores).groups(8)
+    groups = P.Sampler(pool, P.partners(v)).groups(8)
     return spark.createDataFrame([(i, p, u) for i, g in enumerate(groups, 1) for p, u in enumerate(g)], "group_index int, pos int, feature_uid string")
 
 

@@ -137,8 +137,7 @@ def prepare(store: Store, count: int = 64, least: int = 3, most: int = 5, seed:
     rewards = {r["feature_uid"]: r["reward_score"] for r in store.read("feature_rewards", "feature_uid string, reward_score double").collect()} if append else {}
     rows = vectors.where("compatible") if rewards else vectors
     names = [r.asDict() for r in rows.select("feature_uid", "bug_id", "feature_type", "profile_match").orderBy("feature_uid").collect()]
-    scores = {(r["left"], r["right"]): r["score"] for r in pairs.pair_affinity(vectors, pairs.compatible_pairs(vectors)).where("score > -999").select("left", "right", "score").toLocalIterator()}
-    sampler = pairs.Sampler(names, scores, seed)
+    sampler = pairs.Sampler(names, pairs.partners(vectors), seed)
     old = store.read("candidates", _CANDIDATES) if append else spark.createDataFrame([], _CANDIDATES)
     known = old.orderBy("pos").collect()
     for row in known:

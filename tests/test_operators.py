@@ -276,3 +276,16 @@ def test_features_judged_alike_are_scored_once(spark, monkeypatch):
     monkeypatch.setattr(pairs, "candidate_pairs", lambda classes, *a, own=pairs.candidate_pairs: tried.append(classes.count()) or own(classes, *a))
     assert sorted(map(str, pairs.pair_affinity(copies).collect())) == want and want
     assert tried == [40]
+
+
+def test_the_sampler_asks_for_blocks_of_scores(spark, monkeypatch):
+    one, two = sorted(pairs.X.CORE_TYPES)[:2]
+    v = _vectors(spark, 60, 8).withColumn("feature_type", F.when(F.col("bug_id") % 2 == 0, one).otherwise(two))
+    v = v.withColumn("profile_match", F.lit(True)).localCheckpoint()
+    pool = [r.asDict() for r in v.select("feature_uid", "bug_id", "feature_type", "profile_match").orderBy("feature_uid").collect()]
+    of, asked = pairs.partners(v), []
+    scores = {(r["feature_uid"], r["other"]): r["score"] for r in of([f["feature_uid"] for f in pool]).collect()}
+    monkeypatch.setattr(pairs, "_SCORES", 60 * 13)
+    drawn = pairs.Sampler(pool, lambda uids: asked.append(uids) or of(uids), most_features=5).groups(2)
+    assert drawn == pairs.Sampler(pool, scores).groups(2)
+    assert max(map(len, asked)) == 13 and len(asked) <= 5
